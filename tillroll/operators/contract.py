@@ -81,8 +81,11 @@ def read_accepted(spark: SparkSession, verdicts: DataFrame) -> Batch:
         raw = scan_csv(spark, list(g["paths"]), list(g["raw_header"]))
         good.append(conform_frame(raw.where(F.col(CORRUPT_COLUMN).isNull()), list(g["header"]),
                                   lineage="source_file"))
+        # The parsed values ride along: Spark refuses a CSV scan that needs
+        # only the corrupt-record column, and they help whoever fixes the file.
+        parsed = F.to_json(F.struct(*[F.col(f"`{c}`") for c in g["header"]]))
         bad.append(raw.where(F.col(CORRUPT_COLUMN).isNotNull())
-                   .select("source_file", F.col(CORRUPT_COLUMN).alias("record")))
+                   .select("source_file", F.col(CORRUPT_COLUMN).alias("record"), parsed.alias("parsed")))
     return Batch(union_all(good), union_all(bad), verdicts)
 
 

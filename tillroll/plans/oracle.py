@@ -123,7 +123,24 @@ def _order(names: list[str]) -> list[str]:
     return out
 
 
-def sql(body: str, *views: str) -> str:
-    """``WITH`` the named views (and what they depend on), then ``body``."""
-    ctes = ",\n".join(f"{v} AS ({_VIEWS[v]}\n)" for v in _order(list(views)))
+# Sales of the accepted landing drops (see tillroll.plans.landing): the
+# surplus columns of the 3-MEDIUM layout folded into additional_column.
+ACCEPTED_SALE = """
+  SELECT customer_id, store_id, product_name, sales_date, sales_person_id, price, quantity, total_cost,
+         CASE WHEN desk = '3-MEDIUM' THEN concat_ws(', ', payment_mode, coupon) END AS additional_column
+  FROM sale_extras WHERE desk IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"""
+
+
+def sql(body: str, *views: str, sale: str | None = None) -> str:
+    """``WITH`` the named views (and what they depend on), then ``body``.
+    ``sale`` replaces the body of the ``sale`` view (it may use
+    ``sale_extras``)."""
+    names = _order(list(views))
+    if sale is not None and "sale" in names:
+        names = _order(["sale_extras"]) + [n for n in names if n not in ("sale_lines", "sale_extras")]
+    parts = []
+    for v in names:
+        body_v = sale if (v == "sale" and sale is not None) else _VIEWS[v]
+        parts.append(f"{v} AS ({body_v}\n)")
+    ctes = ",\n".join(parts)
     return f"WITH {ctes}\n{body}" if ctes else body
