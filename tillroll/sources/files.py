@@ -37,7 +37,9 @@ def discover(spark: SparkSession, roots: str | list[str]) -> DataFrame:
 
     ``binaryFile`` lists through the Hadoop file system (any URI, no page
     limit); selecting only path, time and length keeps the content unread.
-    Hidden files (``_``/``.`` prefixes) are skipped by Spark's listing.
+    Hidden files (``_``/``.`` prefixes) and zero-byte files are skipped by
+    Spark's listing; a zero-byte file holds neither header nor row, so it is
+    neither processed nor quarantined.
     """
     paths = [roots] if isinstance(roots, str) else list(roots)
     if not paths:
