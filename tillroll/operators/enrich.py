@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators.sizing import assert_unique, broadcast_if_small
+from tillroll.operators.sizing import (broadcast_limit, broadcast_small, key_profile,
+                                      raise_on_duplicates)
 
 ENRICHED_COLUMNS = [
     "customer_id", "store_id", "sales_person_id", "sales_date", "total_cost",
@@ -43,22 +44,29 @@ def _team_side(sales_team: DataFrame) -> DataFrame:
         F.col("pincode").alias("sales_person_pincode")).alias("st")
 
 
-def join_customer(sale: DataFrame, customer: DataFrame) -> DataFrame:
-    """Fact ⋈ customer on customer_id."""
-    c = broadcast_if_small(_customer_side(customer))
+def _maybe_broadcast(side: DataFrame, small: bool | None) -> DataFrame:
+    if small is None:                      # decide here, with a bounded count
+        return broadcast_small([side])[0]
+    return F.broadcast(side) if small else side
+
+
+def join_customer(sale: DataFrame, customer: DataFrame, small: bool | None = None) -> DataFrame:
+    """Fact ⋈ customer on customer_id. ``small`` is the caller's proven
+    size decision; ``None`` checks the side here."""
+    c = _maybe_broadcast(_customer_side(customer), small)
     return sale.alias("s").join(c, F.col("s.customer_id") == F.col("ct.customer_id"), "inner")
 
 
-def join_store(sale: DataFrame, store: DataFrame) -> DataFrame:
+def join_store(sale: DataFrame, store: DataFrame, small: bool | None = None) -> DataFrame:
     """Fact ⋈ store on store_id = store.id."""
-    s = broadcast_if_small(_store_side(store))
+    s = _maybe_broadcast(_store_side(store), small)
     return sale.join(s, sale["store_id"] == s["store_key"], "inner").drop("store_key")
 
 
-def join_sales_team(sale: DataFrame, sales_team: DataFrame) -> DataFrame:
+def join_sales_team(sale: DataFrame, sales_team: DataFrame, small: bool | None = None) -> DataFrame:
     """Fact ⋈ sales_team on sales_person_id = sales_team.id (the seller's
     store is not checked against the sale's store, as in the original)."""
-    t = broadcast_if_small(_team_side(sales_team))
+    t = _maybe_broadcast(_team_side(sales_team), small)
     return sale.join(t, sale["sales_person_id"] == t["seller_key"], "inner").drop("seller_key")
 
 
@@ -67,18 +75,26 @@ def enrich(sale: DataFrame, customer: DataFrame, store: DataFrame, sales_team: D
     """The three joins, then one projection with unique names.
 
     ``check_keys`` refuses dimensions with duplicate keys, which would fan
-    out fact rows. Each dimension is broadcast only behind a bounded row
-    count; otherwise the planner shuffles both sides on the key (and AQE may
-    still switch to a broadcast from the observed shuffle size).
+    out fact rows. Each dimension is broadcast only when its row count is
+    proven to be within the bound; otherwise the planner shuffles both sides
+    on the key (and AQE may still switch to a broadcast from the observed
+    shuffle size). Keys and sizes of all three dimensions are checked in one
+    Spark job (or, without the key check, one bounded count job).
     """
+    keys = {"customer": "customer_id", "store": "id", "sales_team": "id"}
+    frames = {"customer": customer, "store": store, "sales_team": sales_team}
+    bound = broadcast_limit(sale)
     if check_keys:
-        assert_unique(customer, "customer_id", "customer")
-        assert_unique(store, "id", "store")
-        assert_unique(sales_team, "id", "sales_team")
+        profile = key_profile({n: (frames[n], keys[n]) for n in keys})
+        raise_on_duplicates(profile, keys)
+        small = {n: profile[n][0] <= bound for n in keys}
+    else:
+        hinted = broadcast_small([frames[n] for n in keys], bound)
+        small = {n: h is not frames[n] for n, h in zip(keys, hinted)}
     fact = sale.select("customer_id", "store_id", "sales_person_id", "sales_date", "total_cost")
-    j1 = join_customer(fact, customer).select(
+    j1 = join_customer(fact, customer, small["customer"]).select(
         F.col("s.customer_id").alias("customer_id"), "store_id", "sales_person_id", "sales_date",
         "total_cost", "first_name", "last_name", "address", "pincode", "phone_number")
-    j2 = join_store(j1, store)
-    j3 = join_sales_team(j2, sales_team)
+    j2 = join_store(j1, store, small["store"])
+    j3 = join_sales_team(j2, sales_team, small["sales_team"])
     return j3.select(*ENRICHED_COLUMNS)

@@ -1,16 +1,23 @@
 """Size checks that guard broadcasts and key assumptions.
 
-A side is broadcast only after a bounded check proves it holds at most
-``max_rows`` rows: ``offset(max_rows).isEmpty()`` runs as an incremental take
-that stops as soon as one row past the bound is seen, and no row leaves the
-JVM, so the check costs little even when the table is huge. Beyond the bound the join is left
-to the planner (sort-merge, converted by AQE at run time when the shuffled
-side turns out small, and split by AQE's skew-join handling when one key is
-hot).
+A side is broadcast only after a check proves it holds at most ``max_rows``
+rows. The checks for all candidate sides of a plan run as **one** Spark
+job: each side contributes at most ``max_rows + 1`` rows (a per-partition
+limit, so a huge table stops early) of a literal tag, which Spark counts
+from the Parquet row-group metadata without reading a column. Beyond the
+bound a join is left to the planner (sort-merge, turned into a broadcast by
+AQE at run time when the shuffled side proves small, and split by AQE's
+skew-join handling when one key is hot).
+
+Dimension keys are checked the same way, in one job for all dimensions:
+``groupBy(dimension, key)`` with map-side partial counts, then one row per
+dimension with its exact row count and its largest per-key count.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,24 +34,57 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(spark.conf.get(CONF_BROADCAST_ROWS, str(DEFAULT_BROADCAST_ROWS)))
 
 
+def bounded_counts(frames: list[DataFrame], cap: int) -> list[int]:
+    """Row count of each frame, capped at ``cap + 1``, in one job."""
+    if not frames:
+        return []
+    tagged = [f.select(F.lit(i).alias("i")).limit(cap + 1) for i, f in enumerate(frames)]
+    counts = (reduce(DataFrame.unionAll, tagged)
+              .groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect())
+    got = {r["i"]: r["n"] for r in counts}
+    return [got.get(i, 0) for i in range(len(frames))]
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has no more than ``max_rows`` rows (bounded scan)."""
-    return df.offset(max_rows).isEmpty()
+    return bounded_counts([df], max_rows)[0] <= max_rows
+
+
+def broadcast_small(frames: list[DataFrame], max_rows: int | None = None) -> list[DataFrame]:
+    """Broadcast hint for each frame whose row count is proven to be at most
+    the bound (one job for all of them); the others are returned as they are."""
+    if not frames:
+        return []
+    bound = broadcast_limit(frames[0]) if max_rows is None else max_rows
+    return [F.broadcast(f) if n <= bound else f for f, n in zip(frames, bounded_counts(frames, bound))]
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast hint only for a side whose row count is proven bounded."""
-    bound = broadcast_limit(df) if max_rows is None else max_rows
-    return F.broadcast(df) if has_at_most(df, bound) else df
+    return broadcast_small([df], max_rows)[0]
+
+
+def key_profile(tables: dict[str, tuple[DataFrame, str]]) -> dict[str, tuple[int, int, str | None]]:
+    """For each named ``(frame, key)``: (rows, largest count of one non-NULL
+    key, one such key as text), all computed in one job."""
+    parts = [df.select(F.lit(name).alias("dim"), F.col(key).cast("string").alias("k"))
+             for name, (df, key) in tables.items()]
+    per_key = reduce(DataFrame.unionAll, parts).groupBy("dim", "k").agg(F.count(F.lit(1)).alias("c"))
+    dup_c = F.when(F.col("k").isNotNull(), F.col("c"))
+    rows = per_key.groupBy("dim").agg(F.sum("c").alias("rows"), F.max(dup_c).alias("max_c"),
+                                      F.max_by("k", dup_c).alias("key")).collect()
+    got = {r["dim"]: (int(r["rows"]), int(r["max_c"] or 0), r["key"]) for r in rows}
+    return {name: got.get(name, (0, 0, None)) for name in tables}
+
+
+def raise_on_duplicates(profile: dict[str, tuple[int, int, str | None]], keys: dict[str, str]) -> None:
+    """A duplicate key would fan out every matching fact row and inflate the
+    mart totals, so it is refused before any join."""
+    for name, (_, max_c, key) in profile.items():
+        if max_c > 1:
+            raise DuplicateKeyError(f"{name}: key {keys[name]}={key} occurs {max_c} times")
 
 
 def assert_unique(df: DataFrame, key: str, table: str = "dimension") -> None:
-    """Raise if a dimension has two rows for one key.
-
-    A duplicate key would fan out every matching fact row and inflate the
-    mart totals, so it is refused before any join.
-    """
-    dup = (df.where(F.col(key).isNotNull()).groupBy(key).count()
-           .where(F.col("count") > 1).limit(1).collect())
-    if dup:
-        raise DuplicateKeyError(f"{table}: key {key}={dup[0][0]} occurs {dup[0][1]} times")
+    """Raise :class:`DuplicateKeyError` if a dimension has two rows for one key."""
+    raise_on_duplicates(key_profile({table: (df, key)}), {table: key})

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import line_money
-from tillroll.operators.sizing import broadcast_if_small
+from tillroll.operators.sizing import broadcast_if_small, broadcast_small
 
 # Fixed values of the model: the customer segment kept in the customer
 # dimension, the ledger file-name pattern pieces.
@@ -108,12 +108,14 @@ def sale_lines(spark: SparkSession, sf_dir: str, with_product: bool = False,
     li_cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                "l_returnflag", "l_discount"]
     li = table(spark, sf_dir, "lineitem").select(*li_cols)
-    o = broadcast_if_small(table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"))
-    s = broadcast_if_small(table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"))
+    sides = [table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"),
+             table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")]
+    if with_product:
+        sides.append(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice"))
+    o, s, *rest = broadcast_small(sides)      # one bounded-count job for all sides
     df = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
     if with_product:
-        p = broadcast_if_small(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice"))
+        p = rest[0]
         df = df.join(p, df["l_partkey"] == p["p_partkey"], "inner")
     df = df.join(s, df["l_suppkey"] == s["s_suppkey"], "inner")
     return df

@@ -17,6 +17,10 @@ _SELLER_SQL = sql("SELECT * FROM sales_team_monthly", "sales_team_monthly", sale
 _CUSTOMER_SQL = sql("SELECT * FROM customer_monthly", "customer_monthly", sale=ACCEPTED_SALE)
 
 
+# Files per desk drop in the staged landing folder (each a date range).
+FILES_PER_DROP = 8
+
+
 class InjectedFailure(RuntimeError):
     """Raised by the failure hook to stop a run between two steps."""
 
@@ -32,7 +36,7 @@ def job_config(spark: SparkSession, sf_dir: str, root: str, **kw) -> batch.Batch
 @register("batch_marts", "run_batch: S4..L2 end to end, seller mart read back", _SELLER_SQL)
 def q_batch_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "batch")
-    landing.stage_landing(driver.sale_with_extras(spark, sf_dir), f"{root}/landing", files_per_drop=2)
+    landing.stage_landing(driver.sale_with_extras(spark, sf_dir), f"{root}/landing", files_per_drop=FILES_PER_DROP)
     cfg = job_config(spark, sf_dir, root)
     batch.run_batch(spark, cfg)
     return batch.read_mart(spark, cfg, "sales_team_monthly")
@@ -41,7 +45,7 @@ def q_batch_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("batch_recovery", "L3: a run dies before closing; the next run redoes its files", _CUSTOMER_SQL)
 def q_batch_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "recovery")
-    landing.stage_landing(driver.sale_with_extras(spark, sf_dir), f"{root}/landing", files_per_drop=2)
+    landing.stage_landing(driver.sale_with_extras(spark, sf_dir), f"{root}/landing", files_per_drop=FILES_PER_DROP)
 
     def die_before_close(step: str) -> None:
         if step == "close":
@@ -63,10 +67,10 @@ def _two_arrivals(spark: SparkSession, sf_dir: str, name: str) -> batch.BatchCon
     cfg = job_config(spark, sf_dir, root)
     source = driver.sale_with_extras(spark, sf_dir)
     checkpoint = f"{root}/checkpoint"
-    landing.stage_landing(source, f"{root}/landing", desks=["1-URGENT", "2-HIGH"], files_per_drop=2)
+    landing.stage_landing(source, f"{root}/landing", desks=["1-URGENT", "2-HIGH"], files_per_drop=FILES_PER_DROP)
     incremental.run_available(spark, cfg, checkpoint)
     landing.stage_landing(source, f"{root}/landing", desks=["3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
-                          files_per_drop=2)
+                          files_per_drop=FILES_PER_DROP)
     incremental.run_available(spark, cfg, checkpoint)
     return cfg
 

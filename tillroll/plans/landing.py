@@ -13,7 +13,10 @@ desk               layout                                         verdict
 5-LOW              contract order, but written as ``.txt``        rejected
 =================  =============================================  ==========
 
-All rows of the source land in exactly one drop; nothing is sampled.
+All rows of the source land in exactly one drop; nothing is sampled. Like
+real periodic drops, each file of a drop covers one contiguous range of
+sales dates (range partitioning on ``sales_date``), so a file touches few
+months.
 """
 
 from __future__ import annotations
@@ -44,7 +47,7 @@ def drop_name(desk: str) -> str:
 def write_drop(df: DataFrame, folder: str, columns: list[str], fmt: str, files: int | None = None) -> None:
     out = df.select(*columns)
     if files:
-        out = out.repartition(files)
+        out = df.repartitionByRange(files, "sales_date").select(*columns)
     if fmt == "csv":
         out.write.mode("overwrite").option("header", "true").csv(folder)
     else:
