@@ -4,12 +4,14 @@ The marts are pure DataFrame -> DataFrame functions; writing is the sinks'
 job. A1 and A2 are ``groupBy`` aggregations, so Spark sums map-side before
 the shuffle and a hot customer or seller collapses to one row per task
 early. The window forms (W1, W2 + D1) are kept as separate operators for
-parity with the original job's shape; they shuffle every row and are not
-used on the production path.
+parity with the original job's shape (a partition total on every row, then
+distinct rows); they are not used on the production path.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,26 +35,44 @@ def sales_team_raw_mart(enriched: DataFrame) -> DataFrame:
     return enriched.select(*SALES_TEAM_RAW_COLUMNS, month_bucket("sales_date").alias("sales_month"))
 
 
+def partition_total(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """``sum(value) OVER (PARTITION BY keys)`` with the whole
+    partition as frame, on every row of ``df``.
+
+    Computed as a ``groupBy`` (partial sums map-side) joined back on the
+    keys with NULL-safe equality, rather than as a window: a window sorts
+    every row of a partition in one task, so a key holding a third of all
+    rows would be a third of the job in one task. Here the per-key totals
+    are one row per key, and a hot key on the fact side of the join is split
+    by AQE's skew-join handling.
+    """
+    totals = df.groupBy(*keys).agg(F.sum(value).alias(name))
+    tk = [f"__k{i}" for i in range(len(keys))]
+    totals = totals.select(*[F.col(k).alias(t) for k, t in zip(keys, tk)], name)
+    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(totals[t]) for k, t in zip(keys, tk)])
+    return df.join(totals, cond, "inner").drop(*tk)
+
+
 def window_total_customer(raw: DataFrame) -> DataFrame:
     """W1 + D1: partition sum over (customer, month) on every row, then
     distinct rows. Same result as :func:`customer_monthly` when the customer
     attributes depend on the key; kept for parity, not for production."""
-    w = Window.partitionBy("customer_id", "sales_date_month")
-    return (raw.withColumn("sales_date_month", month_bucket("sales_date"))
-            .withColumn("total_sales", total_money(F.sum("total_cost").over(w)))
+    rows = raw.withColumn("sales_date_month", month_bucket("sales_date"))
+    return (partition_total(rows, ["customer_id", "sales_date_month"], "total_cost", "window_total")
             .select("customer_id", full_name("first_name", "last_name").alias("full_name"),
-                    "address", "phone_number", "sales_date_month", "total_sales")
+                    "address", "phone_number", "sales_date_month",
+                    total_money("window_total").alias("total_sales"))
             .distinct())
 
 
 def window_total_seller(raw: DataFrame) -> DataFrame:
     """W2 + D1: partition sum over (store, seller, month), then distinct."""
-    w = Window.partitionBy("store_id", "sales_person_id", "sales_month")
-    return (raw.withColumn("sales_month", month_bucket("sales_date"))
-            .withColumn("total_sales", total_money(F.sum("total_cost").over(w)))
+    rows = raw.withColumn("sales_month", month_bucket("sales_date"))
+    keys = ["store_id", "sales_person_id", "sales_month"]
+    return (partition_total(rows, keys, "total_cost", "window_total")
             .select("store_id", "sales_person_id",
                     full_name("sales_person_first_name", "sales_person_last_name").alias("full_name"),
-                    "sales_month", "total_sales")
+                    "sales_month", total_money("window_total").alias("total_sales"))
             .distinct())
 
 
@@ -89,7 +109,9 @@ def mark_top_sellers(totals: DataFrame) -> DataFrame:
     all rows is still summed map-side) joined back on the group key; the
     join is broadcast by AQE when the per-group table is small and split by
     AQE's skew handling when it is not. No single task ever has to hold a
-    whole hot group, unlike a window partitioned by (store, month).
+    whole hot group, unlike a window partitioned by (store, month). The
+    totals feed both sides; their shuffle appears once in the final adaptive
+    plan (a ``ReusedExchange``), so the fact is scanned and aggregated once.
     """
     tops = (totals.groupBy("store_id", "sales_month")
             .agg(F.max("total_sales").alias("top_total"))
