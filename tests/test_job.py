@@ -4,6 +4,7 @@ incremental file stream (run_batch, L1-L5, R1, R2) on the golden set."""
 from __future__ import annotations
 
 import os
+from decimal import Decimal as D
 
 import pytest
 
@@ -106,3 +107,14 @@ def test_incremental_stream_sees_each_file_once(spark, golden, workdir):
     incremental.run_available(spark, cfg, ckpt)
     assert batch.read_fact(spark, cfg).count() == len(SALES)
     assert marts_of(spark, cfg) == (GOLDEN_CUSTOMER_MONTHLY, GOLDEN_SALES_TEAM_MONTHLY)
+
+
+def test_sale_without_date_lands_in_a_null_month(spark, golden, workdir):
+    land = os.path.join(workdir, "landing")
+    write_file(land, "nodate.csv", CSV_HEADER + "\n1,121,Sugar,,1,7.00,1,7.00\n2,121,Sugar,2023-03-15,2,100.00,1,100.00\n")
+    cfg = config(golden, workdir, snapshots=False, csv_export=False)
+    batch.run_batch(spark, cfg)
+    c, s = marts_of(spark, cfg)
+    assert (1, "Ana Roy", None, D("7.00")) in c
+    assert (121, 1, None, D("7.00"), D("0.07")) in s
+    assert (2, "Ben Das", "2023-03", D("100.00")) in c

@@ -109,21 +109,36 @@ def process_manifest(spark: SparkSession, manifest: DataFrame, cfg: BatchConfig,
     return {"run_id": run_id, "warehouse": cfg.warehouse}
 
 
-def touched_months(spark: SparkSession, cfg: BatchConfig, run_files: DataFrame | None = None) -> DataFrame:
-    """Months that hold rows of this run's files (from the fact's partition
-    values; a small distinct)."""
+def touched_months(spark: SparkSession, cfg: BatchConfig, run_files: DataFrame | None = None) -> list[str]:
+    """Months that hold rows of this run's files.
+
+    Read from the fact's partition folders only: the run's file ids (one per
+    file; the driver holds these paths already for the CSV reader) become a
+    literal ``IN`` on the ``file_id`` partition column, so Spark lists just
+    this run's folders and reads no data column. The result is a handful of
+    calendar months.
+    """
     fact = read_fact(spark, cfg)
     if run_files is not None:
-        fact = fact.join(run_files.select(F.col("path").alias("source_file")), "source_file", "left_semi")
-    return fact.select("sales_month").distinct()
+        ids = [r[0] for r in run_files.select(F.xxhash64("path")).distinct().collect()]
+        fact = fact.where(F.col("file_id").isin(ids))
+    months = {r[0] for r in fact.select("sales_month").distinct().collect()}
+    # NULL (no sales date) is a month of its own and sorts first.
+    return sorted(months, key=lambda m: (m is not None, m or ""))
 
 
-def refresh_months(spark: SparkSession, cfg: BatchConfig, months: DataFrame | None = None) -> None:
+def refresh_months(spark: SparkSession, cfg: BatchConfig, months: list[str] | None = None) -> None:
     """Recompute both marts for ``months`` (default: all months in the fact)
-    from the whole fact and replace only those month partitions (R2)."""
+    from the whole fact and replace only those month partitions (R2). The
+    months are a literal ``IN`` on the fact's partition column, so only their
+    folders are read."""
     fact = read_fact(spark, cfg)
     if months is not None:
-        fact = fact.join(F.broadcast(months), "sales_month", "left_semi")
+        month = F.col("sales_month")
+        keep = month.isin([m for m in months if m is not None])
+        if None in months:
+            keep = keep | month.isNull()
+        fact = fact.where(keep)
     enriched = enrich.enrich(fact.select(*SALE_COLUMNS), cfg.customer, cfg.store, cfg.sales_team)
     enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
     try:
