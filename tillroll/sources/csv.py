@@ -21,6 +21,7 @@ from tillroll.schemas import MANDATORY_TYPES
 
 CORRUPT_COLUMN = "_corrupt_record"
 PROBE_BYTES = 1 << 20  # a header line longer than 1 MiB is out of scope
+PROBE_FIRST_CHUNK = 1 << 14
 
 PROBED_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
@@ -38,16 +39,25 @@ def _arrow_uri(path: str) -> str:
 
 
 def _first_line(path: str) -> str | None:
+    """The file's first line, read in growing chunks up to the first line
+    break (so a file costs about one small read, whatever its size)."""
     from pyarrow import fs as pafs
 
     filesystem, inner = pafs.FileSystem.from_uri(_arrow_uri(path))
+    data, chunk = b"", PROBE_FIRST_CHUNK
     with filesystem.open_input_stream(inner) as f:
-        data = f.read(PROBE_BYTES)
+        while len(data) < PROBE_BYTES:
+            more = f.read(min(chunk, PROBE_BYTES - len(data)))
+            if not more:
+                break
+            data += more
+            if b"\n" in more or b"\r" in more:
+                break
+            chunk *= 4
     if not data:
         return None
-    text = data.decode("utf-8-sig", errors="replace")
-    line = text.splitlines()[0] if text.splitlines() else ""
-    return line
+    lines = data.decode("utf-8-sig", errors="replace").splitlines()
+    return lines[0] if lines else ""
 
 
 def _parse_header(line: str) -> list[str]:
