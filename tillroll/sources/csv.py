@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,9 +87,19 @@ def probe_headers(csv_files: DataFrame) -> DataFrame:
     an even share of the files.
     """
     n = max(1, csv_files.sparkSession.sparkContext.defaultParallelism)
+    _ship_by_value()
     return csv_files.select("path").repartition(n).mapInPandas(_probe_batches, PROBED_SCHEMA)
 
 
+def _ship_by_value() -> None:
+    """Serialize this module's functions with the task instead of by
+    import path, so the Python workers need only pyarrow and pandas, not
+    this package on their path."""
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def read_schema(raw_header: list[str], with_corrupt: bool = True) -> T.StructType:
     """Read schema in the file's column order: mandatory columns typed,
     surplus columns as strings, plus the corrupt-record column."""
