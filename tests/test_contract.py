@@ -97,6 +97,21 @@ def test_quarantine_copies_rejected_lines(spark, workdir):
     assert ("missing.csv", "1,Rice,2023-03-01,\"[1, 2]\",10,1,10,cash") in got
 
 
+
+def test_quarantine_is_idempotent_and_keeps_same_names_apart(spark, workdir):
+    land = os.path.join(workdir, "landing")
+    write_file(land, "a/notes.txt", "first\n")
+    write_file(land, "b/notes.txt", "second\nthird\n")
+    error = os.path.join(workdir, "error")
+    for _ in range(2):          # a file rejected again is replaced, not appended
+        v = contract.check_contract(files.discover(spark, land))
+        contract.quarantine(spark, v, error)
+    lines = spark.read.text(os.path.join(error, "lines"))
+    assert sorted(r.value for r in lines.collect()) == ["first", "second", "third"]
+    assert lines.select("file_id").distinct().count() == 2
+    assert spark.read.parquet(os.path.join(error, "rejects")).count() == 2
+
+
 def test_no_input_is_an_error(spark, workdir):
     os.makedirs(os.path.join(workdir, "empty_landing"))
     with pytest.raises(NoInputError):

@@ -118,3 +118,30 @@ def test_sale_without_date_lands_in_a_null_month(spark, golden, workdir):
     assert (1, "Ana Roy", None, D("7.00")) in c
     assert (121, 1, None, D("7.00"), D("0.07")) in s
     assert (2, "Ben Das", "2023-03", D("100.00")) in c
+
+
+def test_jdbc_marts_are_safe_to_repeat(spark, golden, workdir):
+    import uuid
+
+    from tillroll.sources.tables import read_jdbc
+
+    stage(workdir, "day1.csv", MARCH_APRIL)
+    stage(workdir, "day2.csv", MAY)
+    jdbc = {"url": f"jdbc:derby:memory:marts_{uuid.uuid4().hex[:8]};create=true",
+            "properties": {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}}
+
+    def die_before_close(name):
+        if name == "close":
+            raise Boom(name)
+
+    with pytest.raises(Boom):
+        batch.run_batch(spark, config(golden, workdir, jdbc=jdbc, fail_at=die_before_close, csv_export=False))
+    cfg = config(golden, workdir, jdbc=jdbc, csv_export=False)
+    batch.run_batch(spark, cfg)
+    c = as_set(batch.read_jdbc_mart(spark, cfg, "customer_monthly"),
+               ["customer_id", "full_name", "sales_date_month", "total_sales"])
+    s = as_set(batch.read_jdbc_mart(spark, cfg, "sales_team_monthly"),
+               ["store_id", "sales_person_id", "sales_month", "total_sales", "incentive"])
+    assert (c, s) == (GOLDEN_CUSTOMER_MONTHLY, GOLDEN_SALES_TEAM_MONTHLY)
+    appended = read_jdbc(spark, jdbc["url"], batch.JDBC_TABLES["sales_team_monthly"], jdbc["properties"])
+    assert appended.count() == 2 * len(GOLDEN_SALES_TEAM_MONTHLY)     # both runs' rows are kept

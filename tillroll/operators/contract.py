@@ -108,14 +108,26 @@ def rejected_lines(spark: SparkSession, verdicts: DataFrame) -> DataFrame:
                          is_header.alias("is_header"))
 
 
+def file_id(path_col: str = "path"):
+    """Stable id of a file from its full location (two drops may share a
+    base name)."""
+    return F.xxhash64(F.col(path_col))
+
+
 def quarantine(spark: SparkSession, verdicts: DataFrame, error_dir: str) -> DataFrame:
-    """V3: copy each rejected file's lines to ``error_dir/lines`` (one folder
-    per file) and append the verdicts to ``error_dir/rejects``; the files
+    """V3: copy each rejected file's lines to ``error_dir/lines`` and its
+    verdict to ``error_dir/rejects``, one folder per file
+    (``file_name=<name>/file_id=<hash of the full path>``). The files
     themselves are left in place and excluded from the batch by the
-    manifest. Returns the rejected lines as written."""
-    lines = rejected_lines(spark, verdicts)
-    (lines.select("line", "file_name").write.mode("append").partitionBy("file_name")
-     .text(f"{error_dir}/lines"))
-    (verdicts.where(~F.col("accepted")).select("path", "file_name", "reason", "missing")
-     .write.mode("append").parquet(f"{error_dir}/rejects"))
+    manifest. Both writes replace a file's folder (dynamic overwrite), so a
+    file rejected again by a later run is not duplicated. Returns the
+    rejected lines as written."""
+    from tillroll.sinks.writers import write_partitioned
+
+    lines = rejected_lines(spark, verdicts).withColumn("file_id", file_id("source_file"))
+    write_partitioned(lines.select("line", "file_name", "file_id"), f"{error_dir}/lines",
+                      ["file_name", "file_id"], fmt="text")
+    rejects = (verdicts.where(~F.col("accepted"))
+               .select("path", "reason", "missing", "file_name", file_id().alias("file_id")))
+    write_partitioned(rejects, f"{error_dir}/rejects", ["file_name", "file_id"])
     return lines

@@ -12,7 +12,8 @@ Order of a run (each step a Spark job over DataFrames):
 5. recompute the marts for the months this batch touched from the whole
    fact, and overwrite just those month partitions (A1, A2, K2);
 6. write the raw marts, their snapshot and the CSV export (K1, K4, K5),
-   and the JDBC sink when configured (K3);
+   and the JDBC sink when configured (K3, appended under a snapshot id
+   so that a repeated refresh supersedes rather than doubles rows);
 7. close the files (L2) only after every sink succeeded.
 
 A failure anywhere before 7 leaves the files in state ``A``; the next run
@@ -55,6 +56,8 @@ class BatchConfig:
         return f"{self.warehouse.rstrip('/')}/{name}"
 
 
+# Database tables of the marts (the original's names).
+JDBC_TABLES = {"customer_monthly": "customers_data_mart", "sales_team_monthly": "sales_team_data_mart"}
 FACT_PARTITIONS = ["sales_month", "file_id"]
 FACT = T.StructType(SALE.fields + [T.StructField("source_file", T.StringType()),
                                    T.StructField("sales_month", T.StringType()),
@@ -157,11 +160,13 @@ def refresh_months(spark: SparkSession, cfg: BatchConfig, months: list[str] | No
         if cfg.csv_export:
             writers.write_csv_export(s_mart, cfg.path("exports/seller_incentives"), ["sales_month", "store_id"])
         if cfg.jdbc:
-            j = cfg.jdbc
-            writers.write_jdbc(c_mart, j["url"], j.get("customer_table", "customers_data_mart"),
-                               j.get("properties", {}))
-            writers.write_jdbc(s_mart, j["url"], j.get("sales_team_table", "sales_team_data_mart"),
-                               j.get("properties", {}))
+            # Appended under one snapshot id per refresh; read with read_jdbc_mart.
+            j, sid = cfg.jdbc, writers.new_snapshot_id()
+            writers.write_jdbc_snapshot(c_mart, j["url"], j.get("customer_table", JDBC_TABLES["customer_monthly"]),
+                                        j.get("properties", {}), sid)
+            writers.write_jdbc_snapshot(s_mart, j["url"],
+                                        j.get("sales_team_table", JDBC_TABLES["sales_team_monthly"]),
+                                        j.get("properties", {}), sid)
     finally:
         enriched.unpersist()
 
@@ -173,6 +178,17 @@ def run_batch(spark: SparkSession, cfg: BatchConfig, run_id: str | None = None)
     return process_manifest(spark, manifest, cfg, run_id or ledger.new_run_id())
 
 
+def read_jdbc_mart(spark: SparkSession, cfg: BatchConfig, name: str) -> DataFrame:
+    """A mart as the database holds it: per month, the newest snapshot."""
+    from tillroll.sources.tables import read_jdbc
+
+    j = cfg.jdbc or {}
+    key = {"customer_monthly": "customer_table", "sales_team_monthly": "sales_team_table"}[name]
+    month = {"customer_monthly": "sales_date_month", "sales_team_monthly": "sales_month"}[name]
+    df = read_jdbc(spark, j["url"], j.get(key, JDBC_TABLES[name]), j.get("properties", {}))
+    return writers.latest_by_group(df, month)
+
+
 def read_mart(spark: SparkSession, cfg: BatchConfig, name: str) -> DataFrame:
     from tillroll.schemas import CUSTOMER_MONTHLY, SALES_TEAM_MONTHLY
     schema = {"customer_monthly": CUSTOMER_MONTHLY, "sales_team_monthly": SALES_TEAM_MONTHLY}[name]

@@ -67,12 +67,12 @@ def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Read back what the error area holds: one folder per rejected file.
     lines = spark.read.text(f"{root}/error/lines")
     rejects = spark.read.parquet(f"{root}/error/rejects")
-    per_file = rejects.select("file_name", "reason", drop_of("path").alias("drop_name"))
-    headers = v.where(~F.col("accepted")).select("file_name", "header_line", "reason")
-    data = (lines.join(headers, "file_name")
+    per_file = rejects.select("file_id", "reason", drop_of("path").alias("drop_name"))
+    headers = v.where(~F.col("accepted")).select(contract.file_id().alias("file_id"), "header_line", "reason")
+    data = (lines.join(headers, "file_id")
             .where(~((F.col("reason") != contract.REASON_NOT_CSV) & (F.col("value") == F.col("header_line")))))
-    counted = data.groupBy("file_name").agg(F.count(F.lit(1)).alias("n"))
-    return (per_file.join(counted, "file_name")
+    counted = data.groupBy("file_id").agg(F.count(F.lit(1)).alias("n"))
+    return (per_file.join(counted, "file_id")
             .groupBy("drop_name", "reason").agg(F.sum("n").alias("n_lines")))
 
 
