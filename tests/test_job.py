@@ -145,3 +145,18 @@ def test_jdbc_marts_are_safe_to_repeat(spark, golden, workdir):
     assert (c, s) == (GOLDEN_CUSTOMER_MONTHLY, GOLDEN_SALES_TEAM_MONTHLY)
     appended = read_jdbc(spark, jdbc["url"], batch.JDBC_TABLES["sales_team_monthly"], jdbc["properties"])
     assert appended.count() == 2 * len(GOLDEN_SALES_TEAM_MONTHLY)     # both runs' rows are kept
+
+
+def test_stream_archives_processed_files(spark, golden, workdir):
+    cfg = config(golden, workdir, snapshots=False, csv_export=False)
+    ckpt, archive = os.path.join(workdir, "checkpoint"), os.path.join(workdir, "archive")
+    stage(workdir, "day1.csv", MARCH_APRIL)
+    incremental.run_available(spark, cfg, ckpt, archive_dir=archive)
+    stage(workdir, "day2.csv", MAY)
+    incremental.run_available(spark, cfg, ckpt, archive_dir=archive)
+    # Spark archives a finished file while a later batch runs, under its full path.
+    archived = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".csv")]
+    assert "day1.csv" in archived
+    assert not os.path.exists(os.path.join(workdir, "landing", "day1.csv"))
+    assert batch.read_fact(spark, cfg).count() == len(SALES)
+    assert marts_of(spark, cfg) == (GOLDEN_CUSTOMER_MONTHLY, GOLDEN_SALES_TEAM_MONTHLY)
