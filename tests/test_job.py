@@ -160,3 +160,20 @@ def test_stream_archives_processed_files(spark, golden, workdir):
     assert not os.path.exists(os.path.join(workdir, "landing", "day1.csv"))
     assert batch.read_fact(spark, cfg).count() == len(SALES)
     assert marts_of(spark, cfg) == (GOLDEN_CUSTOMER_MONTHLY, GOLDEN_SALES_TEAM_MONTHLY)
+
+
+def test_bad_rows_are_kept_per_file_and_not_duplicated(spark, golden, workdir):
+    land = os.path.join(workdir, "landing")
+    write_file(land, "bad.csv", CSV_HEADER + "\n1,121,Oil,2023-04-01,1,5,x,5\n2,121,Oil,2023-03-15,2,100.00,1,100.00\n")
+
+    def die_before_close(name):
+        if name == "close":
+            raise Boom(name)
+
+    with pytest.raises(Boom):
+        batch.run_batch(spark, config(golden, workdir, fail_at=die_before_close, snapshots=False, csv_export=False))
+    cfg = config(golden, workdir, snapshots=False, csv_export=False)
+    batch.run_batch(spark, cfg)
+    bad = spark.read.parquet(cfg.path("error/bad_rows")).collect()
+    assert len(bad) == 1 and bad[0].record.startswith("1,121,Oil")
+    assert batch.read_fact(spark, cfg).count() == 1

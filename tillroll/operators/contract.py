@@ -8,8 +8,9 @@ into the canonical sale table plus a table of rows that did not parse;
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,11 +63,20 @@ class Batch:
     sale: DataFrame        # canonical 9 columns + source_file
     bad_rows: DataFrame    # source_file, _corrupt_record
     verdicts: DataFrame    # check_contract output
+    scans: list = field(default_factory=list)   # persisted raw scans, see read_accepted
 
+    def release(self) -> None:
+        for df in self.scans:
+            df.unpersist()
 
-def read_accepted(spark: SparkSession, verdicts: DataFrame) -> Batch:
+
+def read_accepted(spark: SparkSession, verdicts: DataFrame, persist: bool = False) -> Batch:
     """U1 over S1: one scan per distinct header, conformed and unioned.
 
+    With ``persist`` each scan is kept (memory, spilling to disk) so that
+    the sale rows and the bad rows come from one parse of the CSV text;
+    lost blocks are re-read from the files. Call ``Batch.release()`` after.
+
     The distinct headers and their file paths are the only thing taken to
     the driver: Spark's reader needs the paths, and the number of distinct
     layouts is small. Rows that fail to parse go to ``bad_rows``.
@@ -76,9 +86,12 @@ def read_accepted(spark: SparkSession, verdicts: DataFrame) -> Batch:
               .collect())
     if not groups:
         raise NoInputError("no file passed the contract")
-    good, bad = [], []
+    good, bad, scans = [], [], []
     for g in groups:
         raw = scan_csv(spark, list(g["paths"]), list(g["raw_header"]))
+        if persist:
+            raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
+            scans.append(raw)
         good.append(conform_frame(raw.where(F.col(CORRUPT_COLUMN).isNull()), list(g["header"]),
                                   lineage="source_file"))
         # The parsed values ride along: Spark refuses a CSV scan that needs
@@ -86,7 +99,7 @@ def read_accepted(spark: SparkSession, verdicts: DataFrame) -> Batch:
         parsed = F.to_json(F.struct(*[F.col(f"`{c}`") for c in g["header"]]))
         bad.append(raw.where(F.col(CORRUPT_COLUMN).isNotNull())
                    .select("source_file", F.col(CORRUPT_COLUMN).alias("record"), parsed.alias("parsed")))
-    return Batch(union_all(good), union_all(bad), verdicts)
+    return Batch(union_all(good), union_all(bad), verdicts, scans)
 
 
 def rejected_lines(spark: SparkSession, verdicts: DataFrame) -> DataFrame:

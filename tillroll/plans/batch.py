@@ -24,6 +24,7 @@ the same state as a single clean run.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.errors import NoInputError
+from tillroll.errors import NoInputError, SinkError
 from tillroll.functions.columns import month_bucket
 from tillroll.operators import contract, enrich, ledger, marts
 from tillroll.schemas import SALE, SALE_COLUMNS
@@ -64,6 +65,20 @@ FACT = T.StructType(SALE.fields + [T.StructField("source_file", T.StringType()),
                                    T.StructField("file_id", T.LongType())])
 
 
+def run_concurrently(actions: dict[str, Callable[[], None]]) -> None:
+    """Run independent Spark actions as concurrent jobs (one driver thread
+    each) and wait for all of them. Any failure is raised as a
+    :class:`SinkError` after the others finish, so the run stops before the
+    ledger is closed and the next run redoes every sink."""
+    with ThreadPoolExecutor(max_workers=max(1, len(actions)), thread_name_prefix="sink") as pool:
+        futures = {name: pool.submit(fn) for name, fn in actions.items()}
+        wait(futures.values())
+    failed = {name: f.exception() for name, f in futures.items() if f.exception() is not None}
+    if failed:
+        name, err = next(iter(failed.items()))
+        raise SinkError(f"sink(s) failed: {', '.join(failed)}") from err
+
+
 def _step(cfg: BatchConfig, name: str) -> None:
     if cfg.fail_at:
         cfg.fail_at(name)
@@ -93,14 +108,18 @@ def process_manifest(spark: SparkSession, manifest: DataFrame, cfg: BatchConfig,
         ledger.append(ledger.open_files(accepted, run_id), cfg.path("ledger"))
 
         _step(cfg, "fact")
-        batch = contract.read_accepted(spark, verdicts)
-        fact = batch.sale.select(*SALE_COLUMNS, "source_file",
-                                 month_bucket("sales_date").alias("sales_month"),
-                                 F.xxhash64("source_file").alias("file_id"))
-        writers.write_partitioned(fact, cfg.path("fact"), FACT_PARTITIONS)
-        # Written unconditionally: an emptiness check would prune the scan
-        # to the corrupt-record column, which Spark refuses for raw CSV.
-        batch.bad_rows.write.mode("append").parquet(cfg.path("error/bad_rows"))
+        batch = contract.read_accepted(spark, verdicts, persist=True)
+        try:
+            fact = batch.sale.select(*SALE_COLUMNS, "source_file",
+                                     month_bucket("sales_date").alias("sales_month"),
+                                     F.xxhash64("source_file").alias("file_id"))
+            writers.write_partitioned(fact, cfg.path("fact"), FACT_PARTITIONS)
+            # Bad rows by file, replaced when a file is taken again. Written
+            # from the same persisted parse as the fact.
+            bad = batch.bad_rows.withColumn("file_id", F.xxhash64("source_file"))
+            writers.write_partitioned(bad, cfg.path("error/bad_rows"), ["file_id"])
+        finally:
+            batch.release()
 
         _step(cfg, "marts")
         refresh_months(spark, cfg, touched_months(spark, cfg, accepted))
@@ -145,20 +164,31 @@ def refresh_months(spark: SparkSession, cfg: BatchConfig, months: list[str] | No
     enriched = enrich.enrich(fact.select(*SALE_COLUMNS), cfg.customer, cfg.store, cfg.sales_team)
     enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        # Materialize once, so the concurrent sinks below all read the
+        # persisted rows instead of racing to compute them.
+        enriched.count()
         c_raw = marts.customer_raw_mart(enriched)
         s_raw = marts.sales_team_raw_mart(enriched)
         c_mart = marts.customer_monthly(c_raw)
         s_mart = marts.sales_team_monthly(s_raw)
-        writers.write_partitioned(c_mart, cfg.path("marts/customer_monthly"), ["sales_date_month"])
-        writers.write_partitioned(s_mart, cfg.path("marts/sales_team_monthly"), ["sales_month"])
-        writers.write_partitioned(c_raw.withColumn("sales_date_month", month_bucket("sales_date")),
-                                  cfg.path("marts/customer_raw"), ["sales_date_month"])
-        writers.write_partitioned(s_raw, cfg.path("marts/sales_team_raw"), ["sales_month", "store_id"])
+        sinks = {
+            "customer_monthly": lambda: writers.write_partitioned(
+                c_mart, cfg.path("marts/customer_monthly"), ["sales_date_month"]),
+            "sales_team_monthly": lambda: writers.write_partitioned(
+                s_mart, cfg.path("marts/sales_team_monthly"), ["sales_month"]),
+            "customer_raw": lambda: writers.write_partitioned(
+                c_raw.withColumn("sales_date_month", month_bucket("sales_date")),
+                cfg.path("marts/customer_raw"), ["sales_date_month"]),
+            "sales_team_raw": lambda: writers.write_partitioned(
+                s_raw, cfg.path("marts/sales_team_raw"), ["sales_month", "store_id"]),
+        }
         if cfg.snapshots:
-            writers.write_snapshot(s_raw, cfg.path("snapshots/sales_team_raw"),
-                                   partition_cols=["sales_month", "store_id"])
+            sinks["snapshot"] = lambda: writers.write_snapshot(
+                s_raw, cfg.path("snapshots/sales_team_raw"), partition_cols=["sales_month", "store_id"])
         if cfg.csv_export:
-            writers.write_csv_export(s_mart, cfg.path("exports/seller_incentives"), ["sales_month", "store_id"])
+            sinks["csv_export"] = lambda: writers.write_csv_export(
+                s_mart, cfg.path("exports/seller_incentives"), ["sales_month", "store_id"])
+        run_concurrently(sinks)
         if cfg.jdbc:
             # Appended under one snapshot id per refresh; read with read_jdbc_mart.
             j, sid = cfg.jdbc, writers.new_snapshot_id()
