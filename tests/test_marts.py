@@ -105,3 +105,21 @@ def test_totals_are_conserved(golden):
     m = marts.customer_monthly(marts.customer_raw_mart(e)).agg(F.sum("total_sales")).first()[0]
     s = marts.sales_team_monthly(marts.sales_team_raw_mart(e)).agg(F.sum("total_sales")).first()[0]
     assert total == m == s == Decimal("556.50")
+
+
+def test_marts_from_sales_equal_the_enriched_path(golden):
+    g = golden
+    direct_c = marts.customer_monthly_from_sales(g["sale"], g["customer"], g["store"], g["sales_team"])
+    direct_s = marts.sales_team_monthly_from_sales(g["sale"], g["customer"], g["store"], g["sales_team"])
+    assert direct_c.columns == schemas.CUSTOMER_MONTHLY.fieldNames()
+    assert direct_s.columns == schemas.SALES_TEAM_MONTHLY.fieldNames()
+    assert as_set(direct_c) == as_set(marts.customer_monthly(marts.customer_raw_mart(enriched(g))))
+    assert as_set(direct_s) == as_set(marts.sales_team_monthly(marts.sales_team_raw_mart(enriched(g))))
+    assert as_set(direct_s, ["store_id", "sales_person_id", "sales_month", "total_sales", "incentive"]) \
+        == GOLDEN_SALES_TEAM_MONTHLY
+
+
+def test_marts_from_sales_refuse_duplicate_keys(spark, golden):
+    dup = golden["sales_team"].unionByName(golden["sales_team"].limit(1))
+    with pytest.raises(DuplicateKeyError):
+        marts.sales_team_monthly_from_sales(golden["sale"], golden["customer"], golden["store"], dup)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import full_name, incentive, month_bucket, total_money
+from tillroll.operators.sizing import broadcast_limit, key_profile, raise_on_duplicates
 
 CUSTOMER_RAW_COLUMNS = ["customer_id", "first_name", "last_name", "address", "pincode",
                         "phone_number", "sales_date", "total_cost"]
@@ -144,3 +145,77 @@ def sales_team_monthly_ranked(raw: DataFrame) -> DataFrame:
 def distinct_rows(df: DataFrame) -> DataFrame:
     """D1 on its own."""
     return df.distinct()
+
+
+# --- Marts straight from the sales fact: filter, aggregate, then join names ---
+
+def _checked_dims(sale: DataFrame, customer: DataFrame, store: DataFrame,
+                  sales_team: DataFrame) -> dict[str, bool]:
+    """Key uniqueness of the three dimensions (one job; a duplicate key
+    raises) and, from the same job's row counts, which are small enough to
+    broadcast."""
+    keys = {"customer": "customer_id", "store": "id", "sales_team": "id"}
+    frames = {"customer": customer, "store": store, "sales_team": sales_team}
+    profile = key_profile({n: (frames[n], keys[n]) for n in keys})
+    raise_on_duplicates(profile, keys)
+    bound = broadcast_limit(sale)
+    return {n: profile[n][0] <= bound for n in keys}
+
+
+def _semi(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str, small: bool) -> DataFrame:
+    """Fact rows whose key exists in the dimension (an inner join's filter,
+    without its columns). Only the key column of the dimension is read."""
+    keys = dim.select(F.col(dim_key).alias("__key"))
+    keys = F.broadcast(keys) if small else keys
+    return fact.join(keys, fact[fact_key] == keys["__key"], "left_semi")
+
+
+def customer_monthly_from_sales(sale: DataFrame, customer: DataFrame, store: DataFrame,
+                                sales_team: DataFrame) -> DataFrame:
+    """A1 straight from the conformed sales: the same rows as
+    ``customer_monthly(customer_raw_mart(enrich(...)))``.
+
+    Dimension keys are unique (checked), so the inner joins with store and
+    sales team only filter rows, and the customer attributes depend on the
+    customer key. The plan therefore filters the fact by semi joins on key
+    columns, sums per (customer, month) with partial aggregation before the
+    shuffle, and joins the customer attributes to the aggregated rows: the
+    shuffle carries ids and sums instead of names and addresses, and a large
+    customer table is joined with one row per customer and month rather than
+    with every sale.
+    """
+    small = _checked_dims(sale, customer, store, sales_team)
+    f = sale.select("customer_id", "store_id", "sales_person_id", "sales_date", "total_cost")
+    f = _semi(f, "store_id", store, "id", small["store"])
+    f = _semi(f, "sales_person_id", sales_team, "id", small["sales_team"])
+    totals = (f.groupBy("customer_id", month_bucket("sales_date").alias("sales_date_month"))
+              .agg(F.sum("total_cost").alias("__total")))
+    c = customer.select(F.col("customer_id").alias("__ck"),
+                        full_name("first_name", "last_name").alias("full_name"), "address", "phone_number")
+    c = F.broadcast(c) if small["customer"] else c
+    return (totals.join(c, totals["customer_id"] == c["__ck"], "inner")
+            .select("customer_id", "full_name", "address", "phone_number", "sales_date_month",
+                    total_money("__total").alias("total_sales")))
+
+
+def sales_team_monthly_from_sales(sale: DataFrame, customer: DataFrame, store: DataFrame,
+                                  sales_team: DataFrame) -> DataFrame:
+    """A2 straight from the conformed sales, the same rows as
+    ``sales_team_monthly(sales_team_raw_mart(enrich(...)))``: semi joins on
+    customer and store keys, totals per (store, seller, month), then the
+    seller's name joined to the totals, then the incentive."""
+    small = _checked_dims(sale, customer, store, sales_team)
+    f = sale.select("customer_id", "store_id", "sales_person_id", "sales_date", "total_cost")
+    f = _semi(f, "customer_id", customer, "customer_id", small["customer"])
+    f = _semi(f, "store_id", store, "id", small["store"])
+    totals = (f.groupBy("store_id", "sales_person_id", month_bucket("sales_date").alias("sales_month"))
+              .agg(F.sum("total_cost").alias("__total")))
+    t = sales_team.select(F.col("id").alias("__sk"),
+                          full_name("first_name", "last_name").alias("full_name"))
+    t = F.broadcast(t) if small["sales_team"] else t
+    seller_totals = (totals.join(t, totals["sales_person_id"] == t["__sk"], "inner")
+                     .select("store_id", "sales_person_id", "full_name", "sales_month",
+                             total_money("__total").alias("total_sales")))
+    marked = mark_top_sellers(seller_totals)
+    return marked.select("store_id", "sales_person_id", "full_name", "sales_month", "total_sales",
+                         incentive("total_sales", F.col("is_top")).alias("incentive"))
