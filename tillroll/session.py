@@ -24,6 +24,12 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only what is proven small: a side hinted after a bounded row
+    # count (tillroll.operators.sizing), or one that AQE measured at run
+    # time. No broadcast from static size estimates (for Parquet that is the
+    # compressed file size, not the in-memory size).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
