@@ -177,3 +177,23 @@ def test_bad_rows_are_kept_per_file_and_not_duplicated(spark, golden, workdir):
     bad = spark.read.parquet(cfg.path("error/bad_rows")).collect()
     assert len(bad) == 1 and bad[0].record.startswith("1,121,Oil")
     assert batch.read_fact(spark, cfg).count() == 1
+
+
+def test_stream_replays_a_failed_micro_batch(spark, golden, workdir):
+    ckpt = os.path.join(workdir, "checkpoint")
+    stage(workdir, "day1.csv", MARCH_APRIL)
+    stage(workdir, "day2.csv", MAY)
+
+    def die_in_marts(name):
+        if name == "marts":
+            raise Boom(name)
+
+    with pytest.raises(Exception):
+        incremental.run_available(spark, config(golden, workdir, fail_at=die_in_marts, snapshots=False,
+                                                csv_export=False), ckpt)
+    cfg = config(golden, workdir, snapshots=False, csv_export=False)
+    incremental.run_available(spark, cfg, ckpt)      # same checkpoint: the failed batch runs again
+    assert batch.read_fact(spark, cfg).count() == len(SALES)
+    assert marts_of(spark, cfg) == (GOLDEN_CUSTOMER_MONTHLY, GOLDEN_SALES_TEAM_MONTHLY)
+    state = ledger.current_state(ledger.read(spark, cfg.path("ledger"))).collect()
+    assert {r.status for r in state} == {"I"}
