@@ -15,7 +15,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 # Quick, SQL-checked queries covering marts, joins, windows and the ledger.
 FAST = ["sales_team_monthly", "customer_monthly", "rank_sellers", "window_total_customer",
         "enriched_sales", "extra_columns_folded", "ledger_state", "ledger_unfinished",
-        "source_registry_active", "preview"]
+        "source_registry_active", "preview", "sale_canonical", "join_store", "join_sales_team",
+        "distinct_rows", "ledger_pending", "window_total_seller", "full_name_concat", "month_bucket"]
 
 needs_data = pytest.mark.skipif(not os.path.exists(SF), reason="benchmark tables not present")
 
