@@ -123,3 +123,28 @@ def test_marts_from_sales_refuse_duplicate_keys(spark, golden):
     dup = golden["sales_team"].unionByName(golden["sales_team"].limit(1))
     with pytest.raises(DuplicateKeyError):
         marts.sales_team_monthly_from_sales(golden["sale"], golden["customer"], golden["store"], dup)
+
+
+@pytest.mark.parametrize("bucket_rows", ["1000000", "2"])
+def test_rank_desc_equals_window_rank(spark, bucket_rows):
+    import random
+
+    from pyspark.sql import Window
+    rnd = random.Random(7)
+    rows = []
+    for store in (1, 2, None):
+        for month in ("2024-01", None):
+            for seller in range(rnd.randint(1, 40)):
+                total = None if rnd.random() < 0.1 else Decimal(rnd.choice([5, 5, 7, 9, 12, 12, 12, 30])) \
+                    + Decimal(rnd.randint(0, 3))
+                rows.append((store, seller, month, total))
+    df = spark.createDataFrame(rows, "store_id long, sales_person_id long, sales_month string, "
+                                     "total_sales decimal(18,2)")
+    w = Window.partitionBy("store_id", "sales_month").orderBy(F.col("total_sales").desc_nulls_last())
+    expected = as_set(df.withColumn("rnk", F.rank().over(w)))
+    spark.conf.set(marts.CONF_RANK_BUCKET_ROWS, bucket_rows)
+    try:
+        got = as_set(marts.rank_desc(df, ["store_id", "sales_month"], "total_sales"))
+    finally:
+        spark.conf.unset(marts.CONF_RANK_BUCKET_ROWS)
+    assert got == expected

@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.functions.columns import full_name, incentive, month_bucket, total_money
 from tillroll.operators.sizing import broadcast_limit, key_profile, raise_on_duplicates
@@ -96,9 +97,10 @@ def seller_month_totals(raw: DataFrame) -> DataFrame:
 
 def rank_sellers(totals: DataFrame) -> DataFrame:
     """``rank()`` of sellers per (store, month) by total, descending,
-    NULL totals last; ties share a rank and the next rank skips."""
-    w = Window.partitionBy("store_id", "sales_month").orderBy(F.col("total_sales").desc_nulls_last())
-    return totals.withColumn("rnk", F.rank().over(w))
+    NULL totals last; ties share a rank and the next rank skips. Computed by
+    :func:`rank_desc`, so a store-month with a huge number of sellers is not
+    sorted in one task."""
+    return rank_desc(totals, ["store_id", "sales_month"], "total_sales", "rnk")
 
 
 def mark_top_sellers(totals: DataFrame) -> DataFrame:
@@ -219,3 +221,77 @@ def sales_team_monthly_from_sales(sale: DataFrame, customer: DataFrame, store: D
     marked = mark_top_sellers(seller_totals)
     return marked.select("store_id", "sales_person_id", "full_name", "sales_month", "total_sales",
                          incentive("total_sales", F.col("is_top")).alias("incentive"))
+
+
+# --- rank() without a row-level window over the whole group ---
+
+CONF_RANK_BUCKET_ROWS = "tillroll.rank.bucketRows"
+DEFAULT_RANK_BUCKET_ROWS = 1_000_000   # distinct values one window task may sort
+RANK_BUCKETS = 64                      # value buckets for a group above that size
+
+
+def _same(left: DataFrame, right: DataFrame, left_cols: list[str], right_cols: list[str]):
+    """NULL-safe equality of column lists (a NULL group is a group)."""
+    return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in zip(left_cols, right_cols)])
+
+
+def rank_desc(df: DataFrame, group_cols: list[str], value_col: str, rank_col: str = "rnk") -> DataFrame:
+    """``rank() OVER (PARTITION BY group_cols ORDER BY value_col DESC NULLS
+    LAST)`` on every row of ``df``, exact, without sorting a whole group in
+    one task.
+
+    rank = 1 + the number of rows of the group with a strictly greater
+    value (NULLs count as smallest). Rows are first collapsed to one row per
+    distinct (group, value) with its count, so ties cost nothing. A group
+    with more distinct values than ``tillroll.rank.bucketRows`` is cut into
+    value ranges at its approximate quantiles. The quantile table is
+    checkpointed in the shared checkpoint folder, so the bucket of a value
+    cannot change if a stage is recomputed. Each window then works on one
+    bucket (its values' counts) or on one group's bucket totals. The ranks
+    are joined back to the rows on (group, value).
+    """
+    from tillroll.session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    limit = int(spark.conf.get(CONF_RANK_BUCKET_ROWS, str(DEFAULT_RANK_BUCKET_ROWS)))
+    g = [F.col(c) for c in group_cols]
+    v = F.col(value_col)
+    counts = df.groupBy(*g, v).agg(F.count(F.lit(1)).alias("__n"))
+
+    # Quantile cuts, only for the groups too large for one task.
+    sizes = counts.groupBy(*[F.col(c).alias(f"__s{i}") for i, c in enumerate(group_cols)]) \
+        .agg(F.count(F.lit(1)).alias("__d")).where(F.col("__d") > limit)
+    big = counts.join(sizes, _same(counts, sizes, group_cols, [f"__s{i}" for i in range(len(group_cols))]),
+                      "left_semi")
+    probs = [i / RANK_BUCKETS for i in range(1, RANK_BUCKETS)]
+    ensure_checkpoint_dir(spark)
+    cuts = (big.where(v.isNotNull()).groupBy(*g)
+            .agg(F.array_distinct(F.percentile_approx(v, probs)).alias("__q"))
+            .checkpoint(eager=True))
+    cut_keys = [f"__c{i}" for i in range(len(group_cols))]
+    cuts = cuts.select(*[F.col(c).alias(k) for c, k in zip(group_cols, cut_keys)], "__q")
+
+    # Bucket 0 holds the largest values; NULL values go after every bucket.
+    on = _same(counts, cuts, group_cols, cut_keys)
+    q = F.coalesce(F.col("__q"), F.array().cast(T.ArrayType(counts.schema[value_col].dataType)))
+    bucket = F.when(v.isNull(), F.lit(RANK_BUCKETS)).otherwise(F.size(F.filter(q, lambda x: x > v)))
+    bucketed = counts.join(cuts, on, "left").select(*g, v, "__n", bucket.alias("__b"))
+
+    # Rows in higher buckets (a window over one group's bucket totals) ...
+    per_bucket = bucketed.groupBy(*g, "__b").agg(F.sum("__n").alias("__bn"))
+    above = Window.partitionBy(*g).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    off_keys = [f"__o{i}" for i in range(len(group_cols))]
+    offsets = per_bucket.select(*[F.col(c).alias(k) for c, k in zip(group_cols, off_keys)],
+                                F.col("__b").alias("__ob"),
+                                F.coalesce(F.sum("__bn").over(above), F.lit(0)).alias("__off"))
+    # ... plus rows with a greater value in the same bucket (one bucket per window).
+    greater = (Window.partitionBy(*g, "__b").orderBy(v.desc_nulls_last())
+               .rowsBetween(Window.unboundedPreceding, -1))
+    within = bucketed.select(*g, v, "__b", F.coalesce(F.sum("__n").over(greater), F.lit(0)).alias("__in"))
+    ranks = (within.join(offsets, _same(within, offsets, group_cols, off_keys)
+                         & (within["__b"] == offsets["__ob"]))
+             .select(*[F.col(c).alias(k) for c, k in zip(group_cols, cut_keys)],
+                     v.alias("__v"), (F.lit(1) + F.col("__off") + F.col("__in")).cast("int").alias(rank_col)))
+
+    on_rows = _same(df, ranks, group_cols, cut_keys) & df[value_col].eqNullSafe(ranks["__v"])
+    return df.join(ranks, on_rows, "inner").select(*df.columns, rank_col)
