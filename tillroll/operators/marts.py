@@ -248,7 +248,9 @@ def rank_desc(df: DataFrame, group_cols: list[str], value_col: str, rank_col: st
     checkpointed in the shared checkpoint folder, so the bucket of a value
     cannot change if a stage is recomputed. Each window then works on one
     bucket (its values' counts) or on one group's bucket totals. The ranks
-    are joined back to the rows on (group, value).
+    are joined back to the rows on (group, value). The input is read once:
+    it is checkpointed first (here it is already aggregated, one row per
+    seller and month).
     """
     from tillroll.session import ensure_checkpoint_dir
 
@@ -256,26 +258,33 @@ def rank_desc(df: DataFrame, group_cols: list[str], value_col: str, rank_col: st
     limit = int(spark.conf.get(CONF_RANK_BUCKET_ROWS, str(DEFAULT_RANK_BUCKET_ROWS)))
     g = [F.col(c) for c in group_cols]
     v = F.col(value_col)
+    ensure_checkpoint_dir(spark)
+    # One pass over the input, saved in the shared checkpoint folder: the
+    # counts below and the final join read it instead of recomputing it.
+    df = df.checkpoint(eager=True)
     counts = df.groupBy(*g, v).agg(F.count(F.lit(1)).alias("__n"))
 
     # Quantile cuts, only for the groups too large for one task.
     sizes = counts.groupBy(*[F.col(c).alias(f"__s{i}") for i, c in enumerate(group_cols)]) \
         .agg(F.count(F.lit(1)).alias("__d")).where(F.col("__d") > limit)
-    big = counts.join(sizes, _same(counts, sizes, group_cols, [f"__s{i}" for i in range(len(group_cols))]),
-                      "left_semi")
-    probs = [i / RANK_BUCKETS for i in range(1, RANK_BUCKETS)]
-    ensure_checkpoint_dir(spark)
-    cuts = (big.where(v.isNotNull()).groupBy(*g)
-            .agg(F.array_distinct(F.percentile_approx(v, probs)).alias("__q"))
-            .checkpoint(eager=True))
     cut_keys = [f"__c{i}" for i in range(len(group_cols))]
-    cuts = cuts.select(*[F.col(c).alias(k) for c, k in zip(group_cols, cut_keys)], "__q")
-
-    # Bucket 0 holds the largest values; NULL values go after every bucket.
-    on = _same(counts, cuts, group_cols, cut_keys)
-    q = F.coalesce(F.col("__q"), F.array().cast(T.ArrayType(counts.schema[value_col].dataType)))
-    bucket = F.when(v.isNull(), F.lit(RANK_BUCKETS)).otherwise(F.size(F.filter(q, lambda x: x > v)))
-    bucketed = counts.join(cuts, on, "left").select(*g, v, "__n", bucket.alias("__b"))
+    if sizes.isEmpty():
+        # Every group fits one task: a single value range (plus NULLs).
+        bucket = F.when(v.isNull(), F.lit(RANK_BUCKETS)).otherwise(F.lit(0))
+        bucketed = counts.select(*g, v, "__n", bucket.alias("__b"))
+    else:
+        big = counts.join(sizes, _same(counts, sizes, group_cols, [f"__s{i}" for i in range(len(group_cols))]),
+                          "left_semi")
+        probs = [i / RANK_BUCKETS for i in range(1, RANK_BUCKETS)]
+        cuts = (big.where(v.isNotNull()).groupBy(*g)
+                .agg(F.array_distinct(F.percentile_approx(v, probs)).alias("__q"))
+                .checkpoint(eager=True))
+        cuts = cuts.select(*[F.col(c).alias(k) for c, k in zip(group_cols, cut_keys)], "__q")
+        # Bucket 0 holds the largest values; NULL values go after every bucket.
+        q = F.coalesce(F.col("__q"), F.array().cast(T.ArrayType(counts.schema[value_col].dataType)))
+        bucket = F.when(v.isNull(), F.lit(RANK_BUCKETS)).otherwise(F.size(F.filter(q, lambda x: x > v)))
+        bucketed = (counts.join(cuts, _same(counts, cuts, group_cols, cut_keys), "left")
+                    .select(*g, v, "__n", bucket.alias("__b")))
 
     # Rows in higher buckets (a window over one group's bucket totals) ...
     per_bucket = bucketed.groupBy(*g, "__b").agg(F.sum("__n").alias("__bn"))
