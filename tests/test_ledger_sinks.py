@@ -90,3 +90,16 @@ def test_jdbc_roundtrip_partitioned(spark):
     assert back.count() == 100 and back.agg(F.sum("v")).first()[0] == 10100
     one = load_table(spark, "mart", jdbc={"url": url, "properties": props})
     assert one.count() == 100
+
+
+def test_load_table_parquet_with_declared_schema(spark, workdir):
+    from tillroll import schemas
+
+    path = os.path.join(workdir, "store")
+    spark.createDataFrame([(121, "Delhi", "110001", "Asha", "2020-01-01", "good")],
+                          "ID int, ADDRESS string, store_pincode string, store_manager_name string, "
+                          "store_opening_date string, reviews string").write.parquet(path)
+    df = load_table(spark, path, schema=schemas.STORE)
+    assert df.schema == schemas.STORE        # names matched case-insensitively, types cast
+    r = df.first()
+    assert (r.id, r.address, r.store_opening_date) == (121, "Delhi", dt.date(2020, 1, 1))

@@ -30,6 +30,8 @@ RECOMMENDED_CONF = {
     # compressed file size, not the in-memory size).
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+    # Checkpoint files (rank_desc) are removed once their DataFrame is gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
