@@ -197,3 +197,21 @@ def test_stream_replays_a_failed_micro_batch(spark, golden, workdir):
     assert marts_of(spark, cfg) == (GOLDEN_CUSTOMER_MONTHLY, GOLDEN_SALES_TEAM_MONTHLY)
     state = ledger.current_state(ledger.read(spark, cfg.path("ledger"))).collect()
     assert {r.status for r in state} == {"I"}
+
+
+def test_concurrent_sinks_report_a_failure_after_all_finish(spark, workdir):
+    from tillroll.errors import SinkError
+
+    done = []
+    out = os.path.join(workdir, "ok")
+
+    def good():
+        spark.range(10).write.parquet(out)
+        done.append("good")
+
+    def bad():
+        raise RuntimeError("database down")
+
+    with pytest.raises(SinkError, match="bad"):
+        batch.run_concurrently({"good": good, "bad": bad})
+    assert done == ["good"] and spark.read.parquet(out).count() == 10
