@@ -22,8 +22,10 @@ needs_data = pytest.mark.skipif(not os.path.exists(SF), reason="benchmark tables
 
 
 def test_every_query_has_an_oracle():
+    from tillroll.plans.catalog import REGISTRY
+
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(REGISTRY) <= set(E.oracle_sql())
 
 
 @needs_data
