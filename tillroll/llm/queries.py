@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate
+from tillroll.llm import decontaminate, mix
 from tillroll.llm.staging import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,35 @@ FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)"""
 @query("op4_decontamination", OP4_SQL)
 def op4(spark, sf_dir):
     return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, source,
+       CAST(len(coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), [])) AS BIGINT) AS size,
+       -ln((CAST(('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13)) AS BIGINT) + 1.0::DOUBLE)
+           / 4503599627370497.0::DOUBLE)
+       / (0.25::DOUBLE + 0.75::DOUBLE * coalesce(CAST(length(translate(text, '|!#$%&*', '')) AS DOUBLE)
+                                                 / greatest(length(text), 1), 0.0::DOUBLE)) AS k
+       FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS ss FROM d GROUP BY source),
+p AS (SELECT *, row_number() OVER (ORDER BY encode(source) ASC NULLS LAST) - 1 AS place FROM s),
+w AS (SELECT *, list_extract([3, 1, 2], CAST(place % 3 + 1 AS INTEGER)) AS w, 2 * ss AS cap FROM p),
+r AS (SELECT *, CAST(cap AS DOUBLE) / w AS ratio FROM w),
+l AS (SELECT *, (CAST(sum(ss) OVER () AS DOUBLE) * 1.5::DOUBLE - CAST(coalesce(sum(cap) OVER b, 0) AS DOUBLE))
+             / CAST(sum(w) OVER () - coalesce(sum(w) OVER b, 0) AS DOUBLE) AS level FROM r
+      WINDOW b AS (ORDER BY ratio, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT *, least(CAST(cap AS DOUBLE), (max(level) OVER ()) * w) AS target FROM l),
+e AS (SELECT source, ss, target, CASE WHEN ss = 0 THEN 0 ELSE least(2, CAST(floor(target / ss) AS BIGINT)) END AS ep FROM t),
+x AS (SELECT d.doc_id, d.size, e.ss, e.target, e.ep, e.target - e.ep * e.ss AS rest,
+             sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id, d.size
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+      FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, ss AS source_size, target,
+       CAST(size * least(2, ep + CASE WHEN upto <= rest OR (upto - size < rest AND upto - rest <= rest - (upto - size))
+                                      THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM x"""
+
+
+@query("op7_mixing", OP7_SQL)
+def op7(spark, sf_dir):
+    return mix.mixture(read_table(spark, sf_dir, "documents"))
