@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, mix
+from tillroll.llm import decontaminate, mix, token_count, token_file
 from tillroll.llm.staging import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,19 @@ FROM x"""
 @query("op7_mixing", OP7_SQL)
 def op7(spark, sf_dir):
     return mix.mixture(read_table(spark, sf_dir, "documents"))
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op6_token_counts")
+def op6(spark, sf_dir):
+    return token_count.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op10_token_file")
+def op10(spark, sf_dir):
+    return token_file.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path())
