@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, mix, token_count, token_file
+from tillroll.llm import decontaminate, line_crf, mix, token_count, token_file
 from tillroll.llm.staging import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,9 @@ def op6(spark, sf_dir):
 @query("op10_token_file")
 def op10(spark, sf_dir):
     return token_file.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op5_quality")
+def op5(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return line_crf.score(docs, line_crf.train(docs, read_table(spark, sf_dir, "labels")))
