@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, line_crf, mix, token_count, token_file
+from tillroll.llm import decontaminate, line_crf, mix, token_count, token_file, url_filter
 from tillroll.llm.staging import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,9 @@ def op10(spark, sf_dir):
 def op5(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     return line_crf.score(docs, line_crf.train(docs, read_table(spark, sf_dir, "labels")))
+
+
+@query("op9_url_filter")
+def op9(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, url_filter.train(pages)).drop("words")
