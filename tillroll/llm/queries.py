@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, line_crf, mix, token_count, token_file, url_filter
+from tillroll.llm import bayes_join, decontaminate, line_crf, mix, token_count, token_file, url_filter
 from tillroll.llm.staging import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,28 @@ def op5(spark, sf_dir):
 def op9(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages")
     return url_filter.judge(pages, url_filter.train(pages)).drop("words")
+
+
+OP8_SQL = f"""
+WITH w AS (SELECT doc_id, coalesce({WORDS_SQL.format('text')}, []) AS w FROM documents),
+s AS (SELECT doc_id, list_sort(list_distinct(list_transform(generate_series(1, greatest(len(w) - 4, 1)),
+             lambda i: array_to_string(list_slice(w, i, i + 4), ' ')))) AS s FROM w WHERE len(w) > 0),
+c AS (SELECT s, min(doc_id) AS rep, count(*) AS members FROM s GROUP BY s),
+x AS (SELECT rep, len(s) AS n, unnest(s) AS g FROM c),
+common AS (SELECT a.rep AS p, b.rep AS q, a.n AS an, b.n AS bn, count(*) AS k
+           FROM x a JOIN x b ON a.g = b.g AND a.rep < b.rep
+                AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n) GROUP BY ALL),
+e AS (SELECT p, q FROM common WHERE 5 * k >= 4 * (an + bn - k)),
+pairs AS (SELECT p, q FROM e UNION ALL SELECT q, p FROM e),
+r AS (WITH RECURSIVE reach(a, b) AS (SELECT rep, rep FROM c UNION SELECT reach.a, pairs.q FROM reach JOIN pairs ON reach.b = pairs.p)
+      SELECT a AS rep, min(b) AS class_id FROM reach GROUP BY a),
+l AS (SELECT pairs.p AS rep, sum(c.members) AS links FROM pairs JOIN c ON c.rep = pairs.q GROUP BY pairs.p)
+SELECT w.doc_id, coalesce(r.class_id, w.doc_id) AS class_id,
+       CAST(coalesce(l.links, 0) + coalesce(c.members - 1, 0) AS BIGINT) AS n_links,
+       CAST(coalesce(len(c.s), 0) AS BIGINT) AS n_shingles
+FROM w LEFT JOIN s USING (doc_id) LEFT JOIN c ON c.s = s.s LEFT JOIN r ON r.rep = c.rep LEFT JOIN l ON l.rep = c.rep"""
+
+
+@query("op8_ngram_jaccard_join", OP8_SQL)
+def op8(spark, sf_dir):
+    return bayes_join.link(read_table(spark, sf_dir, "documents"))
