@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bayes_join, decontaminate, line_crf, mix, token_count, token_file, url_filter
+from tillroll.llm import bayes_join, decontaminate, grid_join, line_crf, mix, token_count, token_file, url_filter
 from tillroll.llm.staging import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,23 @@ FROM w LEFT JOIN s USING (doc_id) LEFT JOIN c ON c.s = s.s LEFT JOIN r ON r.rep
 @query("op8_ngram_jaccard_join", OP8_SQL)
 def op8(spark, sf_dir):
     return bayes_join.link(read_table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = """
+WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+       AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+       AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS p, b.vec_id AS q FROM ok a JOIN ok b
+      ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      AND list_cosine_similarity(a.e, b.e) >= 0.93::DOUBLE),
+r AS (WITH RECURSIVE reach(a, b) AS (SELECT vec_id, vec_id FROM v
+      UNION SELECT reach.a, l.q FROM reach JOIN l ON reach.b = l.p) SELECT a, min(b) AS c FROM reach GROUP BY a),
+n AS (SELECT p, count(*) AS n FROM l GROUP BY p)
+SELECT v.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, r.c AS component_id, v.vec_id = r.c AS kept
+FROM v LEFT JOIN n ON n.p = v.vec_id JOIN r ON r.a = v.vec_id"""
+
+
+@query("op1_embedding_near_dup", OP1_SQL)
+def op1(spark, sf_dir):
+    return grid_join.near_duplicates(read_table(spark, sf_dir, "embeddings"))
