@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bayes_join, decontaminate, grid_join, line_crf, mix, token_count, token_file, url_filter
+from tillroll.llm import bayes_join, decontaminate, grid_join, line_crf, mix, style_tree, token_count, token_file, url_filter
 from tillroll.llm.staging import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,8 @@ FROM v LEFT JOIN n ON n.p = v.vec_id JOIN r ON r.a = v.vec_id"""
 @query("op1_embedding_near_dup", OP1_SQL)
 def op1(spark, sf_dir):
     return grid_join.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_main_text")
+def op3(spark, sf_dir):
+    return style_tree.main_text(read_table(spark, sf_dir, "pages"))
