@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from llm.brute import brute_windows
 from tillroll.llm import decontaminate as dc
 
 
@@ -18,33 +19,14 @@ def case():
     return docs + [(None, None), (90, ""), (91, "zz, YY"), (91, "zz, YY"), (92, "v " * 100000 + "zz yy")], items
 
 
-def brute(docs, items, n=10):
-    windows = {}
-    for item, text in items:
-        w = dc.item_words(text)
-        for i in range(max(1, len(w) - n + 1) if w else 0):
-            windows.setdefault(tuple(w[i:i + n]), set()).add("" if item is None else str(item))
-    out = []
-    sizes = {len(w) for w in windows}
-    for doc, text in docs:
-        w, hit, found = dc.item_words(text), set(), set()
-        for i in range(len(w)):
-            for size in sizes:
-                if i + size <= len(w) and tuple(w[i:i + size]) in windows:
-                    hit.update(range(i, i + size))
-                    found |= windows[tuple(w[i:i + size])]
-        out.append((doc, len(w), len(hit), sorted(found)))
-    return sorted(out, key=str)
-
-
 @pytest.mark.parametrize("limit", [dc.MAX_WINDOWS, 20])
 def test_find_equals_brute_force(spark, limit):
     docs, items = case()
     table = spark.createDataFrame([(i, t, 0) for i, t in docs], "doc_id long, text string, found int").repartition(3)
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = dc.find(table, bench, max_windows=limit).collect()
-    assert sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in got), key=str) == brute(docs, items)
-    clean = {d for d, _, hit, _ in brute(docs, items) if not hit}
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in got), key=str) == brute_windows(docs, items)
+    clean = {d for d, _, hit, _ in brute_windows(docs, items) if not hit}
     kept = dc.remove(table, bench, max_windows=limit)
     assert kept.columns == table.columns and {r.doc_id for r in kept.collect()} == clean
 

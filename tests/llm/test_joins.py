@@ -8,22 +8,12 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from llm.brute import brute_docs, reach
 from tillroll.llm import bayes_join as bj, grid_join as gj, textscan as ts
 from tillroll.llm.components import components, star_edges
-from tillroll.llm.decontaminate import item_words
 from tillroll.llm.grouped import groups
 
 
-def reach(nodes, links):
-    label = {v: v for v in nodes}
-    while True:
-        before = dict(label)
-        for a, b in links:
-            label[a] = label[b] = min(label[a], label[b])
-        if before == label:
-            return label
-
-
 def test_components_of_paths_stars_and_cliques(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(100, 160)] + [(5, k) for k in range(1000, 1080)] + list(
@@ -137,25 +127,6 @@ def documents():
                                                    (5, "w " * 40000)]
 
 
-def shingle_set(text):
-    words = item_words(text)
-    return frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
-
-
-def brute_docs(rows):
-    sets = [shingle_set(t) for _, t in rows]
-    links = [(i, j) for i, j in itertools.combinations(range(len(rows)), 2)
-             if sets[i] and sets[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
-    label, n = reach(range(len(rows)), links), [0] * len(rows)
-    for a, b in links:
-        n[a], n[b] = n[a] + 1, n[b] + 1
-    members = {}
-    for i, c in label.items():
-        members.setdefault(c, []).append(i)
-    least = {c: min((rows[i][0] for i in m if rows[i][0] is not None), default=None) for c, m in members.items()}
-    return [(r[0], least[label[i]], n[i], len(sets[i])) for i, r in enumerate(rows)]
-
-
 def test_document_join_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(bj, "BUCKET_BLOCK", 16)
     monkeypatch.setattr(bj, "CLUSTER_BLOCK", 4000)

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bayes_join, decontaminate, grid_join, line_crf, mix, style_tree, token_count, token_file, url_filter
+from tillroll.llm import bayes_join, decontaminate, grid_join, line_crf, mix, style_tree, suffix_index
+from tillroll.llm import token_count, token_file, url_filter
 from tillroll.llm.staging import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,3 +159,8 @@ def op1(spark, sf_dir):
 @query("op3_main_text")
 def op3(spark, sf_dir):
     return style_tree.main_text(read_table(spark, sf_dir, "pages"))
+
+
+@query("op2_suffix_dedup")
+def op2(spark, sf_dir):
+    return suffix_index.find(read_table(spark, sf_dir, "documents"))
