@@ -85,31 +85,75 @@ def test_read_accepted_binds_by_name_and_folds_extras(spark, workdir):
     assert len(bad) == 1 and bad[0].record.startswith("1,121,Oil")
 
 
-def test_quarantine_copies_rejected_lines(spark, workdir):
+def test_quarantine_copies_rejected_files_as_they_are(spark, workdir):
     land = landing_with_all_cases(workdir)
+    with open(os.path.join(land, "book.xlsx"), "wb") as f:
+        f.write(bytes(range(256)) * 4)
+    write_file(land, "a/notes.txt", "second\r\nfirst\n\nlast without end")
+    error = os.path.join(workdir, "error")
+    for _ in range(2):          # a run repeated replaces its copies
+        v = contract.check_contract(files.discover(spark, land))
+        contract.quarantine(spark, v, error, "r1")
+    rejects = spark.read.parquet(os.path.join(error, "rejects"))
+    assert sorted(r.file_name for r in rejects.collect()) == ["book.xlsx", "missing.csv", "notes.txt", "notes.txt"]
+    copies = {r.path: bytes(r.content) for r in spark.read.parquet(os.path.join(error, "files")).collect()}
+    assert len(copies) == 4
+    for r in v.where("not accepted").collect():
+        with open(r.location.removeprefix("file:"), "rb") as f:
+            assert copies[r.path] == f.read()
+
+
+def test_large_rejected_files_are_copied_by_the_file_system(spark, workdir, monkeypatch):
+    monkeypatch.setattr(contract, "CONTENT_BYTES", 3)
+    land = os.path.join(workdir, "landing")
+    write_file(land, "big.txt", "b\na\n")
+    write_file(land, "s.txt", "x")
+    contract.quarantine(spark, contract.check_contract(files.discover(spark, land)), os.path.join(workdir, "error"), "r")
+    rows = {r.file_name: r for r in spark.read.parquet(os.path.join(workdir, "error/files")).collect()}
+    assert rows["big.txt"].content is None and bytes(rows["s.txt"].content) == b"x"
+    with open(os.path.join(workdir, "error/large/run_id=r", str(rows["big.txt"].file_id))) as f:
+        assert f.read() == "b\na\n"
+
+
+ODD_NAMES = ["day 1.csv", "a#b.csv", "a%20b.csv", "verkäufe.csv", "x[1]{2}.csv", "what?*.csv", "sub dir/ü ü.CSV", "plus+&=.csv"]
+
+
+def test_odd_file_names(spark, workdir):
+    land = os.path.join(workdir, "landing")
+    for k, name in enumerate(ODD_NAMES):
+        write_file(land, name, CSV_HEADER + f"\n{k},121,Oil,2023-04-02,2,5,1,5\n")
+    write_file(land, "bad file#1%.txt", "kept\n")
     v = contract.check_contract(files.discover(spark, land))
-    contract.quarantine(spark, v, os.path.join(workdir, "error"))
-    rejects = spark.read.parquet(os.path.join(workdir, "error", "rejects"))
-    assert {r.file_name for r in rejects.collect()} == {"missing.csv", "notes.txt"}
-    lines = spark.read.text(os.path.join(workdir, "error", "lines"))
-    got = {(r.file_name, r.value) for r in lines.collect()}
-    assert ("notes.txt", "not a sales file") in got
-    assert ("missing.csv", "1,Rice,2023-03-01,\"[1, 2]\",10,1,10,cash") in got
+    assert {r.file_name for r in v.where("accepted").collect()} == {os.path.basename(n) for n in ODD_NAMES}
+    sale = contract.read_accepted(spark, v).sale.collect()
+    assert sorted(r.customer_id for r in sale) == list(range(len(ODD_NAMES)))
+    # One spelling of a file everywhere: the scan reports the manifest's paths.
+    assert {r.source_file for r in sale} == {r.path for r in v.where("accepted").collect()}
+    contract.quarantine(spark, v, os.path.join(workdir, "error"), "r1")
+    (copy,) = spark.read.parquet(os.path.join(workdir, "error", "files")).collect()
+    assert (copy.file_name, bytes(copy.content)) == ("bad file#1%.txt", b"kept\n")
+
 
+def test_header_of_any_length(spark, workdir):
+    land = os.path.join(workdir, "landing")
+    names = [f"surplus column number {i}" for i in range(80_000)]
+    line = CSV_HEADER + "," + ",".join(names)
+    assert len(line) > 2_000_000
+    write_file(land, "wide.csv", line)
+    (r,) = contract.check_contract(files.discover(spark, land)).collect()
+    assert r.accepted and r.header_line == line and r.extras[-1] == names[-1] and len(r.extras) == len(names)
 
 
-def test_quarantine_is_idempotent_and_keeps_same_names_apart(spark, workdir):
+def test_repeated_columns_reject_only_their_file(spark, workdir):
     land = os.path.join(workdir, "landing")
-    write_file(land, "a/notes.txt", "first\n")
-    write_file(land, "b/notes.txt", "second\nthird\n")
-    error = os.path.join(workdir, "error")
-    for _ in range(2):          # a file rejected again is replaced, not appended
-        v = contract.check_contract(files.discover(spark, land))
-        contract.quarantine(spark, v, error)
-    lines = spark.read.text(os.path.join(error, "lines"))
-    assert sorted(r.value for r in lines.collect()) == ["first", "second", "third"]
-    assert lines.select("file_id").distinct().count() == 2
-    assert spark.read.parquet(os.path.join(error, "rejects")).count() == 2
+    write_file(land, "good.csv", CSV_HEADER + "\n1,121,Oil,2023-04-02,2,5,1,5\n")
+    write_file(land, "twice.csv", CSV_HEADER + ",mode,coupon, Mode\n1,121,Oil,2023-04-02,2,5,1,5,a,b,c\n")
+    write_file(land, "bom.csv", "\ufeff" + CSV_HEADER + "\n2,121,Oil,2023-04-02,2,5,1,5\n")
+    v = contract.check_contract(files.discover(spark, land))
+    got = verdict_map(v)
+    assert got["twice.csv"].reason == contract.REASON_REPEATED and not got["twice.csv"].accepted
+    assert got["good.csv"].accepted and got["bom.csv"].accepted
+    assert 1 in {r.customer_id for r in contract.read_accepted(spark, v).sale.collect()}
 
 
 def test_no_input_is_an_error(spark, workdir):

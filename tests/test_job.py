@@ -10,9 +10,11 @@ import pytest
 
 from conftest import (CSV_HEADER, GOLDEN_CUSTOMER_MONTHLY, GOLDEN_SALES_TEAM_MONTHLY, SALES,
                       as_set, sales_csv_lines, write_file)
+from tillroll import schemas
 from tillroll.errors import NoInputError
 from tillroll.operators import ledger
 from tillroll.plans import batch
+from tillroll.sinks import writers
 from tillroll.streaming import incremental
 
 MARCH_APRIL = [s for s in SALES if not s[2].startswith("2023-05")]
@@ -53,12 +55,18 @@ def test_batch_golden_and_rerun_is_a_no_op(spark, golden, workdir):
     batch.run_batch(spark, cfg)
     assert marts_of(spark, cfg) == (GOLDEN_CUSTOMER_MONTHLY, GOLDEN_SALES_TEAM_MONTHLY)
     state = ledger.current_state(ledger.read(spark, cfg.path("ledger"))).collect()
-    assert sorted((r.file_name, r.status) for r in state) == [("day1.csv", "I"), ("day2.csv", "I")]
-    # Quarantined, not processed, not in the ledger.
+    assert sorted((r.file_name, r.status) for r in state) == [("day1.csv", "I"), ("day2.csv", "I"), ("notes.txt", "R")]
+    # Quarantined, not processed.
     assert {r.file_name for r in spark.read.parquet(cfg.path("error/rejects")).collect()} == {"notes.txt"}
-    # A second run finds nothing new (notes.txt is rejected again) and leaves the marts alone.
+    # A second run finds nothing new (notes.txt is not taken again) and leaves the marts alone.
     with pytest.raises(NoInputError):
         batch.run_batch(spark, cfg)
+    assert spark.read.parquet(cfg.path("error/rejects")).count() == 1
+    for name, rows in (("customer_raw", 8), ("sales_team_raw", 8)):
+        base = cfg.path(f"snapshots/{name}")
+        month = "sales_date_month" if name == "customer_raw" else "sales_month"
+        schema = spark.read.parquet(base).drop("snapshot_id").schema
+        assert writers.read_latest_snapshot(spark, base, schema, month).count() == rows
     assert marts_of(spark, cfg) == (GOLDEN_CUSTOMER_MONTHLY, GOLDEN_SALES_TEAM_MONTHLY)
     raw = spark.read.parquet(cfg.path("marts/sales_team_raw"))
     assert raw.count() == 8
@@ -174,7 +182,7 @@ def test_bad_rows_are_kept_per_file_and_not_duplicated(spark, golden, workdir):
         batch.run_batch(spark, config(golden, workdir, fail_at=die_before_close, snapshots=False, csv_export=False))
     cfg = config(golden, workdir, snapshots=False, csv_export=False)
     batch.run_batch(spark, cfg)
-    bad = spark.read.parquet(cfg.path("error/bad_rows")).collect()
+    bad = batch.read_bad_rows(spark, cfg).collect()
     assert len(bad) == 1 and bad[0].record.startswith("1,121,Oil")
     assert batch.read_fact(spark, cfg).count() == 1
 
@@ -215,3 +223,68 @@ def test_concurrent_sinks_report_a_failure_after_all_finish(spark, workdir):
     with pytest.raises(SinkError, match="bad"):
         batch.run_concurrently({"good": good, "bad": bad})
     assert done == ["good"] and spark.read.parquet(out).count() == 10
+
+
+def test_months_of_a_dead_run_are_corrected(spark, golden, workdir):
+    """A run dies before closing, the file is corrected from March to April, the next run takes it again."""
+    land = os.path.join(workdir, "landing")
+    row = "\n1,121,Sugar,{},1,100.00,1,100.00\n"
+    write_file(land, "d.csv", CSV_HEADER + row.format("2023-03-03"))
+
+    def die(name):
+        if name == "close":
+            raise Boom(name)
+
+    with pytest.raises(Boom):
+        batch.run_batch(spark, config(golden, workdir, fail_at=die))
+    write_file(land, "d.csv", CSV_HEADER + row.format("2023-04-03"))
+    cfg = config(golden, workdir)
+    batch.run_batch(spark, cfg)
+    assert batch.read_fact(spark, cfg).count() == 1
+    assert marts_of(spark, cfg) == ({(1, "Ana Roy", "2023-04", D("100.00"))}, {(121, 1, "2023-04", D("100.00"), D("1.00"))})
+    for name in ("marts/customer_raw", "marts/sales_team_raw", "exports/seller_incentives"):
+        assert [v for _, v in writers.partition_folders(spark, cfg.path(name), 1)] in (
+            [{"sales_date_month": "2023-04"}], [{"sales_month": "2023-04"}])
+    schema = spark.read.parquet(cfg.path("snapshots/customer_raw")).drop("snapshot_id").schema
+    latest = writers.read_latest_snapshot(spark, cfg.path("snapshots/customer_raw"), schema, "sales_date_month")
+    assert [r.sales_date_month for r in latest.collect()] == ["2023-04"]
+
+
+def test_redelivered_name_is_processed(spark, golden, workdir):
+    cfg = config(golden, workdir, snapshots=False, csv_export=False)
+    stage(workdir, "d.csv", MARCH_APRIL)
+    batch.run_batch(spark, cfg)
+    stage(workdir, "d.csv", MAY)            # the same name, other rows
+    batch.run_batch(spark, cfg)
+    assert batch.read_fact(spark, cfg).count() == len(SALES)
+    assert marts_of(spark, cfg) == (GOLDEN_CUSTOMER_MONTHLY, GOLDEN_SALES_TEAM_MONTHLY)
+
+
+def test_roots_come_from_the_registry(spark, golden, workdir):
+    stage(workdir, "day1.csv", MARCH_APRIL)
+    write_file(os.path.join(workdir, "other"), "day2.csv", "\n".join([CSV_HEADER] + sales_csv_lines(MAY)) + "\n")
+    rows = [("b", os.path.join(workdir, "landing"), None, None, "Active"), ("b", os.path.join(workdir, "other"), None, None, "off")]
+    cfg = config(golden, workdir, snapshots=False, csv_export=False)
+    cfg.landing = spark.createDataFrame(rows, schemas.SOURCE_REGISTRY)
+    batch.run_batch(spark, cfg)
+    assert batch.read_fact(spark, cfg).count() == len(MARCH_APRIL)
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from tillroll import session
+    from tillroll.errors import ConfigError
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext, conf = Context(), {}
+
+    with pytest.raises(ConfigError):
+        session.ensure_checkpoint_dir(Session())

@@ -15,3 +15,7 @@ class DuplicateKeyError(TillrollError):
 
 class SinkError(TillrollError):
     """A sink write failed; the run must not be closed in the ledger."""
+
+
+class ConfigError(TillrollError):
+    """The session lacks a setting that a cluster run needs."""

@@ -16,18 +16,18 @@ def extra_columns(header: list[str]) -> list[str]:
     return [c for c in header if c not in MANDATORY_COLUMNS]
 
 
-def conform_frame(df: DataFrame, header: list[str], lineage: str | None = None) -> DataFrame:
+def conform_frame(df: DataFrame, header: list[str], lineage: str | list[str] | None = None) -> DataFrame:
     """Bind by name (any column order), fold surplus columns into
     ``additional_column`` and cast to the declared sale schema.
 
-    ``lineage`` names a column (e.g. the source file) kept after the nine
+    ``lineage`` names columns (e.g. the source file) kept after the nine
     canonical ones.
     """
     cols = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in SALE.fields
             if f.name != ADDITIONAL_COLUMN]
     cols.append(fold_extras(extra_columns(header)).alias(ADDITIONAL_COLUMN))
-    if lineage:
-        cols.append(F.col(lineage))
+    for name in [lineage] if isinstance(lineage, str) else lineage or []:
+        cols.append(F.col(name))
     return df.select(*cols)
 
 

@@ -1,32 +1,34 @@
 """File contract, quarantine and the conformed batch.
 
 ``check_contract`` turns a manifest into one verdict row per file;
-``read_accepted`` reads the accepted files (one scan per distinct header)
-into the canonical sale table plus a table of rows that did not parse;
-``quarantine`` copies the rejected files' lines to the error area.
+``read_accepted`` reads the accepted files (one scan per distinct header) into
+the canonical sale rows and the rows that did not parse; ``quarantine`` copies
+the rejected files, byte for byte, to the error area.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.errors import NoInputError
 from tillroll.operators.conform import conform_frame, union_all
 from tillroll.schemas import MANDATORY_COLUMNS
-from tillroll.sources.csv import CORRUPT_COLUMN, probe_headers, scan_csv
+from tillroll.sources.csv import CORRUPT_COLUMN, literal_path, probe_headers, scan_csv
 from tillroll.sources.files import split_by_format
 
 # Rejection reasons.
 REASON_NOT_CSV = "not_csv"
 REASON_EMPTY = "empty_file"
 REASON_MISSING = "missing_columns"
+REASON_REPEATED = "repeated_columns"
 
-VERDICT_COLUMNS = ["path", "file_name", "modificationTime", "length", "header_line", "raw_header",
+VERDICT_COLUMNS = ["path", "location", "file_name", "modificationTime", "length", "header_line", "raw_header",
                    "header", "missing", "extras", "accepted", "reason"]
+# Files above this are copied by the file system, not through a row.
+CONTENT_BYTES = 256 << 20
 
 
 def check_contract(manifest: DataFrame) -> DataFrame:
@@ -34,113 +36,105 @@ def check_contract(manifest: DataFrame) -> DataFrame:
 
     ``missing`` = mandatory names absent from the header (a non-empty set
     rejects the file); ``extras`` = header names that are not mandatory, in
-    header order. Non-CSV and empty files are rejected too.
+    header order. Non-CSV files, files without a line and headers that name a
+    column twice (in any case of letters) are rejected too; one file's
+    verdict never depends on another's.
     """
     csv_files, others = split_by_format(manifest)
     probed = probe_headers(csv_files)
     mandatory = F.array(*[F.lit(c) for c in MANDATORY_COLUMNS])
     hdr = F.col("header")
+    lowered = F.transform(hdr, F.lower)
+    repeated = F.size(F.array_distinct(lowered)) < F.size(hdr)
     checked = (csv_files.join(probed, "path", "left")
                .withColumn("missing", F.when(hdr.isNull(), mandatory).otherwise(F.array_except(mandatory, hdr)))
                .withColumn("extras", F.when(hdr.isNull(), F.array().cast("array<string>"))
                            .otherwise(F.array_except(hdr, mandatory)))
-               .withColumn("accepted", hdr.isNotNull() & (F.size("missing") == 0))
                .withColumn("reason", F.when(hdr.isNull(), F.lit(REASON_EMPTY))
-                           .when(F.size("missing") > 0, F.lit(REASON_MISSING))))
-    rejected_other = (others
-                      .withColumn("header_line", F.lit(None).cast("string"))
-                      .withColumn("raw_header", F.lit(None).cast("array<string>"))
-                      .withColumn("header", F.lit(None).cast("array<string>"))
-                      .withColumn("missing", F.lit(None).cast("array<string>"))
-                      .withColumn("extras", F.lit(None).cast("array<string>"))
-                      .withColumn("accepted", F.lit(False))
-                      .withColumn("reason", F.lit(REASON_NOT_CSV)))
+                           .when(F.size("missing") > 0, F.lit(REASON_MISSING))
+                           .when(repeated, F.lit(REASON_REPEATED)))
+               .withColumn("accepted", F.col("reason").isNull()))
+    none = F.lit(None).cast("array<string>")
+    rejected_other = others.select(
+        "*", F.lit(None).cast("string").alias("header_line"), none.alias("raw_header"), none.alias("header"),
+        none.alias("missing"), none.alias("extras"), F.lit(False).alias("accepted"),
+        F.lit(REASON_NOT_CSV).alias("reason"))
     return checked.select(*VERDICT_COLUMNS).unionByName(rejected_other.select(*VERDICT_COLUMNS))
 
 
 @dataclass
 class Batch:
-    sale: DataFrame        # canonical 9 columns + source_file
-    bad_rows: DataFrame    # source_file, _corrupt_record
+    rows: DataFrame        # canonical 9 columns, source_file, record, parsed
     verdicts: DataFrame    # check_contract output
-    scans: list = field(default_factory=list)   # persisted raw scans, see read_accepted
 
-    def release(self) -> None:
-        for df in self.scans:
-            df.unpersist()
+    @property
+    def sale(self) -> DataFrame:
+        """Rows that parsed: canonical columns + source_file."""
+        return self.rows.where(F.col("record").isNull()).drop("record", "parsed")
 
+    @property
+    def bad_rows(self) -> DataFrame:
+        """Rows that did not: source_file, their text, what could be parsed."""
+        return self.rows.where(F.col("record").isNotNull()).select("source_file", "record", "parsed")
 
-def read_accepted(spark: SparkSession, verdicts: DataFrame, persist: bool = False) -> Batch:
-    """U1 over S1: one scan per distinct header, conformed and unioned.
 
-    With ``persist`` each scan is kept (memory, spilling to disk) so that
-    the sale rows and the bad rows come from one parse of the CSV text;
-    lost blocks are re-read from the files. Call ``Batch.release()`` after.
+def read_accepted(spark: SparkSession, verdicts: DataFrame) -> Batch:
+    """U1 over S1: one scan per distinct header, conformed and unioned. Good
+    and bad rows come from the same parse and are told apart by ``record``,
+    the text of a row that did not parse.
 
-    The distinct headers and their file paths are the only thing taken to
-    the driver: Spark's reader needs the paths, and the number of distinct
-    layouts is small. Rows that fail to parse go to ``bad_rows``.
+    The accepted files' locations, one row each, go to the driver because
+    Spark's file readers take their paths there.
     """
-    groups = (verdicts.where(F.col("accepted"))
-              .groupBy("raw_header", "header").agg(F.collect_list("path").alias("paths"))
-              .collect())
-    if not groups:
+    by_header: dict[tuple, list[str]] = {}
+    for r in verdicts.where(F.col("accepted")).select("raw_header", "location").toLocalIterator():
+        by_header.setdefault(tuple(r["raw_header"]), []).append(r["location"])
+    if not by_header:
         raise NoInputError("no file passed the contract")
-    good, bad, scans = [], [], []
-    for g in groups:
-        raw = scan_csv(spark, list(g["paths"]), list(g["raw_header"]))
-        if persist:
-            raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
-            scans.append(raw)
-        good.append(conform_frame(raw.where(F.col(CORRUPT_COLUMN).isNull()), list(g["header"]),
-                                  lineage="source_file"))
-        # The parsed values ride along: Spark refuses a CSV scan that needs
-        # only the corrupt-record column, and they help whoever fixes the file.
-        parsed = F.to_json(F.struct(*[F.col(f"`{c}`") for c in g["header"]]))
-        bad.append(raw.where(F.col(CORRUPT_COLUMN).isNotNull())
-                   .select("source_file", F.col(CORRUPT_COLUMN).alias("record"), parsed.alias("parsed")))
-    return Batch(union_all(good), union_all(bad), verdicts, scans)
-
-
-def rejected_lines(spark: SparkSession, verdicts: DataFrame) -> DataFrame:
-    """The lines of every rejected file: (source_file, file_name, reason, line, is_header)."""
-    rejected = verdicts.where(~F.col("accepted")).select("path", "file_name", "reason", "header_line")
-    paths = [r["path"] for r in rejected.select("path").collect()]
-    if not paths:
-        return spark.createDataFrame([], "source_file string, file_name string, reason string, "
-                                         "line string, is_header boolean")
-    lines = spark.read.text(paths).select(F.col("value").alias("line"),
-                                          F.col("_metadata.file_path").alias("path"),
-                                          F.col("_metadata.file_block_start").alias("block"))
-    # File sizes differ by orders of magnitude from line counts: the
-    # per-file verdicts are the small side and are joined by path.
-    joined = lines.join(F.broadcast(rejected) if len(paths) <= 100_000 else rejected, "path")
-    is_header = ((F.col("block") == 0) & (F.col("reason") != REASON_NOT_CSV)
-                 & (F.col("line") == F.col("header_line")))
-    return joined.select(F.col("path").alias("source_file"), "file_name", "reason", "line",
-                         is_header.alias("is_header"))
+    frames = []
+    for raw_header, locations in by_header.items():
+        header = [c.strip() for c in raw_header]
+        raw = scan_csv(spark, locations, list(raw_header))
+        parsed = F.when(F.col(CORRUPT_COLUMN).isNotNull(), F.to_json(F.struct(*[F.col(f"`{c}`") for c in header])))
+        kept = raw.select("*", parsed.alias("__parsed"))
+        frames.append(conform_frame(kept, header, lineage=["source_file", CORRUPT_COLUMN, "__parsed"]))
+    rows = union_all(frames).withColumnRenamed(CORRUPT_COLUMN, "record").withColumnRenamed("__parsed", "parsed")
+    return Batch(rows, verdicts)
+
+
+def quarantine(spark: SparkSession, verdicts: DataFrame, error_dir: str, run_id: str = "0") -> DataFrame:
+    """V3: every rejected file as it is, and its verdict, under the run.
+
+    ``error_dir/files/run_id=..`` holds one row per file with its bytes
+    (``content``), so order, line ends and binary formats survive;
+    ``error_dir/rejects/run_id=..`` holds the verdicts. A file above
+    ``CONTENT_BYTES`` is copied as a file by its file system instead, to
+    ``error_dir/large/run_id=../<hash of its path>``, and has null content.
+    A run's folders are replaced when it is repeated. The files themselves
+    stay where they are; the ledger keeps them from being taken again.
+    Returns the copied rows as written.
+    """
+    rejected = verdicts.where(~F.col("accepted")).select("path", "location", "file_name", "length", "reason", "missing",
+                                                         file_id().alias("file_id"))
+    base = error_dir.rstrip("/")
+    rejected.drop("location").write.mode("overwrite").parquet(f"{base}/rejects/run_id={run_id}")
+    target = f"{base}/files/run_id={run_id}"
+    small = [literal_path(r["location"]) for r in
+             rejected.where(F.col("length") <= CONTENT_BYTES).select("location").toLocalIterator()]
+    schema = "path string, content binary"
+    contents = (spark.read.format("binaryFile").load(small).select(F.col("_metadata.file_path").alias("path"), "content")
+                if small else spark.createDataFrame([], schema))
+    # Joined on the path: content rows are large, verdicts are not.
+    (rejected.select("path", "file_name", "file_id", "reason").join(contents, "path", "left")
+     .write.mode("overwrite").parquet(target))
+    fs = spark._jvm.org.apache.hadoop.fs
+    for r in rejected.where(F.col("length") > CONTENT_BYTES).select("location", "file_id").toLocalIterator():
+        conf = spark._jsc.hadoopConfiguration()
+        source, copy = fs.Path(r["location"]), fs.Path(f"{base}/large/run_id={run_id}/{r['file_id']}")
+        fs.FileUtil.copy(source.getFileSystem(conf), source, copy.getFileSystem(conf), copy, False, True, conf)
+    return spark.read.parquet(target)
 
 
 def file_id(path_col: str = "path"):
-    """Stable id of a file from its full location (two drops may share a
-    base name)."""
+    """Stable id of a file from its identity (two drops may share a base name)."""
     return F.xxhash64(F.col(path_col))
-
-
-def quarantine(spark: SparkSession, verdicts: DataFrame, error_dir: str) -> DataFrame:
-    """V3: copy each rejected file's lines to ``error_dir/lines`` and its
-    verdict to ``error_dir/rejects``, one folder per file
-    (``file_name=<name>/file_id=<hash of the full path>``). The files
-    themselves are left in place and excluded from the batch by the
-    manifest. Both writes replace a file's folder (dynamic overwrite), so a
-    file rejected again by a later run is not duplicated. Returns the
-    rejected lines as written."""
-    from tillroll.sinks.writers import write_partitioned
-
-    lines = rejected_lines(spark, verdicts).withColumn("file_id", file_id("source_file"))
-    write_partitioned(lines.select("line", "file_name", "file_id"), f"{error_dir}/lines",
-                      ["file_name", "file_id"], fmt="text")
-    rejects = (verdicts.where(~F.col("accepted"))
-               .select("path", "reason", "missing", "file_name", file_id().alias("file_id")))
-    write_partitioned(rejects, f"{error_dir}/rejects", ["file_name", "file_id"])
-    return lines

@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators.sizing import (broadcast_limit, broadcast_small, key_profile,
-                                      raise_on_duplicates)
+from tillroll.operators.sizing import broadcast_small, key_profile, raise_on_duplicates, small_sides
 
 ENRICHED_COLUMNS = [
     "customer_id", "store_id", "sales_person_id", "sales_date", "total_cost",
@@ -75,21 +74,20 @@ def enrich(sale: DataFrame, customer: DataFrame, store: DataFrame, sales_team: D
     """The three joins, then one projection with unique names.
 
     ``check_keys`` refuses dimensions with duplicate keys, which would fan
-    out fact rows. Each dimension is broadcast only when its row count is
-    proven to be within the bound; otherwise the planner shuffles both sides
+    out fact rows. Each dimension is broadcast only when its rows and bytes
+    are proven to be within the bounds; otherwise the planner shuffles both sides
     on the key (and AQE may still switch to a broadcast from the observed
     shuffle size). Keys and sizes of all three dimensions are checked in one
     Spark job (or, without the key check, one bounded count job).
     """
     keys = {"customer": "customer_id", "store": "id", "sales_team": "id"}
     frames = {"customer": customer, "store": store, "sales_team": sales_team}
-    bound = broadcast_limit(sale)
     if check_keys:
         profile = key_profile({n: (frames[n], keys[n]) for n in keys})
         raise_on_duplicates(profile, keys)
-        small = {n: profile[n][0] <= bound for n in keys}
+        small = small_sides(profile, sale)
     else:
-        hinted = broadcast_small([frames[n] for n in keys], bound)
+        hinted = broadcast_small([frames[n] for n in keys])
         small = {n: h is not frames[n] for n, h in zip(keys, hinted)}
     fact = sale.select("customer_id", "store_id", "sales_person_id", "sales_date", "total_cost")
     j1 = join_customer(fact, customer, small["customer"]).select(

@@ -14,11 +14,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillroll.functions.columns import full_name, incentive, month_bucket, total_money
-from tillroll.operators.sizing import broadcast_limit, key_profile, raise_on_duplicates
+from tillroll.operators.sizing import key_profile, raise_on_duplicates, small_sides
+from tillroll.session import staged
 
+# The raw marts' columns.
 CUSTOMER_RAW_COLUMNS = ["customer_id", "first_name", "last_name", "address", "pincode",
                         "phone_number", "sales_date", "total_cost"]
 SALES_TEAM_RAW_COLUMNS = ["store_id", "sales_person_id", "sales_person_first_name",
@@ -46,8 +47,10 @@ def partition_total(df: DataFrame, keys: list[str], value: str, name: str) -> Da
     every row of a partition in one task, so a key holding a third of all
     rows would be a third of the job in one task. Here the per-key totals
     are one row per key, and a hot key on the fact side of the join is split
-    by AQE's skew-join handling.
+    by AQE's skew-join handling. ``df`` is written once to the shared folder:
+    both sides read those rows, so what made them runs once.
     """
+    df = staged(df, "partition-total")
     totals = df.groupBy(*keys).agg(F.sum(value).alias(name))
     tk = [f"__k{i}" for i in range(len(keys))]
     totals = totals.select(*[F.col(k).alias(t) for k, t in zip(keys, tk)], name)
@@ -59,7 +62,8 @@ def window_total_customer(raw: DataFrame) -> DataFrame:
     """W1 + D1: partition sum over (customer, month) on every row, then
     distinct rows. Same result as :func:`customer_monthly` when the customer
     attributes depend on the key; kept for parity, not for production."""
-    rows = raw.withColumn("sales_date_month", month_bucket("sales_date"))
+    rows = raw.select("customer_id", "first_name", "last_name", "address", "phone_number", "total_cost",
+                      month_bucket("sales_date").alias("sales_date_month"))
     return (partition_total(rows, ["customer_id", "sales_date_month"], "total_cost", "window_total")
             .select("customer_id", full_name("first_name", "last_name").alias("full_name"),
                     "address", "phone_number", "sales_date_month",
@@ -69,7 +73,8 @@ def window_total_customer(raw: DataFrame) -> DataFrame:
 
 def window_total_seller(raw: DataFrame) -> DataFrame:
     """W2 + D1: partition sum over (store, seller, month), then distinct."""
-    rows = raw.withColumn("sales_month", month_bucket("sales_date"))
+    rows = raw.select("store_id", "sales_person_id", "sales_person_first_name", "sales_person_last_name", "total_cost",
+                      month_bucket("sales_date").alias("sales_month"))
     keys = ["store_id", "sales_person_id", "sales_month"]
     return (partition_total(rows, keys, "total_cost", "window_total")
             .select("store_id", "sales_person_id",
@@ -160,8 +165,7 @@ def _checked_dims(sale: DataFrame, customer: DataFrame, store: DataFrame,
     frames = {"customer": customer, "store": store, "sales_team": sales_team}
     profile = key_profile({n: (frames[n], keys[n]) for n in keys})
     raise_on_duplicates(profile, keys)
-    bound = broadcast_limit(sale)
-    return {n: profile[n][0] <= bound for n in keys}
+    return small_sides(profile, sale)
 
 
 def _semi(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str, small: bool) -> DataFrame:
@@ -223,12 +227,7 @@ def sales_team_monthly_from_sales(sale: DataFrame, customer: DataFrame, store: D
                          incentive("total_sales", F.col("is_top")).alias("incentive"))
 
 
-# --- rank() without a row-level window over the whole group ---
-
-CONF_RANK_BUCKET_ROWS = "tillroll.rank.bucketRows"
-DEFAULT_RANK_BUCKET_ROWS = 1_000_000   # distinct values one window task may sort
-RANK_BUCKETS = 64                      # value buckets for a group above that size
-
+# --- rank() without a window over the whole group ---
 
 def _same(left: DataFrame, right: DataFrame, left_cols: list[str], right_cols: list[str]):
     """NULL-safe equality of column lists (a NULL group is a group)."""
@@ -242,65 +241,30 @@ def rank_desc(df: DataFrame, group_cols: list[str], value_col: str, rank_col: st
 
     rank = 1 + the number of rows of the group with a strictly greater
     value (NULLs count as smallest). Rows are first collapsed to one row per
-    distinct (group, value) with its count, so ties cost nothing. A group
-    with more distinct values than ``tillroll.rank.bucketRows`` is cut into
-    value ranges at its approximate quantiles. The quantile table is
-    checkpointed in the shared checkpoint folder, so the bucket of a value
-    cannot change if a stage is recomputed. Each window then works on one
-    bucket (its values' counts) or on one group's bucket totals. The ranks
-    are joined back to the rows on (group, value). The input is read once:
-    it is checkpointed first (here it is already aggregated, one row per
-    seller and month).
+    distinct (group, value) with its count, so ties cost nothing. These rows
+    are range-partitioned by (group, value): a group takes as many partitions
+    as its share of the rows asks for, at any size. Written with their
+    partition number, they are summed within each (group, partition), and a
+    group's partition totals (at most one row per partition) give the offset.
+    ``df`` itself is read from one staged copy, so what made it runs once.
     """
-    from tillroll.session import ensure_checkpoint_dir
-
-    spark = df.sparkSession
-    limit = int(spark.conf.get(CONF_RANK_BUCKET_ROWS, str(DEFAULT_RANK_BUCKET_ROWS)))
-    g = [F.col(c) for c in group_cols]
-    v = F.col(value_col)
-    ensure_checkpoint_dir(spark)
-    # One pass over the input, saved in the shared checkpoint folder: the
-    # counts below and the final join read it instead of recomputing it.
-    df = df.checkpoint(eager=True)
+    df = staged(df, "rank-rows")
+    g, v = [F.col(c) for c in group_cols], F.col(value_col)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = df.groupBy(*g, v).agg(F.count(F.lit(1)).alias("__n"))
-
-    # Quantile cuts, only for the groups too large for one task.
-    sizes = counts.groupBy(*[F.col(c).alias(f"__s{i}") for i, c in enumerate(group_cols)]) \
-        .agg(F.count(F.lit(1)).alias("__d")).where(F.col("__d") > limit)
-    cut_keys = [f"__c{i}" for i in range(len(group_cols))]
-    if sizes.isEmpty():
-        # Every group fits one task: a single value range (plus NULLs).
-        bucket = F.when(v.isNull(), F.lit(RANK_BUCKETS)).otherwise(F.lit(0))
-        bucketed = counts.select(*g, v, "__n", bucket.alias("__b"))
-    else:
-        big = counts.join(sizes, _same(counts, sizes, group_cols, [f"__s{i}" for i in range(len(group_cols))]),
-                          "left_semi")
-        probs = [i / RANK_BUCKETS for i in range(1, RANK_BUCKETS)]
-        cuts = (big.where(v.isNotNull()).groupBy(*g)
-                .agg(F.array_distinct(F.percentile_approx(v, probs)).alias("__q"))
-                .checkpoint(eager=True))
-        cuts = cuts.select(*[F.col(c).alias(k) for c, k in zip(group_cols, cut_keys)], "__q")
-        # Bucket 0 holds the largest values; NULL values go after every bucket.
-        q = F.coalesce(F.col("__q"), F.array().cast(T.ArrayType(counts.schema[value_col].dataType)))
-        bucket = F.when(v.isNull(), F.lit(RANK_BUCKETS)).otherwise(F.size(F.filter(q, lambda x: x > v)))
-        bucketed = (counts.join(cuts, _same(counts, cuts, group_cols, cut_keys), "left")
-                    .select(*g, v, "__n", bucket.alias("__b")))
-
-    # Rows in higher buckets (a window over one group's bucket totals) ...
-    per_bucket = bucketed.groupBy(*g, "__b").agg(F.sum("__n").alias("__bn"))
-    above = Window.partitionBy(*g).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = staged(counts.repartitionByRange(n, *[c.asc_nulls_last() for c in g], v.desc_nulls_last())
+                    .withColumn("__p", F.spark_partition_id()), "rank-ranges")
+    above = Window.partitionBy(*g).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
     off_keys = [f"__o{i}" for i in range(len(group_cols))]
-    offsets = per_bucket.select(*[F.col(c).alias(k) for c, k in zip(group_cols, off_keys)],
-                                F.col("__b").alias("__ob"),
-                                F.coalesce(F.sum("__bn").over(above), F.lit(0)).alias("__off"))
-    # ... plus rows with a greater value in the same bucket (one bucket per window).
-    greater = (Window.partitionBy(*g, "__b").orderBy(v.desc_nulls_last())
+    offsets = ranged.groupBy(*g, "__p").agg(F.sum("__n").alias("__pn")).select(
+        *[F.col(c).alias(k) for c, k in zip(group_cols, off_keys)], F.col("__p").alias("__op"),
+        F.coalesce(F.sum("__pn").over(above), F.lit(0)).alias("__off"))
+    greater = (Window.partitionBy(*g, "__p").orderBy(v.desc_nulls_last())
                .rowsBetween(Window.unboundedPreceding, -1))
-    within = bucketed.select(*g, v, "__b", F.coalesce(F.sum("__n").over(greater), F.lit(0)).alias("__in"))
-    ranks = (within.join(offsets, _same(within, offsets, group_cols, off_keys)
-                         & (within["__b"] == offsets["__ob"]))
-             .select(*[F.col(c).alias(k) for c, k in zip(group_cols, cut_keys)],
-                     v.alias("__v"), (F.lit(1) + F.col("__off") + F.col("__in")).cast("int").alias(rank_col)))
-
-    on_rows = _same(df, ranks, group_cols, cut_keys) & df[value_col].eqNullSafe(ranks["__v"])
+    within = ranged.select(*g, v, "__p", F.coalesce(F.sum("__n").over(greater), F.lit(0)).alias("__in"))
+    keys = [f"__c{i}" for i in range(len(group_cols))]
+    ranks = (within.join(offsets, _same(within, offsets, group_cols, off_keys) & (within["__p"] == offsets["__op"]))
+             .select(*[F.col(c).alias(k) for c, k in zip(group_cols, keys)], v.alias("__v"),
+                     (F.lit(1) + F.col("__off") + F.col("__in")).cast("int").alias(rank_col)))
+    on_rows = _same(df, ranks, group_cols, keys) & df[value_col].eqNullSafe(ranks["__v"])
     return df.join(ranks, on_rows, "inner").select(*df.columns, rank_col)

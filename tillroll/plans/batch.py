@@ -2,23 +2,29 @@
 
 Order of a run (each step a Spark job over DataFrames):
 
-1. discover the landing roots (S4) and drop files already closed in the
-   ledger (L5); files still in state ``A`` are taken again (L3);
-2. check the contract (S2, S5, V1-V4), quarantine rejected files (V3);
+1. discover the landing roots (S4; given, or the active ones of a source
+   registry, S7) and drop files already closed or rejected in the ledger
+   (L5); files still in state ``A`` are taken again (L3);
+2. check the contract (S2, S5, V1-V4), quarantine rejected files (V3) and
+   note them in the ledger;
 3. open the accepted files in the ledger (L1);
-4. read, conform and union them (S1, P1-P3, U1) and write the fact, by
-   ``sales_month`` and file, with dynamic overwrite: re-running a file
-   replaces exactly its rows;
-5. recompute the marts for the months this batch touched from the whole
-   fact, and overwrite just those month partitions (A1, A2, K2);
-6. write the raw marts, their snapshot and the CSV export (K1, K4, K5),
-   and the JDBC sink when configured (K3, appended under a snapshot id
-   so that a repeated refresh supersedes rather than doubles rows);
-7. close the files (L2) only after every sink succeeded.
-
-A failure anywhere before 7 leaves the files in state ``A``; the next run
-takes them again and, because every write in 4-6 replaces by key, ends in
-the same state as a single clean run.
+4. read, conform and union them (S1, P1-P3, U1) and write this run's part of
+   the fact, ``fact/run_id=../bad=../sales_month=..``: good and bad rows from
+   one parse, in one write; note the run's months;
+5. recompute the marts for these months, and for those of runs that died
+   before closing, from the fact of the closed runs and this one, and replace
+   just those month partitions, emptied ones included (A1, A2, K2);
+6. write the raw marts, their snapshots and the CSV export (K1, K4, K5), and
+   the JDBC sink when configured (K3, marked as a snapshot when complete);
+7. close the run and its files (L2) only after every sink succeeded.
+
+The fact is laid out by run, not by file: folders grow with runs x months, a
+run replaces its own folder when it is repeated, the ledger says which runs
+count (those that closed their files) and a small table of run events which
+months each holds, so a refresh opens just those folders and the whole tree
+is never listed. A
+run that died leaves its files in state ``A``; the next run takes them again
+under its own id, refreshes the dead run's months too, and gives it up (X).
 """
 
 from __future__ import annotations
@@ -27,7 +33,6 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,14 +40,15 @@ from pyspark.sql import types as T
 from tillroll.errors import NoInputError, SinkError
 from tillroll.functions.columns import month_bucket
 from tillroll.operators import contract, enrich, ledger, marts
-from tillroll.schemas import SALE, SALE_COLUMNS
+from tillroll.schemas import RUN_EVENTS, SALE, SALE_COLUMNS, STATUS_INACTIVE
+from tillroll.session import staged
 from tillroll.sinks import writers
 from tillroll.sources import files
 
 
 @dataclass
 class BatchConfig:
-    landing: list[str]
+    landing: list[str] | DataFrame        # roots, or a source registry (S7)
     warehouse: str
     customer: DataFrame
     store: DataFrame
@@ -53,16 +59,20 @@ class BatchConfig:
     # Test hook: called with a step name before that step runs.
     fail_at: Callable[[str], None] | None = field(default=None, repr=False)
 
+    def roots(self) -> list[str]:
+        return self.landing if isinstance(self.landing, list) else files.active_roots(self.landing)
+
     def path(self, name: str) -> str:
         return f"{self.warehouse.rstrip('/')}/{name}"
 
 
 # Database tables of the marts (the original's names).
 JDBC_TABLES = {"customer_monthly": "customers_data_mart", "sales_team_monthly": "sales_team_data_mart"}
-FACT_PARTITIONS = ["sales_month", "file_id"]
-FACT = T.StructType(SALE.fields + [T.StructField("source_file", T.StringType()),
-                                   T.StructField("sales_month", T.StringType()),
-                                   T.StructField("file_id", T.LongType())])
+FACT_PARTITIONS = ["bad", "sales_month"]
+BAD_FIELDS = [T.StructField("source_file", T.StringType()), T.StructField("record", T.StringType()),
+              T.StructField("parsed", T.StringType())]
+FACT = T.StructType(SALE.fields + BAD_FIELDS + [T.StructField("run_id", T.StringType()), T.StructField("bad", T.IntegerType()),
+                                                T.StructField("sales_month", T.StringType())])
 
 
 def run_concurrently(actions: dict[str, Callable[[], None]]) -> None:
@@ -84,139 +94,155 @@ def _step(cfg: BatchConfig, name: str) -> None:
         cfg.fail_at(name)
 
 
-def read_fact(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
-    return spark.read.schema(FACT).parquet(cfg.path("fact"))
-
-
-def process_manifest(spark: SparkSession, manifest: DataFrame, cfg: BatchConfig,
-                     run_id: str) -> dict:
-    """Steps 2-7 for the files of ``manifest`` (path, file_name, ...)."""
+def _run_months(spark: SparkSession, cfg: BatchConfig, this_run: str | None = None) -> tuple[dict, dict]:
+    """Months per run that counts (closed in the ledger, or ``this_run``),
+    and per run that died before closing and was not given up. One event per
+    run and month, and one id per closed run, are all that is read."""
+    closed = {r[0] for r in ledger.read(spark, cfg.path("ledger")).where(F.col("status") == STATUS_INACTIVE)
+              .select("run_id").distinct().collect()}
+    events = ledger.read_or_empty(spark, cfg.path("runs"), RUN_EVENTS).distinct().collect()
+    months: dict[str, list] = {}
+    for r in events:
+        months.setdefault(r["run_id"], []).extend([r["sales_month"]] if r["state"] == "W" else [])
+    gone = {r["run_id"] for r in events if r["state"] == "X"}
+    live = {run: own for run, own in months.items() if run in closed or run == this_run}
+    return live, {run: own for run, own in months.items() if run not in live and run not in gone}
+
+
+def _note_run(spark: SparkSession, cfg: BatchConfig, rows: list[tuple]) -> None:
+    if rows:
+        spark.createDataFrame(rows, RUN_EVENTS).coalesce(1).write.mode("append").parquet(cfg.path("runs"))
+
+
+def _month_folder(month: str | None) -> str:
+    return f"sales_month={writers.NULL_PARTITION if month is None else month}"
+
+
+def read_fact(spark: SparkSession, cfg: BatchConfig, months: list | None = None, this_run: str | None = None) -> DataFrame:
+    """The conformed sales of the runs that count, or of ``months`` only:
+    just the folders that hold them are opened."""
+    live, _ = _run_months(spark, cfg, this_run)
+    folders = [f"{cfg.path('fact')}/run_id={run}/bad=0/{_month_folder(m)}" for run, own in live.items()
+               for m in own if months is None or m in months]
+    folders = writers.existing(spark, folders)  # a repeated run may hold fewer months than its first try
+    if not folders:
+        return spark.createDataFrame([], FACT).drop("record", "parsed", "bad")
+    rows = spark.read.schema(FACT).option("basePath", cfg.path("fact")).parquet(*folders)
+    return rows.drop("record", "parsed", "bad")
+
+
+def read_bad_rows(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
+    """Rows of accepted files that did not parse: source_file, record, parsed."""
+    live, _ = _run_months(spark, cfg)
+    have = {f: v for f, v in writers.partition_folders(spark, cfg.path("fact"), 2)}
+    folders = [f for f, v in have.items() if v["bad"] == "1" and v["run_id"] in live]
+    if not folders:
+        return spark.createDataFrame([], T.StructType(BAD_FIELDS))
+    return (spark.read.schema(FACT).option("basePath", cfg.path("fact")).parquet(*folders)
+            .select("source_file", "record", "parsed"))
+
+
+def process_manifest(spark: SparkSession, manifest: DataFrame, cfg: BatchConfig, run_id: str) -> dict:
+    """Steps 2-7 for the files of ``manifest`` (path, location, file_name, ...)."""
     state = ledger.read(spark, cfg.path("ledger"))
     todo = ledger.pending(manifest, state)
     files.require_input(todo, "new or unfinished file")
 
     _step(cfg, "contract")
-    verdicts = contract.check_contract(todo).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if verdicts.where(~F.col("accepted")).limit(1).count():
-            contract.quarantine(spark, verdicts, cfg.path("error"))
-        accepted = verdicts.where(F.col("accepted")).select("path", "file_name")
-        if accepted.isEmpty():
-            raise NoInputError("no file passed the contract")
-
-        _step(cfg, "open")
-        ledger.append(ledger.open_files(accepted, run_id), cfg.path("ledger"))
-
-        _step(cfg, "fact")
-        batch = contract.read_accepted(spark, verdicts, persist=True)
-        try:
-            fact = batch.sale.select(*SALE_COLUMNS, "source_file",
-                                     month_bucket("sales_date").alias("sales_month"),
-                                     F.xxhash64("source_file").alias("file_id"))
-            writers.write_partitioned(fact, cfg.path("fact"), FACT_PARTITIONS)
-            # Bad rows by file, replaced when a file is taken again. Written
-            # from the same persisted parse as the fact.
-            bad = batch.bad_rows.withColumn("file_id", F.xxhash64("source_file"))
-            writers.write_partitioned(bad, cfg.path("error/bad_rows"), ["file_id"])
-        finally:
-            batch.release()
-
-        _step(cfg, "marts")
-        refresh_months(spark, cfg, touched_months(spark, cfg, accepted))
-
-        _step(cfg, "close")
-        ledger.append(ledger.close_files(accepted, run_id), cfg.path("ledger"))
-    finally:
-        verdicts.unpersist()
+    verdicts = staged(contract.check_contract(todo), "verdicts")
+    rejected = verdicts.where(~F.col("accepted"))
+    if not rejected.isEmpty():
+        contract.quarantine(spark, verdicts, cfg.path("error"), run_id)
+        ledger.append(ledger.reject_files(rejected, run_id), cfg.path("ledger"))
+    accepted = verdicts.where(F.col("accepted")).select("path", "file_name", "modificationTime", "length")
+    if accepted.isEmpty():
+        raise NoInputError("no file passed the contract")
+
+    _step(cfg, "open")
+    ledger.append(ledger.open_files(accepted, run_id), cfg.path("ledger"))
+
+    _step(cfg, "fact")
+    rows = contract.read_accepted(spark, verdicts).rows
+    bad = F.col("record").isNotNull()
+    part = f"{cfg.path('fact')}/run_id={run_id}"
+    writers.write_partitioned(
+        rows.select(*SALE_COLUMNS, "source_file", "record", "parsed", bad.cast("int").alias("bad"),
+                    F.when(~bad, month_bucket("sales_date")).alias("sales_month")), part, FACT_PARTITIONS, dynamic=False)
+    written = [v["sales_month"] for _, v in writers.partition_folders(spark, part, 2) if v["bad"] == "0"]
+    _note_run(spark, cfg, [(run_id, m, "W") for m in written] or [(run_id, None, "E")])
+
+    _step(cfg, "marts")
+    _, dead = _run_months(spark, cfg, run_id)
+    months = set(written).union(*dead.values()) if dead else set(written)
+    # NULL (no sales date) is a month of its own and sorts first.
+    refresh_months(spark, cfg, sorted(months, key=lambda m: (m is not None, m or "")), run_id)
+
+    _step(cfg, "close")
+    # The one write that makes the run count, and its files done.
+    ledger.append(ledger.close_files(accepted, run_id), cfg.path("ledger"))
+    _note_run(spark, cfg, [(r, None, "X") for r in dead])
     return {"run_id": run_id, "warehouse": cfg.warehouse}
 
 
-def touched_months(spark: SparkSession, cfg: BatchConfig, run_files: DataFrame | None = None) -> list[str]:
-    """Months that hold rows of this run's files.
-
-    Read from the fact's partition folders only: the run's file ids (one per
-    file; the driver holds these paths already for the CSV reader) become a
-    literal ``IN`` on the ``file_id`` partition column, so Spark lists just
-    this run's folders and reads no data column. The result is a handful of
-    calendar months.
-    """
-    fact = read_fact(spark, cfg)
-    if run_files is not None:
-        ids = [r[0] for r in run_files.select(F.xxhash64("path")).distinct().collect()]
-        fact = fact.where(F.col("file_id").isin(ids))
-    months = {r[0] for r in fact.select("sales_month").distinct().collect()}
-    # NULL (no sales date) is a month of its own and sorts first.
-    return sorted(months, key=lambda m: (m is not None, m or ""))
-
-
-def refresh_months(spark: SparkSession, cfg: BatchConfig, months: list[str] | None = None) -> None:
-    """Recompute both marts for ``months`` (default: all months in the fact)
-    from the whole fact and replace only those month partitions (R2). The
-    months are a literal ``IN`` on the fact's partition column, so only their
-    folders are read."""
-    fact = read_fact(spark, cfg)
-    if months is not None:
-        month = F.col("sales_month")
-        keep = month.isin([m for m in months if m is not None])
-        if None in months:
-            keep = keep | month.isNull()
-        fact = fact.where(keep)
-    enriched = enrich.enrich(fact.select(*SALE_COLUMNS), cfg.customer, cfg.store, cfg.sales_team)
-    enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # Materialize once, so the concurrent sinks below all read the
-        # persisted rows instead of racing to compute them.
-        enriched.count()
-        c_raw = marts.customer_raw_mart(enriched)
-        s_raw = marts.sales_team_raw_mart(enriched)
-        c_mart = marts.customer_monthly(c_raw)
-        s_mart = marts.sales_team_monthly(s_raw)
-        sinks = {
-            "customer_monthly": lambda: writers.write_partitioned(
-                c_mart, cfg.path("marts/customer_monthly"), ["sales_date_month"]),
-            "sales_team_monthly": lambda: writers.write_partitioned(
-                s_mart, cfg.path("marts/sales_team_monthly"), ["sales_month"]),
-            "customer_raw": lambda: writers.write_partitioned(
-                c_raw.withColumn("sales_date_month", month_bucket("sales_date")),
-                cfg.path("marts/customer_raw"), ["sales_date_month"]),
-            "sales_team_raw": lambda: writers.write_partitioned(
-                s_raw, cfg.path("marts/sales_team_raw"), ["sales_month", "store_id"]),
-        }
-        if cfg.snapshots:
-            sinks["snapshot"] = lambda: writers.write_snapshot(
-                s_raw, cfg.path("snapshots/sales_team_raw"), partition_cols=["sales_month", "store_id"])
-        if cfg.csv_export:
-            sinks["csv_export"] = lambda: writers.write_csv_export(
-                s_mart, cfg.path("exports/seller_incentives"), ["sales_month", "store_id"])
-        run_concurrently(sinks)
-        if cfg.jdbc:
-            # Appended under one snapshot id per refresh; read with read_jdbc_mart.
-            j, sid = cfg.jdbc, writers.new_snapshot_id()
-            writers.write_jdbc_snapshot(c_mart, j["url"], j.get("customer_table", JDBC_TABLES["customer_monthly"]),
-                                        j.get("properties", {}), sid)
-            writers.write_jdbc_snapshot(s_mart, j["url"],
-                                        j.get("sales_team_table", JDBC_TABLES["sales_team_monthly"]),
-                                        j.get("properties", {}), sid)
-    finally:
-        enriched.unpersist()
+def refresh_months(spark: SparkSession, cfg: BatchConfig, months: list, this_run: str | None = None) -> None:
+    """Recompute both marts for ``months`` from the fact and replace only
+    those month partitions; a month without rows any more is removed (R2)."""
+    if not months:
+        return
+    fact = read_fact(spark, cfg, months, this_run)
+    # Written once to the shared folder; the concurrent sinks all read that.
+    enriched = staged(enrich.enrich(fact.select(*SALE_COLUMNS), cfg.customer, cfg.store, cfg.sales_team), "enriched")
+    c_raw = marts.customer_raw_mart(enriched).withColumn("sales_date_month", month_bucket("sales_date"))
+    s_raw = marts.sales_team_raw_mart(enriched)
+    c_mart = marts.customer_monthly(c_raw)
+    s_mart = marts.sales_team_monthly(s_raw)
+
+    def replace(df: DataFrame, name: str, cols: list[str], write=writers.write_partitioned) -> None:
+        # Emptied months first: a failure after this is repaired by the next run.
+        present = {r[0] for r in df.select(cols[0]).distinct().collect()}  # at most one row per month
+        writers.drop_partitions(spark, cfg.path(name), cols[0], [m for m in months if m not in present])
+        write(df, cfg.path(name), cols)
+
+    sinks = {
+        "customer_monthly": lambda: replace(c_mart, "marts/customer_monthly", ["sales_date_month"]),
+        "sales_team_monthly": lambda: replace(s_mart, "marts/sales_team_monthly", ["sales_month"]),
+        "customer_raw": lambda: replace(c_raw, "marts/customer_raw", ["sales_date_month"]),
+        "sales_team_raw": lambda: replace(s_raw, "marts/sales_team_raw", ["sales_month", "store_id"]),
+    }
+    if cfg.snapshots:
+        sinks["customer_snapshot"] = lambda: writers.write_month_snapshot(
+            c_raw, cfg.path("snapshots/customer_raw"), "sales_date_month", months)
+        sinks["sales_team_snapshot"] = lambda: writers.write_month_snapshot(
+            s_raw, cfg.path("snapshots/sales_team_raw"), "sales_month", months)
+    if cfg.csv_export:
+        sinks["csv_export"] = lambda: replace(s_mart, "exports/seller_incentives", ["sales_month", "store_id"],
+                                              writers.write_csv_export)
+    run_concurrently(sinks)
+    if cfg.jdbc:
+        # Appended under one snapshot id per refresh; read with read_jdbc_mart.
+        sid = writers.new_snapshot_id()
+        for name, df in (("customer_monthly", c_mart), ("sales_team_monthly", s_mart)):
+            table, month = _jdbc_table(cfg, name)
+            writers.write_jdbc_snapshot(df, cfg.jdbc["url"], table, cfg.jdbc.get("properties", {}), month, months, sid)
 
 
 def run_batch(spark: SparkSession, cfg: BatchConfig, run_id: str | None = None) -> dict:
     """One batch run over the landing roots (see the module docstring)."""
-    manifest = files.discover(spark, cfg.landing)
+    manifest = files.discover(spark, cfg.roots())
     files.require_input(manifest, "file")
     return process_manifest(spark, manifest, cfg, run_id or ledger.new_run_id())
 
 
-def read_jdbc_mart(spark: SparkSession, cfg: BatchConfig, name: str) -> DataFrame:
-    """A mart as the database holds it: per month, the newest snapshot."""
-    from tillroll.sources.tables import read_jdbc
-
-    j = cfg.jdbc or {}
+def _jdbc_table(cfg: BatchConfig, name: str) -> tuple[str, str]:
     key = {"customer_monthly": "customer_table", "sales_team_monthly": "sales_team_table"}[name]
     month = {"customer_monthly": "sales_date_month", "sales_team_monthly": "sales_month"}[name]
-    df = read_jdbc(spark, j["url"], j.get(key, JDBC_TABLES[name]), j.get("properties", {}))
-    return writers.latest_by_group(df, month)
+    return (cfg.jdbc or {}).get(key, JDBC_TABLES[name]), month
+
+
+def read_jdbc_mart(spark: SparkSession, cfg: BatchConfig, name: str) -> DataFrame:
+    """A mart as the database holds it: per month, the newest marked snapshot."""
+    table, month = _jdbc_table(cfg, name)
+    return writers.read_jdbc_snapshot(spark, cfg.jdbc["url"], table, cfg.jdbc.get("properties", {}), month)
 
 
 def read_mart(spark: SparkSession, cfg: BatchConfig, name: str) -> DataFrame:

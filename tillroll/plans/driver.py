@@ -8,11 +8,10 @@ grows with the scale factor:
 sale.customer_id          orders.o_custkey (via lineitem ⋈ orders)
 sale.store_id             supplier.s_nationkey (the seller's store)
 sale.sales_person_id      lineitem.l_suppkey
-sale.product_name/price   part.p_name / p_retailprice (only when asked)
+sale.product_name/price   part.p_name / p_retailprice (NULL where not asked for)
 sale.sales_date           orders.o_orderdate as DATE
 sale.quantity/total_cost  lineitem.l_quantity / l_extendedprice
-customer                  customer, market segment BUILDING only, so the
-                          inner join drops the other customers' sales
+customer                  customer
 store                     nation ⋈ region (manager = region name)
 sales_team                supplier
 product                   part
@@ -30,11 +29,6 @@ from pyspark.sql import functions as F
 from tillroll.functions.columns import line_money
 from tillroll.operators.sizing import broadcast_if_small, broadcast_small
 
-# Fixed values of the model: the customer segment kept in the customer
-# dimension, the ledger file-name pattern pieces.
-CUSTOMER_SEGMENT = "BUILDING"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -48,8 +42,7 @@ def _pad(col, width: int):
 
 
 def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == CUSTOMER_SEGMENT)
-    return c.select(
+    return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("bigint").alias("customer_id"),
         _split("c_name", 1).alias("first_name"),
         _split("c_name", 2).alias("last_name"),
@@ -95,8 +88,7 @@ def product_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("date").alias("expiry_date"))
 
 
-def sale_lines(spark: SparkSession, sf_dir: str, with_product: bool = False,
-               extra: list[str] | None = None) -> DataFrame:
+def sale_lines(spark: SparkSession, sf_dir: str, with_product: bool = False) -> DataFrame:
     """lineitem ⋈ orders ⋈ supplier (⋈ part) with the source columns the sale
     and its surplus columns are built from.
 
@@ -141,16 +133,18 @@ def sale(spark: SparkSession, sf_dir: str, with_product: bool = False) -> DataFr
         *sale_columns(with_product), F.lit(None).cast("string").alias("additional_column"))
 
 
-def sale_with_extras(spark: SparkSession, sf_dir: str, with_product: bool = False) -> DataFrame:
+def sale_with_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales rows as a source system would send them: the eight mandatory
     columns plus two surplus ones, ``payment_mode`` (the order priority) and
     ``coupon`` (return flag, NULL when it is ``N``), and the ``desk`` the
-    file comes from (the order priority, used to split drops)."""
-    return sale_lines(spark, sf_dir, with_product).select(
-        *sale_columns(with_product),
+    file comes from (the order priority, with the fourth one's returned lines
+    apart; used to split drops)."""
+    returned = (F.col("o_orderpriority") == "4-NOT SPECIFIED") & (F.col("l_returnflag") == "R")
+    return sale_lines(spark, sf_dir, True).select(
+        *sale_columns(True),
         F.col("o_orderpriority").alias("payment_mode"),
         F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("coupon"),
-        F.col("o_orderpriority").alias("desk"))
+        F.when(returned, F.lit("4-RETURNED")).otherwise(F.col("o_orderpriority")).alias("desk"))
 
 
 def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

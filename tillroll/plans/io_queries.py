@@ -11,17 +11,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.columns import month_bucket
 from tillroll.operators import contract, marts
 from tillroll.plans import driver, landing
 from tillroll.plans.mart_queries import enriched_frame
 from tillroll.plans.oracle import sql
 from tillroll.plans.registry import register
 from tillroll.schemas import CUSTOMER_MONTHLY, SALE_COLUMNS, SALES_TEAM_MONTHLY
-from tillroll.session import scratch_dir
+from tillroll.session import scratch_dir, staged
 from tillroll.sinks import writers
 from tillroll.sources import files
 
-_DROP_SQL = "'desk_' || trim(regexp_replace(lower(desk), '[^a-z0-9]+', '_', 'g'), '_')"
+_DROP_SQL = "CASE desk " + " ".join(f"WHEN '{d}' THEN '{landing.drop_name(d)}'" for d in landing.LAYOUTS) + " END"
 _ACCEPTED_SQL = "('1-URGENT', '2-HIGH', '3-MEDIUM')"
 
 
@@ -31,17 +32,19 @@ def staged_landing(spark: SparkSession, sf_dir: str, name: str) -> str:
     return root
 
 
-def drop_of(path_col: str = "path"):
-    return F.element_at(F.split(F.col(path_col), "/"), -2)
+def drop_of():
+    """The drop's folder name, from the plain form of a file's path."""
+    return F.element_at(F.split(F.col("location"), "/"), -2)
 
 
 @register("header_contract", "S2, S4, S5, V1, V2, V4, U2",
           sql(f"""SELECT DISTINCT {_DROP_SQL} AS drop_name,
        desk IN {_ACCEPTED_SQL} AS accepted,
-       CASE desk WHEN '4-NOT SPECIFIED' THEN 'missing_columns' WHEN '5-LOW' THEN 'not_csv' END AS reason,
+       CASE desk WHEN '4-NOT SPECIFIED' THEN 'missing_columns' WHEN '4-RETURNED' THEN 'repeated_columns'
+                 WHEN '5-LOW' THEN 'not_csv' END AS reason,
        CASE desk WHEN '4-NOT SPECIFIED' THEN 'store_id' WHEN '5-LOW' THEN NULL ELSE '' END AS missing,
        CASE desk WHEN '3-MEDIUM' THEN 'payment_mode,coupon' WHEN '4-NOT SPECIFIED' THEN 'payment_mode'
-                 WHEN '5-LOW' THEN NULL ELSE '' END AS extras
+                 WHEN '4-RETURNED' THEN 'payment_mode' WHEN '5-LOW' THEN NULL ELSE '' END AS extras
 FROM sale_extras""", "sale_extras"))
 def q_header_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = staged_landing(spark, sf_dir, "contract")
@@ -55,25 +58,22 @@ def q_header_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("quarantine", "V3, S5, S6",
           sql(f"""SELECT {_DROP_SQL} AS drop_name,
-       CASE desk WHEN '4-NOT SPECIFIED' THEN 'missing_columns' ELSE 'not_csv' END AS reason,
+       CASE desk WHEN '4-NOT SPECIFIED' THEN 'missing_columns' WHEN '4-RETURNED' THEN 'repeated_columns'
+                 ELSE 'not_csv' END AS reason,
        count(*) AS n_lines
 FROM sale_extras WHERE desk NOT IN {_ACCEPTED_SQL}
 GROUP BY ALL""", "sale_extras"))
 def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = staged_landing(spark, sf_dir, "quarantine")
-    manifest = files.discover(spark, f"{root}/landing")
-    v = contract.check_contract(manifest)
-    contract.quarantine(spark, v, f"{root}/error")
-    # Read back what the error area holds: one folder per rejected file.
-    lines = spark.read.text(f"{root}/error/lines")
-    rejects = spark.read.parquet(f"{root}/error/rejects")
-    per_file = rejects.select("file_id", "reason", drop_of("path").alias("drop_name"))
-    headers = v.where(~F.col("accepted")).select(contract.file_id().alias("file_id"), "header_line", "reason")
-    data = (lines.join(headers, "file_id")
-            .where(~((F.col("reason") != contract.REASON_NOT_CSV) & (F.col("value") == F.col("header_line")))))
-    counted = data.groupBy("file_id").agg(F.count(F.lit(1)).alias("n"))
-    return (per_file.join(counted, "file_id")
-            .groupBy("drop_name", "reason").agg(F.sum("n").alias("n_lines")))
+    v = contract.check_contract(files.discover(spark, f"{root}/landing"))
+    copies = contract.quarantine(spark, v, f"{root}/error")
+    # What the error area holds: line ends of each copied file, less its header.
+    names = v.where(~F.col("accepted")).select("path", drop_of().alias("drop_name"))
+    ends = F.regexp_count(F.decode("content", "UTF-8"), F.lit("\n"))
+    header = (F.col("reason") != contract.REASON_NOT_CSV).cast("int")
+    return (copies.join(names, "path")
+            .groupBy("drop_name", "reason").agg(F.sum(ends - header).cast("bigint").alias("n_lines"))
+            .where("n_lines > 0"))
 
 
 @register("union_files", "U1, S1, P1-P3 over the accepted drops",
@@ -131,10 +131,17 @@ def q_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("snapshot_latest", "K4",
-          sql("SELECT * FROM customer_monthly", "customer_monthly"))
+          sql("""SELECT * FROM customer_monthly""", "customer_monthly"))
 def q_snapshot_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = scratch_dir(spark, "snapshots") + "/customer_monthly"
-    raw = marts.customer_raw_mart(enriched_frame(spark, sf_dir))
-    writers.write_snapshot(marts.window_total_customer(raw), base, snapshot_id=1)
-    writers.write_snapshot(marts.customer_monthly(raw), base, snapshot_id=2)
-    return writers.read_latest_snapshot(spark, base, CUSTOMER_MONTHLY)
+    # Three refreshes of different months: all, then the even months again
+    # (from rows of which half had come), then the even months in full.
+    base = scratch_dir(spark, "snapshots") + "/customer_raw"
+    raw = marts.customer_raw_mart(enriched_frame(spark, sf_dir)).withColumn("sales_date_month", month_bucket("sales_date"))
+    raw = staged(raw, "snapshot-rows")
+    even = F.coalesce(F.substring("sales_date_month", 7, 1).cast("int") % 2 == 0, F.lit(False))
+    months = {r[0] for r in raw.select("sales_date_month").distinct().collect()}
+    evens = sorted(m for m in months if m is not None and int(m[-1]) % 2 == 0)
+    writers.write_month_snapshot(raw, base, "sales_date_month", list(months), snapshot_id=1)
+    writers.write_month_snapshot(raw.where(even & (F.dayofmonth("sales_date") < 15)), base, "sales_date_month", evens, snapshot_id=2)
+    writers.write_month_snapshot(raw.where(even), base, "sales_date_month", evens, snapshot_id=3)
+    return marts.customer_monthly(writers.read_latest_snapshot(spark, base, raw.schema, "sales_date_month"))

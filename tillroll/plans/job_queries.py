@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll.plans import batch, driver, landing
 from tillroll.plans.oracle import ACCEPTED_SALE, sql
 from tillroll.plans.registry import register
-from tillroll.schemas import SALE_COLUMNS
+from tillroll.schemas import SALE_COLUMNS, SOURCE_REGISTRY
 from tillroll.session import scratch_dir
 from tillroll.streaming import incremental
 
@@ -17,26 +17,21 @@ _SELLER_SQL = sql("SELECT * FROM sales_team_monthly", "sales_team_monthly", sale
 _CUSTOMER_SQL = sql("SELECT * FROM customer_monthly", "customer_monthly", sale=ACCEPTED_SALE)
 
 
-# Files per desk drop in the staged landing folder (each a date range).
-FILES_PER_DROP = 8
-
-
 class InjectedFailure(RuntimeError):
     """Raised by the failure hook to stop a run between two steps."""
 
 
 def job_config(spark: SparkSession, sf_dir: str, root: str, **kw) -> batch.BatchConfig:
     d = driver.dims(spark, sf_dir)
-    kw.setdefault("snapshots", False)
-    kw.setdefault("csv_export", False)
-    return batch.BatchConfig(landing=[f"{root}/landing"], warehouse=f"{root}/warehouse",
+    kw.setdefault("landing", [f"{root}/landing"])
+    return batch.BatchConfig(warehouse=f"{root}/warehouse",
                              customer=d["customer"], store=d["store"], sales_team=d["sales_team"], **kw)
 
 
 @register("batch_marts", "run_batch: S4..L2 end to end, seller mart read back", _SELLER_SQL)
 def q_batch_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "batch")
-    landing.stage_landing(driver.sale_with_extras(spark, sf_dir), f"{root}/landing", files_per_drop=FILES_PER_DROP)
+    landing.stage_landing(driver.sale_with_extras(spark, sf_dir), f"{root}/landing")
     cfg = job_config(spark, sf_dir, root)
     batch.run_batch(spark, cfg)
     return batch.read_mart(spark, cfg, "sales_team_monthly")
@@ -45,7 +40,7 @@ def q_batch_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("batch_recovery", "L3: a run dies before closing; the next run redoes its files", _CUSTOMER_SQL)
 def q_batch_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "recovery")
-    landing.stage_landing(driver.sale_with_extras(spark, sf_dir), f"{root}/landing", files_per_drop=FILES_PER_DROP)
+    landing.stage_landing(driver.sale_with_extras(spark, sf_dir), f"{root}/landing")
 
     def die_before_close(step: str) -> None:
         if step == "close":
@@ -67,10 +62,9 @@ def _two_arrivals(spark: SparkSession, sf_dir: str, name: str) -> batch.BatchCon
     cfg = job_config(spark, sf_dir, root)
     source = driver.sale_with_extras(spark, sf_dir)
     checkpoint = f"{root}/checkpoint"
-    landing.stage_landing(source, f"{root}/landing", desks=["1-URGENT", "2-HIGH"], files_per_drop=FILES_PER_DROP)
+    landing.stage_landing(source, f"{root}/landing", desks=["1-URGENT", "2-HIGH"])
     incremental.run_available(spark, cfg, checkpoint)
-    landing.stage_landing(source, f"{root}/landing", desks=["3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
-                          files_per_drop=FILES_PER_DROP)
+    landing.stage_landing(source, f"{root}/landing", desks=["3-MEDIUM", "4-NOT SPECIFIED", "4-RETURNED", "5-LOW"])
     incremental.run_available(spark, cfg, checkpoint)
     return cfg
 
@@ -85,3 +79,18 @@ def q_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_month_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = _two_arrivals(spark, sf_dir, "refresh")
     return batch.read_mart(spark, cfg, "sales_team_monthly")
+
+
+@register("registry_batch", "S7 wired: the batch takes its roots from the active rows of the source registry",
+          sql("""SELECT customer_id, store_id, product_name, sales_date, sales_person_id, price, quantity, total_cost,
+       CAST(NULL AS VARCHAR) AS additional_column
+FROM sale_extras WHERE desk IN ('1-URGENT', '2-HIGH')""", "sale_extras"))
+def q_registry_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "registry")
+    folders = landing.stage_landing(driver.sale_with_extras(spark, sf_dir), f"{root}/landing")
+    state = {"1-URGENT": "Active", "2-HIGH": " ACTIVE ", "3-MEDIUM": "inactive"}
+    registry = spark.createDataFrame([(desk, folder, None, None, state.get(desk, "inactive"))
+                                      for desk, folder in folders.items()], SOURCE_REGISTRY)
+    cfg = job_config(spark, sf_dir, root, landing=registry)
+    batch.run_batch(spark, cfg)
+    return batch.read_fact(spark, cfg).select(*SALE_COLUMNS)

@@ -10,9 +10,13 @@ desk               layout                                         verdict
 2-HIGH             the same columns in reverse order              accepted
 3-MEDIUM           mandatory + ``payment_mode`` + ``coupon``      accepted
 4-NOT SPECIFIED    no ``store_id``, + ``payment_mode``            rejected
+4-RETURNED         ``payment_mode`` named twice                   rejected
 5-LOW              contract order, but written as ``.txt``        rejected
 =================  =============================================  ==========
 
+The drops' folder names hold a blank, ``#``, ``%``, brackets and an umlaut, as
+real ones do.
+
 All rows of the source land in exactly one drop; nothing is sampled. Like
 real periodic drops, each file of a drop covers one contiguous range of
 sales dates (range partitioning on ``sales_date``), so a file touches few
@@ -21,56 +25,49 @@ months.
 
 from __future__ import annotations
 
-import re
-
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.schemas import MANDATORY_COLUMNS
+from tillroll.session import staged
 
-# Desk -> (layout columns, file format).
-LAYOUTS: dict[str, tuple[list[str], str]] = {
-    "1-URGENT": (MANDATORY_COLUMNS, "csv"),
-    "2-HIGH": (list(reversed(MANDATORY_COLUMNS)), "csv"),
-    "3-MEDIUM": (MANDATORY_COLUMNS + ["payment_mode", "coupon"], "csv"),
-    "4-NOT SPECIFIED": ([c for c in MANDATORY_COLUMNS if c != "store_id"] + ["payment_mode"], "csv"),
-    "5-LOW": (MANDATORY_COLUMNS, "txt"),
+# Desk -> (folder, layout columns, file format).
+LAYOUTS: dict[str, tuple[str, list[str], str]] = {
+    "1-URGENT": ("desk 1 urgent", MANDATORY_COLUMNS, "csv"),
+    "2-HIGH": ("desk#2%20high", list(reversed(MANDATORY_COLUMNS)), "csv"),
+    "3-MEDIUM": ("desk_3_größe", MANDATORY_COLUMNS + ["payment_mode", "coupon"], "csv"),
+    "4-NOT SPECIFIED": ("desk [4]", [c for c in MANDATORY_COLUMNS if c != "store_id"] + ["payment_mode"], "csv"),
+    "4-RETURNED": ("desk {4,r}", MANDATORY_COLUMNS + ["payment_mode", " payment_mode"], "csv"),
+    "5-LOW": ("desk_5%", MANDATORY_COLUMNS, "txt"),
 }
 ACCEPTED_DESKS = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
 
 
 def drop_name(desk: str) -> str:
-    return "desk_" + re.sub(r"[^a-z0-9]+", "_", desk.lower()).strip("_")
+    return LAYOUTS[desk][0]
 
 
-def write_drop(df: DataFrame, folder: str, columns: list[str], fmt: str, files: int | None = None) -> None:
-    out = df.select(*columns)
-    if files:
-        out = df.repartitionByRange(files, "sales_date").select(*columns)
+def write_drop(df: DataFrame, folder: str, columns: list[str], fmt: str) -> None:
+    """Files by ranges of the sales date; their number follows from the rows
+    (shuffle partitions, joined by AQE to its advisory size)."""
+    out = df.repartitionByRange("sales_date").select(*[F.col(c.strip()).alias(c) for c in columns])
     if fmt == "csv":
-        out.write.mode("overwrite").option("header", "true").csv(folder)
+        (out.write.mode("overwrite").option("header", "true").option("ignoreLeadingWhiteSpace", "false").csv(folder))
     else:
         out.select(F.to_csv(F.struct(*columns)).alias("value")).write.mode("overwrite").text(folder)
 
 
-def stage_landing(source: DataFrame, root: str, desks: list[str] | None = None,
-                  files_per_drop: int | None = None) -> dict[str, str]:
+def stage_landing(source: DataFrame, root: str, desks: list[str] | None = None) -> dict[str, str]:
     """Write one drop per desk under ``root``; returns desk -> folder.
 
-    ``source`` is :func:`tillroll.plans.driver.sale_with_extras`. It is
-    persisted once (memory, spilling to disk) so the five writes read the
-    joined rows once; lost blocks are recomputed from lineage.
+    ``source`` is :func:`tillroll.plans.driver.sale_with_extras`, written once
+    to the shared folder so that each drop reads only its desk's rows.
     """
-    chosen = desks or list(LAYOUTS)
-    src = source.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        folders = {}
-        for desk in chosen:
-            cols, fmt = LAYOUTS[desk]
-            folder = f"{root.rstrip('/')}/{drop_name(desk)}"
-            write_drop(src.where(F.col("desk") == desk), folder, cols, fmt, files_per_drop)
-            folders[desk] = folder
-        return folders
-    finally:
-        src.unpersist()
+    source = staged(source, "drops")
+    folders = {}
+    for desk in desks or list(LAYOUTS):
+        name, cols, fmt = LAYOUTS[desk]
+        folder = f"{root.rstrip('/')}/{name}"
+        write_drop(source.where(F.col("desk") == desk), folder, cols, fmt)
+        folders[desk] = folder
+    return folders

@@ -23,14 +23,15 @@ _VIEWS: dict[str, str] = {
          CAST(NULL AS VARCHAR) AS additional_column
   FROM sale_lines""",
     "sale_extras": """
-  SELECT CAST(o_custkey AS BIGINT) AS customer_id, CAST(s_nationkey AS BIGINT) AS store_id,
-         CAST(NULL AS VARCHAR) AS product_name, CAST(o_orderdate AS DATE) AS sales_date,
-         CAST(l_suppkey AS BIGINT) AS sales_person_id, CAST(NULL AS DECIMAL(10,2)) AS price,
-         CAST(l_quantity AS INTEGER) AS quantity, CAST(l_extendedprice AS DECIMAL(10,2)) AS total_cost,
-         o_orderpriority AS payment_mode,
-         CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS coupon,
-         o_orderpriority AS desk
-  FROM sale_lines""",
+  SELECT CAST(sl.o_custkey AS BIGINT) AS customer_id, CAST(sl.s_nationkey AS BIGINT) AS store_id,
+         p.p_name AS product_name, CAST(sl.o_orderdate AS DATE) AS sales_date,
+         CAST(sl.l_suppkey AS BIGINT) AS sales_person_id, CAST(p.p_retailprice AS DECIMAL(10,2)) AS price,
+         CAST(sl.l_quantity AS INTEGER) AS quantity, CAST(sl.l_extendedprice AS DECIMAL(10,2)) AS total_cost,
+         sl.o_orderpriority AS payment_mode,
+         CASE WHEN sl.l_returnflag <> 'N' THEN sl.l_returnflag END AS coupon,
+         CASE WHEN sl.o_orderpriority = '4-NOT SPECIFIED' AND sl.l_returnflag = 'R' THEN '4-RETURNED'
+              ELSE sl.o_orderpriority END AS desk
+  FROM sale_lines sl JOIN part p ON sl.l_partkey = p.p_partkey""",
     "sale_product": """
   SELECT CAST(sl.o_custkey AS BIGINT) AS customer_id, CAST(sl.s_nationkey AS BIGINT) AS store_id,
          p.p_name AS product_name, CAST(sl.o_orderdate AS DATE) AS sales_date,
@@ -44,7 +45,7 @@ _VIEWS: dict[str, str] = {
          c_mktsegment || ' district ' || CAST(c_nationkey AS VARCHAR) AS address,
          lpad(CAST(c_nationkey AS VARCHAR), 6, '0') AS pincode,
          lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS phone_number
-  FROM customer WHERE c_mktsegment = 'BUILDING'""",
+  FROM customer""",
     "store_dim": """
   SELECT CAST(n.n_nationkey AS BIGINT) AS id, n.n_name AS address,
          lpad(CAST(n.n_regionkey AS VARCHAR), 6, '0') AS store_pincode, r.r_name AS store_manager_name

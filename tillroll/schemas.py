@@ -34,6 +34,7 @@ SALE = T.StructType([
 # Types of the mandatory columns as read from CSV text.
 MANDATORY_TYPES = {f.name: f.dataType for f in SALE.fields if f.name in MANDATORY_COLUMNS}
 
+# Names of the dimensions' and marts' columns.
 CUSTOMER = T.StructType([
     T.StructField("customer_id", T.LongType()),
     T.StructField("first_name", T.StringType()),
@@ -78,6 +79,8 @@ SALES_TEAM = T.StructType([
 FILE_LEDGER = T.StructType([
     T.StructField("file_name", T.StringType()),
     T.StructField("file_location", T.StringType()),
+    T.StructField("modified", T.TimestampType()),
+    T.StructField("length", T.LongType()),
     T.StructField("status", T.StringType()),
     T.StructField("event_ts", T.TimestampType()),
     T.StructField("run_id", T.StringType()),
@@ -110,7 +113,16 @@ SALES_TEAM_MONTHLY = T.StructType([
     T.StructField("incentive", TOTAL_MONEY),
 ])
 
-# Ledger states (fixed values): a file is Active while a run works on it and
-# Inactive once every sink has been written.
+# Ledger states (fixed values): a file is Active while a run works on it,
+# Inactive once every sink has been written, Rejected when in quarantine.
 STATUS_ACTIVE = "A"
 STATUS_INACTIVE = "I"
+STATUS_REJECTED = "R"
+
+# Runs of the batch job: the months a run wrote (W; E: none), and whether it
+# died and its months were refreshed by a later one (X).
+RUN_EVENTS = T.StructType([
+    T.StructField("run_id", T.StringType()),
+    T.StructField("sales_month", T.StringType()),
+    T.StructField("state", T.StringType()),
+])

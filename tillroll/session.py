@@ -13,7 +13,9 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from tillroll.errors import ConfigError
 
 # Settings the engine's results depend on (time zone, ANSI) or that keep the
 # plans adaptive. Applied to local sessions; on a cluster they belong in the
@@ -63,8 +65,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) is a fresh folder made here.
+    The cluster names it in ``spark.checkpoint.dir``; only in local mode, when
+    that is unset (tests), is a fresh folder made here. On a cluster a folder
+    of the driver's machine would be invisible to the executors, so an unset
+    folder is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -72,6 +76,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ConfigError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tillroll-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -81,3 +87,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tillroll-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a new scratch folder and read back: cuts
+    lineage and lets several readers share one computation, without keeping
+    anything on an executor's own disk."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,17 +1,22 @@
 """CSV header probe (S2) and the typed, header-bound CSV scan.
 
-The probe reads only the first line of each file: the manifest's paths are
-spread over tasks and each task opens its files through Arrow's file system
-layer, so the cost grows with the number of files, not their size. The scan
-then reads each group of files that share a header with a schema in that
-header's order and ``enforceSchema=false``, so Spark checks every file's
-header against it; the columns are then bound by name.
+The probe reads headers through Spark's own text reader, so it sees what the
+scan sees: any file system, any file name, any header length. Every file is
+one partition, and a task stops after its file's first line, so the cost grows
+with the number of files, not their size. The scan then reads each group of
+files that share a header with a schema in that header's order and
+``enforceSchema=false``, so Spark checks every file's header against it; the
+columns are then bound by name.
+
+A file has two spellings: ``path`` (``_metadata.file_path``) is its identity
+everywhere, ``location`` is the plain form that readers take.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+import re
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,10 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.schemas import MANDATORY_TYPES
+from tillroll.session import scratch_dir
 
 CORRUPT_COLUMN = "_corrupt_record"
-PROBE_BYTES = 1 << 20  # a header line longer than 1 MiB is out of scope
-PROBE_FIRST_CHUNK = 1 << 14
+ONE_FILE_PER_TASK = str(1 << 40)
 
 PROBED_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
@@ -32,69 +37,58 @@ PROBED_SCHEMA = T.StructType([
 ])
 
 
-def _arrow_uri(path: str) -> str:
-    # Hadoop writes local files as file:/x; Arrow wants file:///x.
-    if path.startswith("file:/") and not path.startswith("file://"):
-        return "file://" + path[len("file:"):]
-    return path
-
-
-def _first_line(path: str) -> str | None:
-    """The file's first line, read in growing chunks up to the first line
-    break (so a file costs about one small read, whatever its size)."""
-    from pyarrow import fs as pafs
-
-    filesystem, inner = pafs.FileSystem.from_uri(_arrow_uri(path))
-    data, chunk = b"", PROBE_FIRST_CHUNK
-    with filesystem.open_input_stream(inner) as f:
-        while len(data) < PROBE_BYTES:
-            more = f.read(min(chunk, PROBE_BYTES - len(data)))
-            if not more:
-                break
-            data += more
-            if b"\n" in more or b"\r" in more:
-                break
-            chunk *= 4
-    if not data:
-        return None
-    lines = data.decode("utf-8-sig", errors="replace").splitlines()
-    return lines[0] if lines else ""
+def literal_path(location: str) -> str:
+    """A plain path with the characters escaped that readers take for globs."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", location)
 
 
 def _parse_header(line: str) -> list[str]:
+    # A header may hold more or longer names than the csv module's default allows.
+    csv.field_size_limit(max(csv.field_size_limit(), len(line) + 1))
     return next(csv.reader(io.StringIO(line)), [])
 
 
-def _probe_batches(batches):
-    import pandas as pd
+def _first_lines(batches):
+    import pyarrow as pa
 
-    for pdf in batches:
-        out = []
-        for path in pdf["path"]:
-            line = _first_line(path)
-            raw = None if line is None else _parse_header(line)
-            hdr = None if raw is None else [c.strip() for c in raw]
-            out.append((path, line, raw, hdr))
-        yield pd.DataFrame(out, columns=["path", "header_line", "raw_header", "header"])
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        line = (batch.column("value")[0].as_py() or "").removeprefix("\ufeff")
+        raw = _parse_header(line)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("path")[:1], pa.array([line], pa.string()), pa.array([raw], pa.list_(pa.string())),
+             pa.array([[c.strip() for c in raw]], pa.list_(pa.string()))],
+            names=["path", "header_line", "raw_header", "header"])
+        return  # the rest of the file stays unread
 
 
 def probe_headers(csv_files: DataFrame) -> DataFrame:
-    """(path, header_line, raw_header, header) for every file.
+    """(path, header_line, raw_header, header) for every file that has a line.
 
-    An empty file gives NULL header fields. ``header`` has the names
-    trimmed; ``raw_header`` keeps them as written, for the scan. The paths
-    are spread round-robin over the cluster's task slots so each task opens
-    an even share of the files.
+    ``header`` has the names trimmed; ``raw_header`` keeps them as written,
+    for the scan. The locations are taken to the driver because Spark's file
+    readers take paths there, as their file index does.
     """
-    n = max(1, csv_files.sparkSession.sparkContext.defaultParallelism)
+    spark = csv_files.sparkSession
+    locations = [literal_path(r["location"]) for r in csv_files.select("location").toLocalIterator()]
+    if not locations:
+        return spark.createDataFrame([], PROBED_SCHEMA)
     _ship_by_value()
-    return csv_files.select("path").repartition(n).mapInPandas(_probe_batches, PROBED_SCHEMA)
+    # Settings of the probe's scan alone, in a session of its own.
+    probe = spark.newSession()
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        probe.conf.set(key, ONE_FILE_PER_TASK)
+    probe.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    lines = probe.read.text(locations).select("value", F.col("_metadata.file_path").alias("path"))
+    out = scratch_dir(spark, "headers")
+    lines.mapInArrow(_first_lines, PROBED_SCHEMA).write.parquet(out)
+    return spark.read.schema(PROBED_SCHEMA).parquet(out)
 
 
 def _ship_by_value() -> None:
     """Serialize this module's functions with the task instead of by
-    import path, so the Python workers need only pyarrow and pandas, not
-    this package on their path."""
+    import path, so the Python workers need only pyarrow, not this package."""
     from pyspark import cloudpickle
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -112,7 +106,7 @@ def read_schema(raw_header: list[str], with_corrupt: bool = True) -> T.StructTyp
     return T.StructType(fields)
 
 
-def scan_csv(spark: SparkSession, paths: list[str], raw_header: list[str]) -> DataFrame:
+def scan_csv(spark: SparkSession, locations: list[str], raw_header: list[str]) -> DataFrame:
     """Read files sharing ``raw_header`` with declared types.
 
     PERMISSIVE mode keeps a row whose value does not parse and puts its text
@@ -123,6 +117,6 @@ def scan_csv(spark: SparkSession, paths: list[str], raw_header: list[str]) -> Da
           .option("header", "true").option("enforceSchema", "false")
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
           .option("dateFormat", "yyyy-MM-dd")
-          .csv(paths))
+          .csv([literal_path(p) for p in locations]))
     renamed = [F.col(f"`{raw}`").alias(raw.strip()) for raw in raw_header]
     return df.select(*renamed, F.col(CORRUPT_COLUMN), F.col("_metadata.file_path").alias("source_file"))

@@ -1,7 +1,8 @@
 """Landing-folder discovery and the file manifest.
 
-The manifest is a DataFrame, one row per file: ``path``, ``file_name``,
-``modificationTime``, ``length``, ``is_csv``. Everything downstream (header
+The manifest is a DataFrame, one row per file: ``path`` (its identity, the
+``_metadata.file_path`` that every scan reports), ``location`` (the plain form
+that readers take), ``file_name``, ``modificationTime``, ``length``, ``is_csv``. Everything downstream (header
 probe, contract, scan, ledger, archive) is driven by it, so no step acts on
 "everything under a prefix".
 """
@@ -27,9 +28,14 @@ CSV_SUFFIX = ".csv"
 
 
 def with_manifest_columns(files: DataFrame) -> DataFrame:
-    """Adds ``file_name`` and S5's ``is_csv`` to a (path, ...) frame."""
-    return (files.withColumn("file_name", F.element_at(F.split(F.col("path"), "/"), -1))
-            .withColumn("is_csv", F.lower(F.col("path")).endswith(CSV_SUFFIX)))
+    """Adds ``file_name`` and S5's ``is_csv`` to a frame with ``location``."""
+    return (files.withColumn("file_name", F.element_at(F.split(F.col("location"), "/"), -1))
+            .withColumn("is_csv", F.lower(F.col("location")).endswith(CSV_SUFFIX)))
+
+
+def file_columns() -> list:
+    """The columns of a ``binaryFile`` scan (batch or stream) that a manifest keeps."""
+    return [F.col("_metadata.file_path").alias("path"), F.col("path").alias("location"), "modificationTime", "length"]
 
 
 def discover(spark: SparkSession, roots: str | list[str]) -> DataFrame:
@@ -43,10 +49,10 @@ def discover(spark: SparkSession, roots: str | list[str]) -> DataFrame:
     """
     paths = [roots] if isinstance(roots, str) else list(roots)
     if not paths:
-        return spark.createDataFrame([], BINARY_FILE_SCHEMA).select("path", "modificationTime", "length")
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .load(paths).select("path", "modificationTime", "length"))
-    return with_manifest_columns(files)
+        none = spark.createDataFrame([], BINARY_FILE_SCHEMA)
+        return with_manifest_columns(none.select("path", F.col("path").alias("location"), "modificationTime", "length"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    return with_manifest_columns(files.select(*file_columns()))
 
 
 def split_by_format(manifest: DataFrame) -> tuple[DataFrame, DataFrame]:

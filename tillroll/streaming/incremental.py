@@ -22,29 +22,35 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.errors import NoInputError
 from tillroll.plans.batch import BatchConfig, process_manifest
-from tillroll.sources.files import BINARY_FILE_SCHEMA, with_manifest_columns
+from tillroll.sources.files import BINARY_FILE_SCHEMA, file_columns, with_manifest_columns
+
+
+# A first run over a long history is cut into micro-batches of so many files.
+MAX_FILES_PER_TRIGGER = 10_000
 
 
 def landing_stream(spark: SparkSession, landing: str, archive_dir: str | None = None,
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """A stream of (path, modificationTime, length) for new files."""
+    """A stream of (path, location, modificationTime, length) for new files."""
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("recursiveFileLookup", "true"))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(landing).select("path", "modificationTime", "length")
+    return reader.load(landing).select(*file_columns())
 
 
 def start_incremental(spark: SparkSession, cfg: BatchConfig, checkpoint: str,
                       available_now: bool = True, archive_dir: str | None = None,
-                      processing_time: str | None = None) -> StreamingQuery:
+                      processing_time: str | None = None,
+                      max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
     """R1 + R2: start the stream; each micro-batch runs the batch steps on
     its files. The run id is the micro-batch id, which Spark replays with
-    the same files after a failure, so a replayed batch overwrites the same
-    fact and mart partitions."""
-    if len(cfg.landing) != 1:
+    the same files after a failure, so a replayed batch overwrites its own part
+    of the fact."""
+    roots = cfg.roots()
+    if len(roots) != 1:
         raise ValueError("a file stream watches one landing root")
 
     def on_batch(batch_df: DataFrame, batch_id: int) -> None:
@@ -57,7 +63,7 @@ def start_incremental(spark: SparkSession, cfg: BatchConfig, checkpoint: str,
             # Only rejected or already-closed files in this batch: nothing to publish.
             return
 
-    writer = (landing_stream(spark, cfg.landing[0], archive_dir).writeStream
+    writer = (landing_stream(spark, roots[0], archive_dir, max_files_per_trigger).writeStream
               .foreachBatch(on_batch).option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -67,9 +73,11 @@ def start_incremental(spark: SparkSession, cfg: BatchConfig, checkpoint: str,
 
 
 def run_available(spark: SparkSession, cfg: BatchConfig, checkpoint: str,
-                  archive_dir: str | None = None) -> None:
+                  archive_dir: str | None = None,
+                  max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> None:
     """Process every file that arrived since the last run, then return."""
-    q = start_incremental(spark, cfg, checkpoint, available_now=True, archive_dir=archive_dir)
+    q = start_incremental(spark, cfg, checkpoint, available_now=True, archive_dir=archive_dir,
+                          max_files_per_trigger=max_files_per_trigger)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
