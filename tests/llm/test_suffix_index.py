@@ -102,3 +102,13 @@ def test_levels_merge_geometrically(spark):
         index.add(docs.where(f"doc div 12 = {k}"))
         sizes.append([s for s, _ in index.levels])
     assert sizes == [[1], [1, 1], [2, 1], [2, 1, 1], [4, 1], [4, 1, 1], [4, 2, 1]]
+
+
+def test_entries_spread_evenly_over_the_ranges():
+    import pyarrow as pa
+
+    r = random.Random(8)
+    texts = [" ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(4000)).encode() for _ in range(6)]
+    fp = si.join_entries(list(si.text_entries(pa.array(texts, pa.large_binary()), np.arange(6))))["fp"]
+    sizes = np.bincount(si.bucket_of(fp, 8), minlength=8)
+    assert sizes.max() < 1.3 * sizes.mean()

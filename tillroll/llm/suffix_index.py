@@ -52,7 +52,7 @@ REACH = LENGTH - GRAM + 1  # grams in a window
 BATCHES = 4
 HOT = 2048
 SEGMENT = 16 << 20
-FLUSH = 400_000  # entries
+FLUSH = 200_000  # entries
 WINDOWS = 300_000
 
 PLACE = np.uint64((1 << 26) - 1)
@@ -99,7 +99,8 @@ def entries(data: np.ndarray, offsets: np.ndarray, docs: np.ndarray, base: int =
     which = np.searchsorted(offsets, first, "right") - 1
     lo, hi = anchor - last, anchor - first
     ctx = ts.mix(ts.range_hash(prefix, first, last + LENGTH) + lo.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return {"fp": ts.range_hash(prefix, anchor, anchor + GRAM), "ctx": ctx, "doc": docs[which],
+    # Anchors have the smallest hashes of their windows; mixed again, their fingerprints are even.
+    return {"fp": ts.mix(ts.range_hash(prefix, anchor, anchor + GRAM) + np.uint64(GRAM)), "ctx": ctx, "doc": docs[which],
             "pos": anchor - offsets[which] + base, "lo": lo.astype(np.uint8), "hi": hi.astype(np.uint8)}
 
 
@@ -378,7 +379,7 @@ def _contexts(n: int):
                     store.append((fp[at].view(np.uint64), np.full(len(at), docs[d]), pos[at], lo[at].astype(np.int32),
                                   hi[at].astype(np.int32), data[ragged(begin, sizes)]))
                     count += int(sizes.sum())
-                if count >= ts.CHUNK * 2:
+                if count >= 4 * ts.CHUNK:
                     yield from flush(cold, hot)
                     cold, hot, count = [], [], 0
         yield from flush(cold, hot)

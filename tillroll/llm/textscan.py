@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 5  # odd, 5 mod 8: powers repeat only after 2**62
 _MASK = (1 << 64) - 1
 _powers: list[np.ndarray] = []
