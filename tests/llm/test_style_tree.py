@@ -26,6 +26,8 @@ def page(article=ARTICLE, before="", after=""):
     ("<main><p>a</p></main><p>b</p>", "a"), ("<article><header><h1>T</h1></header><p>b</p></article>", "T\n\nb"),
     ("<article><div class='share-bar'>s</div><p>b</p><section id='comments'>c</section></article>", "b"),
     ("<body class='nav ad'><p>a</p></body>", "a"), ("<p hidden>x</p><p>y</p>", "y"), ("<P>Up</P>", "Up"),
+    ("<body><header><h1>Site</h1></header><div><p>a</p></div></body>", "a"),
+    ("<div class='cookie-notice'>We use</div><ins class='adsbygoogle'>Buy</ins><p>a</p>", "a"),
     ("<article>one</article><article>two</article>", "one\n\ntwo"), ("x<!-- open", "x"), ("a\u00a0 b&nbsp;c", "a b c"),
 ])
 def test_blocks(html, want):

@@ -65,7 +65,8 @@ NOISE_ROLES = set("navigation banner contentinfo complementary search dialog ale
 NOISE_WORDS = set("menu nav navbar navigation breadcrumb breadcrumbs header masthead footer sidebar aside cookie cookies "
                   "consent notice notices gdpr banner ad ads advert adverts advertisement advertising sponsor sponsored "
                   "promo promotion form newsletter subscribe signup login comment comments disqus respond share sharing "
-                  "social related recommended popup modal overlay widget pagination pager toolbar skip".split())
+                  "social related recommended popup modal overlay widget pagination pager toolbar skip adsbygoogle "
+                  "adbox adslot cookiebanner cookieconsent".split())
 BOXES = set("div section ul ol table dl".split())
 
 _TAG = re.compile(
@@ -96,7 +97,8 @@ def _attributes(raw: str) -> dict[str, str]:
 
 
 def _start(tag: str, raw: str, parent: Node) -> Node:
-    sig, noise = tag, tag in NOISE_TAGS
+    # A header is the page's, unless it is the heading part of some content.
+    sig, noise = tag, tag in NOISE_TAGS or tag == "header" and not _open(parent, {"article", "main", "section"})
     inside = tag in ("html", "body", "article", "main")
     if raw and _NAMED.search(raw):
         attrs = _attributes(raw)
