@@ -31,7 +31,6 @@ from tillroll.llm.staging import share, stage
 
 WINDOW = 10
 MAX_WINDOWS = 1_000_000
-ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 class WindowSet:
