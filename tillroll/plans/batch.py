@@ -197,10 +197,14 @@ def refresh_months(spark: SparkSession, cfg: BatchConfig, months: list, this_run
     c_mart = marts.customer_monthly(c_raw)
     s_mart = marts.sales_team_monthly(s_raw)
 
+    # Every mart has rows for a month exactly if the enriched sales do (at most one row per month here).
+    present = {r[0] for r in enriched.select(month_bucket("sales_date")).distinct().collect()}
+    emptied = [m for m in months if m not in present]
+
     def replace(df: DataFrame, name: str, cols: list[str], write=writers.write_partitioned) -> None:
         # Emptied months first: a failure after this is repaired by the next run.
-        present = {r[0] for r in df.select(cols[0]).distinct().collect()}  # at most one row per month
-        writers.drop_partitions(spark, cfg.path(name), cols[0], [m for m in months if m not in present])
+        if emptied:
+            writers.drop_partitions(spark, cfg.path(name), cols[0], emptied)
         write(df, cfg.path(name), cols)
 
     sinks = {
