@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tillroll.llm.staging import share
+from tillroll.llm.staging import share, stage
 
 LEXICON = 50_000
 BUCKETS = 1 << 18
@@ -110,12 +110,23 @@ def bucket(token: str, buckets: int) -> int:
 
 
 def lexicon(pages: DataFrame, url_col: str, html_col: str, size: int) -> dict[str, int]:
-    """The most frequent words of all titles and URL paths."""
+    """The most frequent words of all titles and URL paths, at most ``size``.
+
+    Counts are put into classes of about 1 % width; the cut falls between two
+    classes, so tasks send class sizes and the chosen words, nothing else."""
     title = F.regexp_extract(html_col, r"(?is)<title[^>]*>(.*?)</title", 1)
     path = F.regexp_extract(url_col, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
     found = F.regexp_extract_all(F.lower(F.concat_ws(" ", title, path)), F.lit(r"(\p{L}{2,24})"), 1)
-    counts = pages.select(F.explode(found).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return {r["word"]: r["n"] for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()}
+    counts = stage(pages.select(F.explode(found).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+                   .withColumn("class", F.floor(F.ln("n") * 100).cast("int")), "lexicon")
+    classes = counts.groupBy("class").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("class")).collect()
+    cut, held = None, 0
+    for r in classes:
+        held += r["words"]
+        if held > size:
+            break
+        cut = r["class"]
+    return {} if cut is None else {r["word"]: r["n"] for r in counts.where(F.col("class") >= cut).collect()}
 
 
 def _tokens(urls: list, segmenter: Segmenter) -> list[tuple[str, str, list[str]]]:
