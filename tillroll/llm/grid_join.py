@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tillroll.llm.components import components
 from tillroll.llm.grouped import groups
-from tillroll.llm.staging import early_cleanup, share, stage
+from tillroll.llm.staging import early_cleanup, lowest, share, stage
 
 THRESHOLD = 0.93
 AXES = 8
@@ -222,8 +222,9 @@ def _axes(vectors: DataFrame) -> dict[int, np.ndarray]:
     common = vectors.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "dim").first()
     if common is None or common["dim"] <= 1:
         return {}
-    rows = (vectors.where(F.col("dim") == common["dim"]).select("label", "vector", "uid")
-            .orderBy(F.xxhash64("uid")).limit(max(64, min(SAMPLE, (16 << 20) // (8 * common["dim"])))).toArrow())
+    bound = max(64, min(SAMPLE, (16 << 20) // (8 * common["dim"])))
+    rows = lowest(vectors.where(F.col("dim") == common["dim"]).select("label", "vector", F.xxhash64("uid").alias("h")),
+                  "h", bound).toArrow()
     units = unit_rows(rows.column("vector").combine_chunks(), common["dim"])
     return {common["dim"]: principal_axes(units, rows.column("label").to_numpy())}
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tillroll.llm import textscan as ts
-from tillroll.llm.staging import share, stage
+from tillroll.llm.staging import lowest, share, stage
 
 SAMPLE_DOCS = 4000
 SAMPLE_LINES = 200_000
@@ -209,7 +209,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
              .where(~held_out(F.col("id"))).groupBy("id").agg(F.min("label").alias("label"))
              .select("id", "label", F.xxhash64(F.col("id").cast("string")).alias("h")))
-    chosen = known.orderBy("h", "id").limit(sample_docs)  # at most sample_docs rows
+    chosen = lowest(known, "h", sample_docs)  # at most sample_docs rows
     found = stage(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
                   .join(F.broadcast(chosen), "id").select("text", "label", "h")
                   .mapInArrow(_featurizer, "h long, label int, n long, features binary"), "crf-sample")
