@@ -1,10 +1,11 @@
 """Connected components of an edge table, by alternating large-star and
 small-star steps until the edges stand still.
 
-Each step takes one minimum per node (partial minima before the shuffle) and
-joins it back on the node, a sort-merge join whose hot nodes adaptive
-execution can split. Every round is written to the shared folder, so lineage
-stays short. Rounds grow with the logarithm of the longest path.
+Each step takes one minimum per node (partial minima before the shuffle),
+writes it, and joins it back on the node. Because the minima are a table of
+their own, both sides of that join are plain shuffles, and adaptive execution
+can split a hot node's edges over many tasks. Every round is written to the
+shared folder, so lineage stays short. Rounds grow with the logarithm of the longest path.
 """
 
 from __future__ import annotations
@@ -23,13 +24,13 @@ def _state(edges: DataFrame) -> tuple:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return (both.join(least, "u").where("v > u and v <> m")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+    least = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+    # At most one edge out per edge in; the small star drops repeats.
+    return both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = stage(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     return (edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(least.select("u", F.col("m").alias("v"))).distinct())
 
@@ -42,7 +43,7 @@ def components(edges: DataFrame) -> DataFrame:
                 .distinct(), "edges")
     before = _state(now)
     while True:
-        after = stage(_small_star(_large_star(now)), "edges")
+        after = stage(_small_star(stage(_large_star(now), "edges")), "edges")
         state = _state(after)
         drop_table(spark, now)
         now = after
