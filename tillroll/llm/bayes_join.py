@@ -354,8 +354,10 @@ def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     rows = (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"),
                         F.col(text_col).alias("text")).mapInArrow(_hasher(words), schema)
             .join(chosen, ["h1", "h2", "n"], "left"))
-    alone = rows.where("stays is null").select("row")
+    # Written once: both halves below read it.
+    left = stage(rows.where(F.col("stays").isNull() | (F.col("stays") & F.col("id").eqNullSafe(F.col("rep"))))
+                 .select("row", "h1", "h2", "n", "stays"), "kept")
+    alone = left.where("stays is null").select("row")
     # Rows alike in id and set: one of them.
-    reps = (rows.where(F.col("stays") & F.col("id").eqNullSafe(F.col("rep")))
-            .groupBy("h1", "h2", "n").agg(F.first("row").alias("row")).select("row"))
+    reps = left.where("stays").groupBy("h1", "h2", "n").agg(F.first("row").alias("row")).select("row")
     return alone.union(reps).select("row.*")
