@@ -63,3 +63,17 @@ def test_same_boxes_go_and_copied_articles_stay(spark):
         assert got[300].text == "" and got[300].n_chars == 0 and got[301].text == "" and got[None].text == "T0\n\nown words 0"
         assert got[302].n_chars == 999999
     assert st.main_text(table).count() == len(rows) and st.main_text(table.limit(0)).count() == 0
+
+
+def test_copied_text_beside_a_small_varying_part_stays(spark):
+    same, rows = "The same long report, sentence after sentence. " * 40, []
+    for i in range(6):
+        rows.append((i, "http://a.com/x", f"<html><body><p>{same}</p><div class=x>date {i}</div></body></html>"))
+        rows.append((10 + i, "http://b.com/x", f"<article><time>{i} May</time><div class=body><p>{same}</p></div></article>"))
+        parts = "".join(f"<div class=p{c}>{c * 3} {same[:600]}</div>" for c in "abc")
+        rows.append((20 + i, "http://c.com/x", f"<body><div id=wrap>{parts}<p>date {i}</p></div></body>"))
+        rows.append((30 + i, "http://d.com/x", f"<article><h1>T{i}</h1><time>{i} May</time><div class=body><p>same text</p></div></article>"))
+    got = {r.page_id: r.text for r in st.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == same.strip() + "\n\ndate 3" and same.strip() in got[13] and got[13].startswith("3 May")
+    assert all(c * 3 + " The same" in got[23] for c in "abc") and got[23].endswith("date 3")
+    assert got[33] == "T3\n\n3 May\n\nsame text"

@@ -14,7 +14,13 @@ Priors: elements whose tag, role, class or id names a menu, header, footer,
 sidebar, notice, advert, form, script, style or reader comment have importance
 0; an article (or else main) element, if the page has one, is the page's only
 important branch. Inside it the style tree removes boxes (div, section, ul,
-ol, table) that hardly vary over the host while other parts of it do; headings and paragraphs stay, so an article copied to many pages is whole.
+ol, table) that hardly vary over the host while other parts of it do; headings
+and paragraphs stay, so an article copied to many pages is whole.
+
+What is the same on every page can be the main text itself, copied. So an
+element with at least ``MOST`` of the text (of the page, or of the article)
+is never removed, and if the other removals together come to ``MOST`` of it,
+or leave only headings and dates, nothing is removed.
 
 Only nodes seen on at least ``MIN_PAGES`` pages of a host and not fully
 varying are sent to the second map, ``PART`` of them at a time (hosts are
@@ -44,6 +50,7 @@ from tillroll.llm.url_filter import split_url
 MIN_PAGES = 4
 LOWEST = 0.2
 DAMPING = 0.9
+MOST = 0.75
 PART = 500_000
 
 # HTML's elements by their role in a page.
@@ -68,6 +75,7 @@ NOISE_WORDS = set("menu nav navbar navigation breadcrumb breadcrumbs header mast
                   "social related recommended popup modal overlay widget pagination pager toolbar skip adsbygoogle "
                   "adbox adslot cookiebanner cookieconsent".split())
 BOXES = set("div section ul ol table dl".split())
+TITLES = set("h1 h2 h3 h4 h5 h6 hgroup header time address".split())
 
 _TAG = re.compile(
     r"""<(?:!--(?:.*?--!?>|.*)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+(?=>|\Z)|[^>]*)>?|[!?/][^>]*>?)""",
@@ -294,34 +302,65 @@ def _under(node: Node, top: Node) -> bool:
     return False
 
 
-def _composite(nodes: list[Node], tree: StyleTree) -> dict[int, float]:
+def _kids(node: Node) -> list[Node]:
+    return [i for i in node.items if isinstance(i, Node) and not i.noise]
+
+
+def _sizes(nodes: list[Node]) -> dict[int, float]:
+    """Text of elements (given parents first) and of all below them."""
+    sizes: dict[int, float] = {}
+    for node in reversed(nodes):
+        sizes[id(node)] = float(len(own_text(node))) + sum(sizes[id(k)] for k in _kids(node))
+    return sizes
+
+
+def _composite(nodes: list[Node], tree: StyleTree, sizes: dict[int, float]) -> dict[int, float]:
     """Composite importance of elements given parents first."""
-    sizes, comp = {}, {}
+    comp: dict[int, float] = {}
     for node in reversed(nodes):
-        own, kids = float(len(own_text(node))), [i for i in node.items if isinstance(i, Node) and not i.noise]
-        weight = own + sum(sizes[id(k)] for k in kids)
+        own, kids, weight = float(len(own_text(node))), _kids(node), sizes[id(node)]
         mine = tree.of(node.key)
         inner = (mine * own + sum(comp[id(k)] * sizes[id(k)] for k in kids)) / weight if weight else mine
-        sizes[id(node)] = weight
         comp[id(node)] = mine if not kids else (1 - DAMPING) * mine + DAMPING * inner
     return comp
 
 
+def _removed(top: Node, page: bool, nodes: list[Node], sizes: dict[int, float], comp: dict[int, float]) -> set[int]:
+    """Elements under ``top`` that the style tree removes: the main branch
+    never, and none if most of the text or all but titles would go."""
+    own = [x for x in nodes if _under(x, top)]
+    if not page and max((comp[id(x)] for x in own), default=0.0) < 0.5:
+        return set()
+    total = float(len(own_text(top))) + sum(sizes[id(k)] for k in _kids(top))
+    drop = {id(x) for x in own if comp[id(x)] < LOWEST and sizes[id(x)] < MOST * total
+            and (page or x.tag in BOXES)}
+    gone, body, lost = set(), bool(own_text(top)), 0.0
+    title = set()
+    for x in own:  # parents first
+        up = id(x.parent)
+        if up in gone or id(x) in drop:
+            lost += 0 if up in gone else sizes[id(x)]
+            gone.add(id(x))
+            continue
+        if up in title or x.tag in TITLES:
+            title.add(id(x))
+        elif own_text(x):
+            body = True
+    return drop if body and lost < MOST * total else set()
+
+
 def extract(text: str, host: str, tree: StyleTree | None) -> str:
     """Main text of one page: blocks joined by empty lines."""
     root = parse(text)
     nodes = keyed(root, host)
     tops = [k for tag in ("article", "main") for k in [[x for x in nodes if x.tag == tag]] if k]
     tops = tops[0] if tops else [root]
-    comp = _composite(nodes, tree) if tree is not None and len(tree.keys) else {}
-    drop = set()
-    if comp:
+    drop: set[int] = set()
+    if tree is not None and len(tree.keys):
+        sizes = _sizes(nodes)
+        comp = _composite(nodes, tree, sizes)
         for top in tops:
-            varied = max((comp[id(x)] for x in nodes if _under(x, top)), default=0.0) >= 0.5
-            drop.update(id(x) for x in nodes if comp[id(x)] < LOWEST and (
-                top is root or varied and x.tag in BOXES and _under(x, top)))
-    if tops == [root] and comp and all(id(x) in drop for x in nodes if own_text(x)):
-        drop = set()  # a host of copies: nothing stands out, so nothing is noise
+            drop |= _removed(top, top is root, nodes, sizes, comp)
     blocks: list[str] = []
     held: list[str] = []
 
