@@ -77,3 +77,26 @@ def test_copied_text_beside_a_small_varying_part_stays(spark):
     assert got[3] == same.strip() + "\n\ndate 3" and same.strip() in got[13] and got[13].startswith("3 May")
     assert all(c * 3 + " The same" in got[23] for c in "abc") and got[23].endswith("date 3")
     assert got[33] == "T3\n\n3 May\n\nsame text"
+
+
+LONG = "Own words of this very page, one after another. " * 8
+
+
+@pytest.mark.parametrize("html,want", [
+    ("<div class='page has-sidebar'><article><h1>T</h1><p>b</p></article></div>", "T\n\nb"),
+    ("<div class='layout with-header'><main><p>b</p></main></div>", "b"),
+    ("<div class='page has-sidebar comments-open'><p>plain</p></div>", "plain"),
+    ("<article><header class='entry-header'><h1>T</h1></header><p>b</p></article>", "T\n\nb"),
+    ("<article><div class='share'><h2>Share</h2></div><h1 class='banner'>T</h1><p>b</p></article>", "T\n\nb"),
+    (f"<article><p>{LONG}</p><section class='social-history'>{LONG}</section></article>", f"{LONG.strip()}\n\n{LONG.strip()}"),
+    (f"<article><p>{LONG}</p><section class='comments'>{LONG}</section><div class='related'>Next</div></article>", LONG.strip()),
+])
+def test_names_are_a_prior(html, want):
+    assert st.extract(html, "h", None) == want
+
+
+def test_named_boxes_go_by_what_the_host_shows(spark):
+    rows = [(i, "http://h.com/x", f"<article><h1>T{i}</h1><p>{i} {LONG}</p><section class='related-work'>{i} {LONG}</section>"
+             f"<section class='info-notice'>{LONG}</section></article>") for i in range(6)]
+    got = {r.page_id: r.text for r in st.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[4] == f"T4\n\n4 {LONG.strip()}\n\n4 {LONG.strip()}"

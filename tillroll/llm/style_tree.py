@@ -10,9 +10,15 @@ partial sums; one shuffle adds them up. A second map prunes every page: an
 element's composite importance mixes its own with that of its children,
 weighted by their text, and branches below ``LOWEST`` are removed.
 
-Priors: elements whose tag, role, class or id names a menu, header, footer,
-sidebar, notice, advert, form, script, style or reader comment have importance
-0; an article (or else main) element, if the page has one, is the page's only
+Priors: elements whose tag or role is that of a menu, header, footer, sidebar,
+notice, advert, form, script or style have importance 0. A class or id with
+such a word is a prior weight only: ``PRIOR`` characters of importance 0 are
+mixed into the element's composite importance, so it goes if it is short or
+hardly varies and stays if it is long and varies. For words of reader comments
+the tree says nothing (they vary as the text does): those elements go. No word
+removes an element that holds an article or main element or an article's
+heading, nor one with ``MOST`` of the text (comments: of a page without
+article). An article (or else main) element, if the page has one, is the page's only
 important branch. Inside it the style tree removes boxes (div, section, ul,
 ol, table) that hardly vary over the host while other parts of it do; headings
 and paragraphs stay, so an article copied to many pages is whole.
@@ -51,6 +57,7 @@ MIN_PAGES = 4
 LOWEST = 0.2
 DAMPING = 0.9
 MOST = 0.75
+PRIOR = 400
 PART = 500_000
 
 # HTML's elements by their role in a page.
@@ -74,8 +81,10 @@ NOISE_WORDS = set("menu nav navbar navigation breadcrumb breadcrumbs header mast
                   "promo promotion form newsletter subscribe signup login comment comments disqus respond share sharing "
                   "social related recommended popup modal overlay widget pagination pager toolbar skip adsbygoogle "
                   "adbox adslot cookiebanner cookieconsent".split())
+COMMENT_WORDS = set("comment comments disqus".split())
 BOXES = set("div section ul ol table dl".split())
-TITLES = set("h1 h2 h3 h4 h5 h6 hgroup header time address".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+TITLES = HEADINGS | set("hgroup header time address".split())
 
 _TAG = re.compile(
     r"""<(?:!--(?:.*?--!?>|.*)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+(?=>|\Z)|[^>]*)>?|[!?/][^>]*>?)""",
@@ -89,10 +98,11 @@ END = object()
 
 
 class Node:
-    __slots__ = ("tag", "sig", "parent", "noise", "items", "key")
+    __slots__ = ("tag", "sig", "parent", "noise", "named", "items", "key")
 
-    def __init__(self, tag, sig, parent, noise):
+    def __init__(self, tag, sig, parent, noise, named=0):
         self.tag, self.sig, self.parent, self.noise = tag, sig, parent, noise
+        self.named = named  # 1: by a word of NOISE_WORDS, 2: of COMMENT_WORDS
         self.items: list = []  # child nodes and pieces of text, in order
         self.key = 0
 
@@ -107,17 +117,18 @@ def _attributes(raw: str) -> dict[str, str]:
 def _start(tag: str, raw: str, parent: Node) -> Node:
     # A header is the page's, unless it is the heading part of some content.
     sig, noise = tag, tag in NOISE_TAGS or tag == "header" and not _open(parent, {"article", "main", "section"})
-    inside = tag in ("html", "body", "article", "main")
+    named = 0
     if raw and _NAMED.search(raw):
         attrs = _attributes(raw)
         names = (attrs.get("class", "") + " " + attrs.get("id", "")).strip()
         sig = tag + "." + _DIGITS.sub("0", names)
         words = set(_WORD.findall(names.lower()))
         noise = noise or "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "") in NOISE_ROLES
-        if tag not in ("html", "body", "main"):
-            comment = words & {"comment", "comments", "disqus"}
-            noise = noise or bool(comment if inside else words & NOISE_WORDS)
-    return Node(tag, sig, parent, noise)
+        if tag == "article":
+            noise = noise or bool(words & COMMENT_WORDS)
+        elif tag not in ("html", "body", "main"):
+            named = 2 if words & COMMENT_WORDS else int(bool(words & NOISE_WORDS))
+    return Node(tag, sig, parent, noise, named)
 
 
 def parse(text: str) -> Node:
@@ -166,9 +177,39 @@ def parse(text: str) -> Node:
         node.items.append(child)
         if tag not in VOID:  # in HTML a slash at the end closes nothing else
             node = child
+    _unname(root)
     return root
 
 
+def _unname(root: Node) -> None:
+    """Take the name prior from elements that hold an article, a main element
+    or an article's heading: its first h1, or else its first heading. Articles
+    inside an article are part of it."""
+    heads: dict[int, tuple[Node, Node]] = {}
+    todo: list[tuple[Node, Node | None]] = [(root, None)]
+    while todo:
+        node, article = todo.pop()
+        if node.tag in ("article", "main") and (article is None or (article.tag, node.tag) == ("main", "article")):
+            article = node
+            _clear(node, root)
+        elif node.tag in HEADINGS and article is not None:
+            if id(article) not in heads or node.tag == "h1" != heads[id(article)][0].tag:
+                heads[id(article)] = node, article
+        todo += [(k, article) for k in reversed(_kids(node))]
+    for head, article in heads.values():
+        _clear(head, article)
+
+
+def _clear(node: Node, top: Node) -> None:
+    while node is not top:
+        node.named = 0
+        node = node.parent
+
+
+def _kids(node: Node) -> list[Node]:
+    return [i for i in node.items if isinstance(i, Node) and not i.noise]
+
+
 def _open(node: Node, tags: set) -> bool:
     while node is not None:
         if node.tag in tags:
@@ -294,18 +335,6 @@ class StyleTree:
         return float(self.values[at]) if at < len(self.keys) and self.keys[at] == key else 1.0
 
 
-def _under(node: Node, top: Node) -> bool:
-    while node.parent is not None:
-        node = node.parent
-        if node is top:
-            return True
-    return False
-
-
-def _kids(node: Node) -> list[Node]:
-    return [i for i in node.items if isinstance(i, Node) and not i.noise]
-
-
 def _sizes(nodes: list[Node]) -> dict[int, float]:
     """Text of elements (given parents first) and of all below them."""
     sizes: dict[int, float] = {}
@@ -314,38 +343,56 @@ def _sizes(nodes: list[Node]) -> dict[int, float]:
     return sizes
 
 
-def _composite(nodes: list[Node], tree: StyleTree, sizes: dict[int, float]) -> dict[int, float]:
-    """Composite importance of elements given parents first."""
+def _composite(nodes: list[Node], tree: StyleTree | None, tops: list[Node]) -> tuple[dict, dict, set[int]]:
+    """Composite importance and text of elements given parents first, and the
+    elements that the name prior removes, which count for nothing above them."""
+    page = tops[0].parent is None
+    around = [tops[0], *nodes] if page else nodes
+    whole = _sizes(around)
+    starts, totals = {id(t) for t in tops}, {}
+    for node in around:
+        up = id(node.parent)
+        if up in totals or id(node) in starts:
+            totals[id(node)] = totals[up] if up in totals else whole[id(node)]
     comp: dict[int, float] = {}
-    for node in reversed(nodes):
-        own, kids, weight = float(len(own_text(node))), _kids(node), sizes[id(node)]
-        mine = tree.of(node.key)
+    sizes: dict[int, float] = {}
+    gone: set[int] = set()
+    for node in reversed(around):
+        at, own, kids = id(node), float(len(own_text(node))), [k for k in _kids(node) if id(k) not in gone]
+        weight = sizes[at] = own + sum(sizes[id(k)] for k in kids)
+        mine = tree.of(node.key) if tree is not None else 1.0
         inner = (mine * own + sum(comp[id(k)] * sizes[id(k)] for k in kids)) / weight if weight else mine
-        comp[id(node)] = mine if not kids else (1 - DAMPING) * mine + DAMPING * inner
-    return comp
-
-
-def _removed(top: Node, page: bool, nodes: list[Node], sizes: dict[int, float], comp: dict[int, float]) -> set[int]:
-    """Elements under ``top`` that the style tree removes: the main branch
-    never, and none if most of the text or all but titles would go."""
-    own = [x for x in nodes if _under(x, top)]
+        comp[at] = mine if not kids else (1 - DAMPING) * mine + DAMPING * inner
+        if node.named and not (whole[at] >= MOST * totals.get(at, 0.0) and (page or node.named == 1)):
+            if node.named == 2 or comp[at] * weight < LOWEST * (weight + PRIOR):
+                gone.add(at)
+    return comp, sizes, gone
+
+
+def _removed(top: Node, nodes: list[Node], comp: dict[int, float], sizes: dict[int, float],
+             named: set[int]) -> set[int]:
+    """Elements under ``top`` that the style tree removes besides ``named``:
+    the main branch never, and none if most of the text or all but titles
+    would go."""
+    page, own, inside = top.parent is None, [], {id(top)}
+    for x in nodes:  # parents first
+        if id(x.parent) in inside and id(x) not in named:
+            inside.add(id(x))
+            own.append(x)
     if not page and max((comp[id(x)] for x in own), default=0.0) < 0.5:
         return set()
-    total = float(len(own_text(top))) + sum(sizes[id(k)] for k in _kids(top))
-    drop = {id(x) for x in own if comp[id(x)] < LOWEST and sizes[id(x)] < MOST * total
-            and (page or x.tag in BOXES)}
-    gone, body, lost = set(), bool(own_text(top)), 0.0
-    title = set()
-    for x in own:  # parents first
+    total = sizes[id(top)]
+    drop = {id(x) for x in own if comp[id(x)] < LOWEST and sizes[id(x)] < MOST * total and (page or x.tag in BOXES)}
+    gone, title, body, lost = set(), set(), bool(own_text(top)), 0.0
+    for x in own:
         up = id(x.parent)
         if up in gone or id(x) in drop:
             lost += 0 if up in gone else sizes[id(x)]
             gone.add(id(x))
-            continue
-        if up in title or x.tag in TITLES:
+        elif up in title or x.tag in TITLES:
             title.add(id(x))
-        elif own_text(x):
-            body = True
+        else:
+            body = body or bool(own_text(x))
     return drop if body and lost < MOST * total else set()
 
 
@@ -355,12 +402,12 @@ def extract(text: str, host: str, tree: StyleTree | None) -> str:
     nodes = keyed(root, host)
     tops = [k for tag in ("article", "main") for k in [[x for x in nodes if x.tag == tag]] if k]
     tops = tops[0] if tops else [root]
-    drop: set[int] = set()
-    if tree is not None and len(tree.keys):
-        sizes = _sizes(nodes)
-        comp = _composite(nodes, tree, sizes)
+    known = tree if tree is not None and len(tree.keys) else None
+    comp, sizes, drop = _composite(nodes, known, tops)
+    if known is not None:
+        named = set(drop)
         for top in tops:
-            drop |= _removed(top, top is root, nodes, sizes, comp)
+            drop |= _removed(top, nodes, comp, sizes, named)
     blocks: list[str] = []
     held: list[str] = []
 
