@@ -63,3 +63,15 @@ def test_query(spark):
     kept = uf.allowed(pages, trained)
     assert kept.columns == pages.columns and kept.count() == sum(r.verdict == "allow" for r in got)
     assert uf.judge(pages.limit(0), uf.train(pages.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("times", [lambda k: 1 + 300 // (k + 1), lambda k: 1, lambda k: 200 + k % 3])
+def test_lexicon_holds_exactly_the_most_frequent_words(spark, times):
+    words = [a + b for a in "bcdfgh" for b in "aeiouxyz"]
+    counts = {w: times(k) for k, w in enumerate(words)}
+    pages = spark.createDataFrame([(f"http://h/{' '.join([w] * n)}", None) for w, n in counts.items()],
+                                  "url string, html string").repartition(4)
+    for size in (1, 7, 20, 47, 48, 100):
+        got = uf.lexicon(pages, "url", "html", size)
+        assert sorted(got.values(), reverse=True) == sorted(counts.values(), reverse=True)[:size]
+        assert all(counts[w] == n for w, n in got.items())

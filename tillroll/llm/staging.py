@@ -72,6 +72,6 @@ def lowest(df: DataFrame, hash_col: str, n: int) -> DataFrame:
     which about 1.5 n rows are expected keeps what tasks send for the final
     order near n rows in all, not n from each task."""
     rows = df.count()
-    if rows > 4 * n:
+    if rows > max(4 * n, 1.5 * n + 1000):
         df = df.where(F.col(hash_col) < int(-2**63 + 2**64 * (1.5 * n + 1000) / rows))
     return df.orderBy(hash_col).limit(n)

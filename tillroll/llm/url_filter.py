@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tillroll.llm.staging import share, stage
+from tillroll.llm.staging import lowest, share, stage
 
 LEXICON = 50_000
 BUCKETS = 1 << 18
@@ -110,23 +110,36 @@ def bucket(token: str, buckets: int) -> int:
 
 
 def lexicon(pages: DataFrame, url_col: str, html_col: str, size: int) -> dict[str, int]:
-    """The most frequent words of all titles and URL paths, at most ``size``.
+    """The ``size`` most frequent words of all titles and URL paths, or all if
+    there are fewer; of those with the last count that has a place, the ones
+    of lowest hash.
 
-    Counts are put into classes of about 1 % width; the cut falls between two
-    classes, so tasks send class sizes and the chosen words, nothing else."""
+    The place of the cut is found from the numbers of words by classes of
+    counts of about 1 % width and then by the counts of one class, so tasks
+    send those numbers and little more than the chosen words."""
     title = F.regexp_extract(html_col, r"(?is)<title[^>]*>(.*?)</title", 1)
     path = F.regexp_extract(url_col, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
     found = F.regexp_extract_all(F.lower(F.concat_ws(" ", title, path)), F.lit(r"(\p{L}{2,24})"), 1)
     counts = stage(pages.select(F.explode(found).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
                    .withColumn("class", F.floor(F.ln("n") * 100).cast("int")), "lexicon")
-    classes = counts.groupBy("class").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("class")).collect()
-    cut, held = None, 0
-    for r in classes:
+    edge, held = _crossing(counts, "class", size)
+    if edge is None:
+        rows = counts.collect()
+    else:
+        level, held = _crossing(counts.where(F.col("class") == edge), "n", size, held)
+        last = counts.where(F.col("n") == level).withColumn("h", F.xxhash64("word"))
+        rows = counts.where(F.col("n") > level).collect() + lowest(last, "h", size - held).collect()
+    return {r["word"]: r["n"] for r in rows}
+
+
+def _crossing(counts: DataFrame, by: str, size: int, held: int = 0) -> tuple[int | None, int]:
+    """The highest value of ``by`` whose words don't all fit in ``size``, and
+    how many words there are above it, ``held`` included."""
+    for r in counts.groupBy(by).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc(by)).collect():
+        if held + r["words"] > size:
+            return r[by], held
         held += r["words"]
-        if held > size:
-            break
-        cut = r["class"]
-    return {} if cut is None else {r["word"]: r["n"] for r in counts.where(F.col("class") >= cut).collect()}
+    return None, held
 
 
 def _tokens(urls: list, segmenter: Segmenter) -> list[tuple[str, str, list[str]]]:
