@@ -5,6 +5,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tillroll.llm import line_crf as crf
 from tillroll.llm.staging import read_table
@@ -73,3 +74,17 @@ def test_edge_cases(spark):
     assert crf.score(docs.limit(0), model).count() == 0
     assert crf.train(docs, labels.limit(0)) is None
     assert {r.score for r in crf.score(docs, None).collect()} == {0.5}
+
+
+def test_text_above_the_line_bound_is_passed_over(spark):
+    rows = [(i, "A plain line of words.\nAnother one here." if i % 2 else "x|| y|| z||\na| b|") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = labels.where(~crf.held_out(F.col("doc_id")))
+    first = known.orderBy(F.xxhash64(F.col("doc_id").cast("string"))).first().doc_id
+    long = docs.withColumn("text", F.when(F.col("doc_id") == first, F.repeat(F.lit("line\n"), 500)).otherwise(F.col("text")))
+    model = crf.train(long, labels, sample_lines=400)
+    want = crf.train(docs.where(F.col("doc_id") != first), labels, sample_lines=400)
+    assert model is not None and all(np.allclose(model[k], want[k]) for k in want)
+    got = crf.score(docs, model).collect()
+    assert all(r.predicted == r.doc_id % 2 for r in got)

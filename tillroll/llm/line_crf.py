@@ -191,16 +191,20 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def _featurizer(batches):
-    for batch in batches:
-        texts, labels = ts.text_array(batch.column(0)), batch.column(1)
-        hashes, rows, sizes = batch.column(2), [], []
-        for _, _, data, offsets in ts.chunks(texts):
-            features, _, first = line_features(data, offsets)
-            rows += [features[a:b].astype(np.float32).tobytes() for a, b in zip(first, first[1:])]
-            sizes += np.diff(first).tolist()
-        yield pa.RecordBatch.from_arrays([hashes, labels, pa.array(sizes, pa.int64()), pa.array(rows, pa.binary())],
-                                         names=["h", "label", "n", "features"])
+def _featurizer(most: int):
+    """Features of texts of at most ``most`` lines; of longer ones their number."""
+    def run(batches):
+        for batch in batches:
+            texts, labels = ts.text_array(batch.column(0)), batch.column(1)
+            hashes, rows, sizes = batch.column(2), [], []
+            for _, _, data, offsets in ts.chunks(texts):
+                features, _, first = line_features(data, offsets)
+                rows += [features[a:b].astype(np.float32).tobytes() if b - a <= most else None
+                         for a, b in zip(first, first[1:])]
+                sizes += np.diff(first).tolist()
+            yield pa.RecordBatch.from_arrays([hashes, labels, pa.array(sizes, pa.int64()), pa.array(rows, pa.binary())],
+                                             names=["h", "label", "n", "features"])
+    return run
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -212,13 +216,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = lowest(known, "h", sample_docs)  # at most sample_docs rows
     found = stage(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
                   .join(F.broadcast(chosen), "id").select("text", "label", "h")
-                  .mapInArrow(_featurizer, "h long, label int, n long, features binary"), "crf-sample")
-    # Repeated rows of an id count once; then as many ids as fit the bound on lines.
+                  .mapInArrow(_featurizer(sample_lines), "h long, label int, n long, features binary"), "crf-sample")
+    # Repeated rows of an id count once; then the ids in hash order, passing
+    # over those that don't fit what is left of the bound on lines.
     order = found.groupBy("h").agg(F.min("n").alias("n"), F.min("features").alias("features"),
                                    F.min("label").alias("label"))
-    sizes = sorted((r["h"], r["n"]) for r in order.select("h", "n").collect())
-    fits = [h for (h, _), upto in zip(sizes, np.cumsum([n for _, n in sizes])) if upto <= sample_lines]
-    rows = sorted(order.where(F.col("h") <= fits[-1]).collect(), key=lambda r: r["h"]) if fits else []
+    fits, left = [], sample_lines
+    for h, n in sorted((r["h"], r["n"]) for r in order.select("h", "n").collect()):
+        if n <= left:
+            fits.append(h)
+            left -= n
+    rows = sorted(order.where(F.col("h").isin(fits)).collect(), key=lambda r: r["h"]) if fits else []
     if len({r["label"] for r in rows}) < 2:
         return None
     width = len(np.frombuffer(rows[0]["features"], np.float32)) // rows[0]["n"]
