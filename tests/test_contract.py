@@ -176,3 +176,27 @@ def test_active_sources(spark):
                                 "bucket_name string, file_location string, status string")
     assert sorted(files.active_roots(reg)) == ["s3a://b1/in/", "s3a://b3/in/"]
     assert files.active_sources(reg).where(F.col("bucket_name") == "b2").isEmpty()
+
+
+def test_line_ends_of_copies_of_any_size(spark, workdir, monkeypatch):
+    land, texts = os.path.join(workdir, "landing"), {
+        "a.txt": "b\na\n", "b.txt": "b\r\n\n\nlast", "c.txt": "\ufeffx\ny\n", "d.txt": "\ufeffx\ny", "e.txt": "none",
+        "f.txt": "\n", "g.txt": "x" * 99 + "\n" + "ü" * 50 + "\r" + "\n" * 7, "h.txt": "\ufeff\n"}
+    for name, text in texts.items():
+        with open(write_file(land, name, ""), "wb") as f:
+            f.write(text.encode())
+    v = contract.check_contract(files.discover(spark, land))
+    for bound in (0, 6, contract.CONTENT_BYTES):
+        monkeypatch.setattr(contract, "CONTENT_BYTES", bound)
+        error = os.path.join(workdir, f"error{bound}")
+        got = contract.line_ends(spark, contract.quarantine(spark, v, error, "r"), error, "r").collect()
+        assert {r.file_name: r.n_ends for r in got} == {n: t.count("\n") for n, t in texts.items()}
+
+
+def test_quarantine_query_counts_large_files(spark, monkeypatch):
+    from tillroll.plans import io_queries
+
+    count = lambda: {tuple(r) for r in io_queries.q_quarantine(spark, "/root/testdata/sf0.01").collect()}
+    want = count()
+    monkeypatch.setattr(contract, "CONTENT_BYTES", 1000)
+    assert want and count() == want

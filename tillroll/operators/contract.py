@@ -138,3 +138,27 @@ def quarantine(spark: SparkSession, verdicts: DataFrame, error_dir: str, run_id:
 def file_id(path_col: str = "path"):
     """Stable id of a file from its identity (two drops may share a base name)."""
     return F.xxhash64(F.col(path_col))
+
+
+def line_ends(spark: SparkSession, copies: DataFrame, error_dir: str, run_id: str = "0") -> DataFrame:
+    """``copies`` (as ``quarantine`` returned them) without their bytes but
+    with ``n_ends``, the line feeds in each copy, of whatever size.
+
+    A large copy is read in splits by Spark's text reader. It drops the last
+    line's end and the byte order mark, so what a copy's lines lack of its
+    length tells whether it ends with a line feed.
+    """
+    kept = [c for c in copies.columns if c != "content"]
+    small = copies.where(F.col("content").isNotNull()).select(
+        *kept, F.regexp_count(F.decode("content", "UTF-8"), F.lit("\n")).cast("long").alias("n_ends"))
+    large = copies.where(F.col("content").isNull()).select(*kept)
+    if large.isEmpty():
+        return small
+    lines = (spark.read.option("lineSep", "\n").text(f"{error_dir.rstrip('/')}/large/run_id={run_id}")
+             .select(F.col("_metadata.file_name").cast("long").alias("file_id"),
+                     F.col("_metadata.file_size").alias("size"), F.octet_length("value").alias("bytes"))
+             .groupBy("file_id").agg(F.count(F.lit(1)).alias("lines"),
+                                     (F.max("size") - F.sum("bytes")).alias("lacks")))
+    whole = F.col("lacks").isin(F.col("lines"), F.col("lines") + 3)  # 3: byte order mark
+    ends = F.when(whole, F.col("lines")).otherwise(F.col("lines") - 1).alias("n_ends")
+    return small.unionByName(large.join(lines, "file_id").select(*kept, ends))

@@ -69,10 +69,9 @@ def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = contract.quarantine(spark, v, f"{root}/error")
     # What the error area holds: line ends of each copied file, less its header.
     names = v.where(~F.col("accepted")).select("path", drop_of().alias("drop_name"))
-    ends = F.regexp_count(F.decode("content", "UTF-8"), F.lit("\n"))
     header = (F.col("reason") != contract.REASON_NOT_CSV).cast("int")
-    return (copies.join(names, "path")
-            .groupBy("drop_name", "reason").agg(F.sum(ends - header).cast("bigint").alias("n_lines"))
+    return (contract.line_ends(spark, copies, f"{root}/error").join(names, "path")
+            .groupBy("drop_name", "reason").agg(F.sum(F.col("n_ends") - header).cast("bigint").alias("n_lines"))
             .where("n_lines > 0"))
 
 
