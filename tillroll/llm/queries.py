@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import bayes_join, decontaminate, grid_join, line_crf, mix, style_tree, suffix_index
-from tillroll.llm import token_count, token_file, url_filter
+from tillroll.llm import backoff_lm, bayes_join, collocations, decontaminate, grid_join, line_crf, mix, style_tree, suffix_index
+from tillroll.llm import token_count, token_file, url_filter, whitening
 from tillroll.llm.staging import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,48 @@ def op3(spark, sf_dir):
 @query("op2_suffix_dedup")
 def op2(spark, sf_dir):
     return suffix_index.find(read_table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+o AS (SELECT lang, id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM w),
+o3 AS (SELECT lang, x, lead(x) OVER z AS y, lead(x, 2) OVER z AS z FROM o WINDOW z AS (PARTITION BY id ORDER BY i)),
+f1 AS (SELECT lang, x, count(*) AS f FROM o3 GROUP BY ALL),
+f2 AS (SELECT lang, x, y, count(*) AS f FROM o3 WHERE y IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, x, y, z, count(*) AS f FROM o3 WHERE z IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, sum(f) AS n FROM f1 GROUP BY lang),
+c AS (SELECT f2.lang, f2.x || ' ' || f2.y AS phrase, 1 AS cut, f2.f AS a, p.f AS l, q.f AS r
+      FROM f2 JOIN f1 p ON p.lang = f2.lang AND p.x = f2.x JOIN f1 q ON q.lang = f2.lang AND q.x = f2.y
+      WHERE NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = f2.lang AND f3.x = f2.x AND f3.y = f2.y AND 100 * f3.f >= 50 * f2.f)
+        AND NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = f2.lang AND f3.y = f2.x AND f3.z = f2.y AND 100 * f3.f >= 50 * f2.f)
+      UNION ALL
+      SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, 1, f3.f, p.f, q.f
+      FROM f3 JOIN f1 p ON p.lang = f3.lang AND p.x = f3.x JOIN f2 q ON q.lang = f3.lang AND q.x = f3.y AND q.y = f3.z
+      UNION ALL
+      SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, 2, f3.f, p.f, q.f
+      FROM f3 JOIN f2 p ON p.lang = f3.lang AND p.x = f3.x AND p.y = f3.y JOIN f1 q ON q.lang = f3.lang AND q.x = f3.z),
+s AS (SELECT *, (1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS score FROM c),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM best)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""
+
+
+@query("op11_collocations", OP11_SQL)
+def op11(spark, sf_dir):
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
+@query("op12_lm_scoring")
+def op12(spark, sf_dir):
+    return backoff_lm.score(read_table(spark, sf_dir, "documents"))
+
+
+@query("op13_whitening")
+def op13(spark, sf_dir):
+    rows = whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
