@@ -15,7 +15,8 @@ tokens before its own, after which its state is that of the whole text's run.
 Probabilities: the empty context has p(w) = (c + 0.1) / (N + 0.1 (V + 1)); a
 context h of total c(h) has p(w | h) = (c(hw) + m p(w | h')) / (c(h) + m), h' being
 h without its first token and m the strength for its length (``STRENGTH``): this sums to 1
-over the V known tokens and an unknown one.
+over the V known tokens and an unknown one. Two n-grams share their counts if
+the first 56 bits of their hashes are equal.
 
 Tokens: A-Z lower-cased, words ``[^\\x20\\x09-\\x0D]+``, then one end. A null text
 is empty (one token), a null id counts as the empty text in the fold's hash and
@@ -126,9 +127,10 @@ def _grams(x: dict, order: int) -> list[dict]:
 
 
 def _keys(levels: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all lengths and their order; the last bit marks single tokens."""
-    one = np.uint64(1)
-    keys = np.concatenate([levels[0]["raw"] | one] + [v["raw"] & ~one for v in levels[1:]])
+    """Keys of all lengths (the hashes' first 56 bits) and their order; the
+    last bit marks single tokens."""
+    cut = ~np.uint64(0xFF)
+    keys = np.concatenate([levels[0]["raw"] & cut | np.uint64(1)] + [v["raw"] & cut for v in levels[1:]])
     return keys, np.argsort(keys)
 
 

@@ -27,7 +27,7 @@ from tillroll.llm.grouped import groups
 from tillroll.llm.staging import stage
 from tillroll.llm.textscan import BYTE_VALUES, LOWER, chunks, mix, powers
 
-TOKENS = 2_000_000
+TOKENS = 1_000_000
 KEYS = 1_500_000     # keys that one range of a merge holds, about
 SEGMENT = (1 << 21) - 1  # bytes of text scanned at once
 LONG_WORD = 1 << 16  # longer words are hashed by blake2b
