@@ -13,6 +13,7 @@ from conftest import CSV_HEADER, sales_csv_lines, write_file
 from tillroll.errors import NoInputError
 from tillroll.operators import contract
 from tillroll.schemas import SALE_COLUMNS
+from tillroll.session import staged
 from tillroll.sources import files
 
 BASE = [(1, 121, "2023-03-03", 1, "100.00"), (2, 121, "2023-03-15", 2, "100.00")]
@@ -96,23 +97,100 @@ def test_quarantine_copies_rejected_files_as_they_are(spark, workdir):
         contract.quarantine(spark, v, error, "r1")
     rejects = spark.read.parquet(os.path.join(error, "rejects"))
     assert sorted(r.file_name for r in rejects.collect()) == ["book.xlsx", "missing.csv", "notes.txt", "notes.txt"]
-    copies = {r.path: bytes(r.content) for r in spark.read.parquet(os.path.join(error, "files")).collect()}
+    copies = copied(spark, error)
     assert len(copies) == 4
     for r in v.where("not accepted").collect():
         with open(r.location.removeprefix("file:"), "rb") as f:
             assert copies[r.path] == f.read()
 
 
-def test_large_rejected_files_are_copied_by_the_file_system(spark, workdir, monkeypatch):
-    monkeypatch.setattr(contract, "CONTENT_BYTES", 3)
+def copied(spark, error):
+    """Bytes of the copied files: their chunks in order."""
+    rows = sorted(spark.read.parquet(os.path.join(error, "files")).collect(), key=lambda r: (r.path, r.start, r.seq))
+    out = {}
+    for r in rows:
+        out[r.path] = out.get(r.path, b"") + bytes(r.content)
+    return out
+
+
+def test_files_above_the_split_size_are_copied_byte_for_byte(spark, workdir, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    binary = bytes(rng.randrange(256) for _ in range(200_000))
+    cases = {"binary.bin": binary, "feeds.bin": b"\n" * 50_000, "zeros.bin": bytes(70_000), "text.txt": b"line of text\r\n" * 9_000,
+             "open.txt": b"abc\n" * 20_000 + b"last", "mark.txt": b"\xef\xbb\xbf" + b"x\ny" * 30_000, "mark2.txt": b"\xef\xbb\xbfa\n",
+             "onlymark.txt": b"\xef\xbb\xbf", "one.txt": b"\n", "two.txt": b"\r\n", "x.dat": b"x", "packed.gz": binary, "marks.txt": b"\xef\xbb\xbf\xef\xbb\xbf\n",
+             "inner.txt": b"a\xef\xbb\xbf\n\xef\xbb\xbfb"}
+    land = os.path.join(workdir, "landing")
+    for name, data in cases.items():
+        with open(write_file(land, name, ""), "wb") as f:
+            f.write(data)
+    v = contract.check_contract(files.discover(spark, land))
+    from tillroll.sources import copies
+    monkeypatch.setattr(copies, "CHUNK_BYTES", 5_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+        chunks = contract.quarantine(spark, v, os.path.join(workdir, "error"), "r")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = {os.path.basename(p): b for p, b in copied(spark, os.path.join(workdir, "error")).items()}
+    assert got == cases
+    assert chunks.where("file_name = 'binary.bin'").select("start").distinct().count() > 5
+    assert {r.file_name: r.n_ends for r in contract.line_ends(chunks).collect()} == {n: d.count(b"\n") for n, d in cases.items()}
+
+
+def test_many_headers_are_one_scan(spark, workdir):
+    import random
+
+    rng, land, want = random.Random(2), os.path.join(workdir, "landing"), set()
+    columns = CSV_HEADER.split(",") + ["mode", "note"]
+    for k in range(500):
+        row = dict(zip(columns, [str(k), "121", f'Oil, "{k}"', "2023-04-02", "2", "5.5", "1", "5.50", "UPI", ""]))
+        names = rng.sample(columns, len(columns))
+        quoted = ['"' + row[c].replace('"', '""') + '"' if c == "product_name" else row[c] for c in names]
+        write_file(land, f"f{k}.csv", ",".join(names) + "\n" + ",".join(quoted).replace('""', '\\"') + "\n")
+        want.add((k, f'Oil, "{k}"', Decimal("5.50"), "UPI"))
+    v = staged(contract.check_contract(files.discover(spark, land)), "v")
+    rows = contract.read_accepted(spark, v).rows
+    plan = rows._jdf.queryExecution().toString()
+    assert plan.count("FileScan csv") == 1
+    assert {(r.customer_id, r.product_name, r.total_cost, r.additional_column) for r in rows.collect()} == want
+    assert {r.additional_column for r in rows.collect()} == {"UPI"}
+
+
+def test_bad_rows_and_values_as_the_csv_reader_sees_them(spark, workdir):
+    land = os.path.join(workdir, "landing")
+    lines = ["1,121,Oil,2023-04-01,1,5,1,5", "x,121,Oil,2023-04-01,1,5,1,5", "3,121,Oil,2023-4-1,1,5,1,5", "4,121,Oil,2023-04-01,1,5,1",
+             "5,121,Oil,2023-04-01,1,5,1,5,9", '6,121,"a ""b"" c",2023-04-01,1,"1,000.25",1,5', "7,121,,,,,,", " 8,121,Oil,2023-04-01,1,5,1,5",
+             '9,121,"x,y",2023-04-01,1,bad,1,5', CSV_HEADER]
+    write_file(land, "a.csv", CSV_HEADER + "\n" + "\n".join(lines) + "\n")
+    v = contract.check_contract(files.discover(spark, land))
+    rows = contract.read_accepted(spark, v).rows.collect()
+    # The typed, header-bound scan of the same file.
+    from tillroll.sources.csv import scan_csv
+    typed = {i: r for i, r in enumerate(scan_csv(spark, [os.path.join(land, "a.csv")], CSV_HEADER.split(",")).collect())}
+    assert len(rows) == len(lines)
+    for i, r in enumerate(rows):
+        assert (r.record is None) == (typed[i]["_corrupt_record"] is None), lines[i]
+        assert [r[c] for c in CSV_HEADER.split(",")] == [typed[i][c] for c in CSV_HEADER.split(",")] or r.record
+        assert r.record in (None, lines[i])
+
+
+def test_small_files_are_probed_many_to_a_task(spark, workdir, monkeypatch):
+    from tillroll.sources import csv as csv_source
+
     land = os.path.join(workdir, "landing")
-    write_file(land, "big.txt", "b\na\n")
-    write_file(land, "s.txt", "x")
-    contract.quarantine(spark, contract.check_contract(files.discover(spark, land)), os.path.join(workdir, "error"), "r")
-    rows = {r.file_name: r for r in spark.read.parquet(os.path.join(workdir, "error/files")).collect()}
-    assert rows["big.txt"].content is None and bytes(rows["s.txt"].content) == b"x"
-    with open(os.path.join(workdir, "error/large/run_id=r", str(rows["big.txt"].file_id))) as f:
-        assert f.read() == "b\na\n"
+    for k in range(300):
+        write_file(land, f"f{k}.csv", ("\ufeff" if k % 7 == 0 else "") + f"a{k},b" + ("\r\n", "\n", "\r", "")[k % 4] + ("1,2\n" if k % 4 != 3 else ""))
+    manifest = files.discover(spark, land)
+    locations = [r.location for r in manifest.collect()]
+    assert csv_source.first_lines(spark, locations, packed=True).rdd.getNumPartitions() < 60
+    small = {r.path: (r.header_line, tuple(r.header)) for r in csv_source.probe_headers(manifest).collect()}
+    monkeypatch.setattr(csv_source, "SMALL_FILE", 8)          # the other way to the same lines
+    assert {r.path: (r.header_line, tuple(r.header)) for r in csv_source.probe_headers(manifest).collect()} == small
+    assert {v[0] for v in small.values()} == {f"a{k},b" for k in range(300)}
 
 
 ODD_NAMES = ["day 1.csv", "a#b.csv", "a%20b.csv", "verkäufe.csv", "x[1]{2}.csv", "what?*.csv", "sub dir/ü ü.CSV", "plus+&=.csv"]
@@ -176,27 +254,3 @@ def test_active_sources(spark):
                                 "bucket_name string, file_location string, status string")
     assert sorted(files.active_roots(reg)) == ["s3a://b1/in/", "s3a://b3/in/"]
     assert files.active_sources(reg).where(F.col("bucket_name") == "b2").isEmpty()
-
-
-def test_line_ends_of_copies_of_any_size(spark, workdir, monkeypatch):
-    land, texts = os.path.join(workdir, "landing"), {
-        "a.txt": "b\na\n", "b.txt": "b\r\n\n\nlast", "c.txt": "\ufeffx\ny\n", "d.txt": "\ufeffx\ny", "e.txt": "none",
-        "f.txt": "\n", "g.txt": "x" * 99 + "\n" + "ü" * 50 + "\r" + "\n" * 7, "h.txt": "\ufeff\n"}
-    for name, text in texts.items():
-        with open(write_file(land, name, ""), "wb") as f:
-            f.write(text.encode())
-    v = contract.check_contract(files.discover(spark, land))
-    for bound in (0, 6, contract.CONTENT_BYTES):
-        monkeypatch.setattr(contract, "CONTENT_BYTES", bound)
-        error = os.path.join(workdir, f"error{bound}")
-        got = contract.line_ends(spark, contract.quarantine(spark, v, error, "r"), error, "r").collect()
-        assert {r.file_name: r.n_ends for r in got} == {n: t.count("\n") for n, t in texts.items()}
-
-
-def test_quarantine_query_counts_large_files(spark, monkeypatch):
-    from tillroll.plans import io_queries
-
-    count = lambda: {tuple(r) for r in io_queries.q_quarantine(spark, "/root/testdata/sf0.01").collect()}
-    want = count()
-    monkeypatch.setattr(contract, "CONTENT_BYTES", 1000)
-    assert want and count() == want

@@ -19,3 +19,7 @@ class SinkError(TillrollError):
 
 class ConfigError(TillrollError):
     """The session lacks a setting that a cluster run needs."""
+
+
+class RunClosedError(TillrollError):
+    """A run id that has closed its files is used again for other files."""

@@ -1,9 +1,10 @@
 """File contract, quarantine and the conformed batch.
 
 ``check_contract`` turns a manifest into one verdict row per file;
-``read_accepted`` reads the accepted files (one scan per distinct header) into
-the canonical sale rows and the rows that did not parse; ``quarantine`` copies
-the rejected files, byte for byte, to the error area.
+``read_accepted`` reads the accepted files (one scan per number of columns,
+however many headers there are) into the canonical sale rows and the rows that
+did not parse; ``quarantine`` copies the rejected files, byte for byte, to the
+error area.
 """
 
 from __future__ import annotations
@@ -14,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.errors import NoInputError
-from tillroll.operators.conform import conform_frame, union_all
+from tillroll.operators.conform import bind_positions, layouts, union_all
+from tillroll.operators.sizing import broadcast_if_small
 from tillroll.schemas import MANDATORY_COLUMNS
-from tillroll.sources.csv import CORRUPT_COLUMN, literal_path, probe_headers, scan_csv
+from tillroll.sources.copies import chunks_of
+from tillroll.sources.csv import probe_headers, scan_positions
 from tillroll.sources.files import split_by_format
 
 # Rejection reasons.
@@ -27,8 +30,6 @@ REASON_REPEATED = "repeated_columns"
 
 VERDICT_COLUMNS = ["path", "location", "file_name", "modificationTime", "length", "header_line", "raw_header",
                    "header", "missing", "extras", "accepted", "reason"]
-# Files above this are copied by the file system, not through a row.
-CONTENT_BYTES = 256 << 20
 
 
 def check_contract(manifest: DataFrame) -> DataFrame:
@@ -79,59 +80,45 @@ class Batch:
 
 
 def read_accepted(spark: SparkSession, verdicts: DataFrame) -> Batch:
-    """U1 over S1: one scan per distinct header, conformed and unioned. Good
-    and bad rows come from the same parse and are told apart by ``record``,
-    the text of a row that did not parse.
+    """U1 over S1: the accepted files, conformed. Files with the same number
+    of columns are one scan, whatever their headers say: values are read by
+    position and bound by each file's layout, one row per file, joined on the
+    path. Good and bad rows come from the same parse and are told apart by
+    ``record``: the line of a row with too few or too many values, and else,
+    when a value does not parse, the row's values written as CSV.
 
     The accepted files' locations, one row each, go to the driver because
     Spark's file readers take their paths there.
     """
-    by_header: dict[tuple, list[str]] = {}
-    for r in verdicts.where(F.col("accepted")).select("raw_header", "location").toLocalIterator():
-        by_header.setdefault(tuple(r["raw_header"]), []).append(r["location"])
-    if not by_header:
+    accepted = verdicts.where(F.col("accepted"))
+    by_width: dict[int, list[str]] = {}
+    for r in accepted.select(F.size("raw_header").alias("width"), "location").toLocalIterator():
+        by_width.setdefault(r["width"], []).append(r["location"])
+    if not by_width:
         raise NoInputError("no file passed the contract")
-    frames = []
-    for raw_header, locations in by_header.items():
-        header = [c.strip() for c in raw_header]
-        raw = scan_csv(spark, locations, list(raw_header))
-        parsed = F.when(F.col(CORRUPT_COLUMN).isNotNull(), F.to_json(F.struct(*[F.col(f"`{c}`") for c in header])))
-        kept = raw.select("*", parsed.alias("__parsed"))
-        frames.append(conform_frame(kept, header, lineage=["source_file", CORRUPT_COLUMN, "__parsed"]))
-    rows = union_all(frames).withColumnRenamed(CORRUPT_COLUMN, "record").withColumnRenamed("__parsed", "parsed")
-    return Batch(rows, verdicts)
+    raw = union_all([scan_positions(spark, locations, width) for width, locations in sorted(by_width.items())])
+    return Batch(bind_positions(raw, broadcast_if_small(layouts(accepted))), verdicts)
 
 
 def quarantine(spark: SparkSession, verdicts: DataFrame, error_dir: str, run_id: str = "0") -> DataFrame:
     """V3: every rejected file as it is, and its verdict, under the run.
 
-    ``error_dir/files/run_id=..`` holds one row per file with its bytes
-    (``content``), so order, line ends and binary formats survive;
-    ``error_dir/rejects/run_id=..`` holds the verdicts. A file above
-    ``CONTENT_BYTES`` is copied as a file by its file system instead, to
-    ``error_dir/large/run_id=../<hash of its path>``, and has null content.
-    A run's folders are replaced when it is repeated. The files themselves
-    stay where they are; the ledger keeps them from being taken again.
-    Returns the copied rows as written.
+    ``error_dir/files/run_id=..`` holds the files in chunks of bytes
+    (``content``) by their place (``start``, ``seq``), so order, line ends and
+    binary formats survive whatever a file's size; tasks copy ranges of it.
+    ``error_dir/rejects/run_id=..`` holds the verdicts. A run's folders are
+    replaced when it is repeated. The files themselves stay where they are;
+    the ledger keeps them from being taken again. Returns the chunks as written.
     """
     rejected = verdicts.where(~F.col("accepted")).select("path", "location", "file_name", "length", "reason", "missing",
                                                          file_id().alias("file_id"))
     base = error_dir.rstrip("/")
     rejected.drop("location").write.mode("overwrite").parquet(f"{base}/rejects/run_id={run_id}")
     target = f"{base}/files/run_id={run_id}"
-    small = [literal_path(r["location"]) for r in
-             rejected.where(F.col("length") <= CONTENT_BYTES).select("location").toLocalIterator()]
-    schema = "path string, content binary"
-    contents = (spark.read.format("binaryFile").load(small).select(F.col("_metadata.file_path").alias("path"), "content")
-                if small else spark.createDataFrame([], schema))
-    # Joined on the path: content rows are large, verdicts are not.
-    (rejected.select("path", "file_name", "file_id", "reason").join(contents, "path", "left")
+    about = broadcast_if_small(rejected.select(F.col("path").alias("__path"), "file_name", "file_id", "reason"))
+    (chunks_of(spark, rejected).join(about, F.col("path") == F.col("__path"))
+     .select("path", "file_name", "file_id", "reason", "start", "seq", "content")
      .write.mode("overwrite").parquet(target))
-    fs = spark._jvm.org.apache.hadoop.fs
-    for r in rejected.where(F.col("length") > CONTENT_BYTES).select("location", "file_id").toLocalIterator():
-        conf = spark._jsc.hadoopConfiguration()
-        source, copy = fs.Path(r["location"]), fs.Path(f"{base}/large/run_id={run_id}/{r['file_id']}")
-        fs.FileUtil.copy(source.getFileSystem(conf), source, copy.getFileSystem(conf), copy, False, True, conf)
     return spark.read.parquet(target)
 
 
@@ -140,25 +127,8 @@ def file_id(path_col: str = "path"):
     return F.xxhash64(F.col(path_col))
 
 
-def line_ends(spark: SparkSession, copies: DataFrame, error_dir: str, run_id: str = "0") -> DataFrame:
-    """``copies`` (as ``quarantine`` returned them) without their bytes but
-    with ``n_ends``, the line feeds in each copy, of whatever size.
-
-    A large copy is read in splits by Spark's text reader. It drops the last
-    line's end and the byte order mark, so what a copy's lines lack of its
-    length tells whether it ends with a line feed.
-    """
-    kept = [c for c in copies.columns if c != "content"]
-    small = copies.where(F.col("content").isNotNull()).select(
-        *kept, F.regexp_count(F.decode("content", "UTF-8"), F.lit("\n")).cast("long").alias("n_ends"))
-    large = copies.where(F.col("content").isNull()).select(*kept)
-    if large.isEmpty():
-        return small
-    lines = (spark.read.option("lineSep", "\n").text(f"{error_dir.rstrip('/')}/large/run_id={run_id}")
-             .select(F.col("_metadata.file_name").cast("long").alias("file_id"),
-                     F.col("_metadata.file_size").alias("size"), F.octet_length("value").alias("bytes"))
-             .groupBy("file_id").agg(F.count(F.lit(1)).alias("lines"),
-                                     (F.max("size") - F.sum("bytes")).alias("lacks")))
-    whole = F.col("lacks").isin(F.col("lines"), F.col("lines") + 3)  # 3: byte order mark
-    ends = F.when(whole, F.col("lines")).otherwise(F.col("lines") - 1).alias("n_ends")
-    return small.unionByName(large.join(lines, "file_id").select(*kept, ends))
+def line_ends(copies: DataFrame) -> DataFrame:
+    """One row per copied file (``quarantine``): path, file_name, file_id,
+    reason and ``n_ends``, the line feeds in it."""
+    feeds = F.regexp_count(F.col("content").cast("string"), F.lit("\n"))
+    return copies.groupBy("path", "file_name", "file_id", "reason").agg(F.sum(feeds).cast("long").alias("n_ends"))

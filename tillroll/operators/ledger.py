@@ -6,7 +6,8 @@ it takes (open) and ``I`` for each of them once all sinks succeeded (close);
 ``R`` marks a file that the contract rejected. The state of a file is its
 latest event, by ``(event_ts, seq)``; times are instants, so sessions
 in different time zones agree. No row is ever updated in place, so the ledger
-can live in plain Parquet on any store.
+can live in plain Parquet on any store; its history is compacted into checkpoints
+(``eventlog``), so reading it costs one checkpoint and the events since.
 
 The key of a file is its location with its modification time and length: two
 drops may share a base name, and a file delivered again under the same name
@@ -17,10 +18,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.operators.eventlog import EventLog
 from tillroll.schemas import FILE_LEDGER, STATUS_ACTIVE, STATUS_INACTIVE, STATUS_REJECTED
 
 KEY = ["file_location", "modified", "length"]
@@ -70,24 +71,31 @@ def reject_files(files: DataFrame, run_id: str, ts: Column | None = None) -> Dat
     return events(files, STATUS_REJECTED, run_id, 2, ts)
 
 
-def append(ledger_events: DataFrame, ledger_path: str) -> None:
-    ledger_events.write.mode("append").parquet(ledger_path)
+def log(ledger_path: str) -> EventLog:
+    return EventLog(ledger_path.rstrip("/"), FILE_LEDGER, compact_events)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A table that its first run has yet to write. Only a missing path means
-    that; any other error (permissions, the store) is raised."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def append(ledger_events: DataFrame, ledger_path: str) -> None:
+    log(ledger_path).append(ledger_events)
 
 
 def read(spark: SparkSession, ledger_path: str) -> DataFrame:
-    """The ledger, or an empty one when nothing was written yet."""
-    return read_or_empty(spark, ledger_path, FILE_LEDGER)
+    """The ledger's events, from its newest checkpoint on, or an empty ledger
+    when nothing was written yet."""
+    return log(ledger_path).read(spark)
+
+
+def compact_events(ledger: DataFrame) -> DataFrame:
+    """At most three events per file that give the same state: the first
+    ``A``, the last ``I`` and the latest event."""
+    code = F.array_position(F.array(*map(F.lit, _CODES)), F.col("status"))
+    event = F.struct("event_ts", F.pmod("seq", F.lit(16)).alias("place"), code.alias("code"), "status", "run_id", "seq", "file_name")
+    per_file = ledger.groupBy(*KEY).agg(
+        F.min(F.when(F.col("status") == STATUS_ACTIVE, event)).alias("first"),
+        F.max(F.when(F.col("status") == STATUS_INACTIVE, event)).alias("closed"), F.max(event).alias("last"))
+    kept = F.array_distinct(F.filter(F.array("first", "closed", "last"), lambda e: e.isNotNull()))
+    return per_file.select(*KEY, F.explode(kept).alias("e")).select(
+        "e.file_name", *KEY, "e.status", "e.event_ts", "e.run_id", "e.seq").select(*FILE_LEDGER.fieldNames())
 
 
 # Order of the states in the packed event below.

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import full_name, incentive, month_bucket, total_money
-from tillroll.operators.sizing import key_profile, raise_on_duplicates, small_sides
+from tillroll.operators.sizing import load_profile, raise_on_duplicates, small_sides
 from tillroll.session import staged
 
 # The raw marts' columns.
@@ -158,12 +158,12 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 def _checked_dims(sale: DataFrame, customer: DataFrame, store: DataFrame,
                   sales_team: DataFrame) -> dict[str, bool]:
-    """Key uniqueness of the three dimensions (one job; a duplicate key
-    raises) and, from the same job's row counts, which are small enough to
-    broadcast."""
+    """Key uniqueness of the three dimensions (a duplicate key raises) and,
+    from the same row counts, which are small enough to broadcast: one job per
+    version of the tables."""
     keys = {"customer": "customer_id", "store": "id", "sales_team": "id"}
     frames = {"customer": customer, "store": store, "sales_team": sales_team}
-    profile = key_profile({n: (frames[n], keys[n]) for n in keys})
+    profile = load_profile({n: (frames[n], keys[n]) for n in keys})
     raise_on_duplicates(profile, keys)
     return small_sides(profile, sale)
 
@@ -194,14 +194,19 @@ def customer_monthly_from_sales(sale: DataFrame, customer: DataFrame, store: Dat
     f = sale.select("customer_id", "store_id", "sales_person_id", "sales_date", "total_cost")
     f = _semi(f, "store_id", store, "id", small["store"])
     f = _semi(f, "sales_person_id", sales_team, "id", small["sales_team"])
-    totals = (f.groupBy("customer_id", month_bucket("sales_date").alias("sales_date_month"))
-              .agg(F.sum("total_cost").alias("__total")))
+    totals = (f.groupBy("customer_id", month_bucket("sales_date").alias("sales_month"))
+              .agg(F.sum("total_cost").alias("total")))
+    return customer_monthly_from_totals(totals, customer, small["customer"])
+
+
+def customer_monthly_from_totals(totals: DataFrame, customer: DataFrame, small: bool) -> DataFrame:
+    """A1 from (customer_id, sales_month, total): one row each, names joined last."""
     c = customer.select(F.col("customer_id").alias("__ck"),
                         full_name("first_name", "last_name").alias("full_name"), "address", "phone_number")
-    c = F.broadcast(c) if small["customer"] else c
+    c = F.broadcast(c) if small else c
     return (totals.join(c, totals["customer_id"] == c["__ck"], "inner")
-            .select("customer_id", "full_name", "address", "phone_number", "sales_date_month",
-                    total_money("__total").alias("total_sales")))
+            .select("customer_id", "full_name", "address", "phone_number", F.col("sales_month").alias("sales_date_month"),
+                    total_money("total").alias("total_sales")))
 
 
 def sales_team_monthly_from_sales(sale: DataFrame, customer: DataFrame, store: DataFrame,
@@ -215,18 +220,44 @@ def sales_team_monthly_from_sales(sale: DataFrame, customer: DataFrame, store: D
     f = _semi(f, "customer_id", customer, "customer_id", small["customer"])
     f = _semi(f, "store_id", store, "id", small["store"])
     totals = (f.groupBy("store_id", "sales_person_id", month_bucket("sales_date").alias("sales_month"))
-              .agg(F.sum("total_cost").alias("__total")))
+              .agg(F.sum("total_cost").alias("total")))
+    return sales_team_monthly_from_totals(totals, sales_team, small["sales_team"])
+
+
+def sales_team_monthly_from_totals(totals: DataFrame, sales_team: DataFrame, small: bool) -> DataFrame:
+    """A2 from (store_id, sales_person_id, sales_month, total), one row each:
+    names, then the top sellers of every store and month and their incentive."""
     t = sales_team.select(F.col("id").alias("__sk"),
                           full_name("first_name", "last_name").alias("full_name"))
-    t = F.broadcast(t) if small["sales_team"] else t
+    t = F.broadcast(t) if small else t
     seller_totals = (totals.join(t, totals["sales_person_id"] == t["__sk"], "inner")
                      .select("store_id", "sales_person_id", "full_name", "sales_month",
-                             total_money("__total").alias("total_sales")))
+                             total_money("total").alias("total_sales")))
     marked = mark_top_sellers(seller_totals)
     return marked.select("store_id", "sales_person_id", "full_name", "sales_month", "total_sales",
                          incentive("total_sales", F.col("is_top")).alias("incentive"))
 
 
+# --- Partial totals of a run, merged by the month's refresh ---
+
+def customer_totals(enriched: DataFrame) -> DataFrame:
+    """(customer_id, total, sales_month) of enriched sales: sums that add up
+    over runs (NULL while no sale has an amount)."""
+    return enriched.groupBy("customer_id", month_bucket("sales_date").alias("sales_month")).agg(
+        F.sum("total_cost").cast("decimal(28,2)").alias("total"))
+
+
+def seller_totals(enriched: DataFrame) -> DataFrame:
+    """(store_id, sales_person_id, total, sales_month) of enriched sales."""
+    return enriched.groupBy("store_id", "sales_person_id", month_bucket("sales_date").alias("sales_month")).agg(
+        F.sum("total_cost").cast("decimal(28,2)").alias("total"))
+
+
+def merge_totals(partial: DataFrame, keys: list[str]) -> DataFrame:
+    """Totals of several runs to one per key and month."""
+    return partial.groupBy(*keys, "sales_month").agg(F.sum("total").cast("decimal(28,2)").alias("total"))
+
+
 # --- rank() without a window over the whole group ---
 
 def _same(left: DataFrame, right: DataFrame, left_cols: list[str], right_cols: list[str]):

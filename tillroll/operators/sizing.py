@@ -11,11 +11,13 @@ small, and split by AQE's skew-join handling when one key is hot).
 Dimension keys are checked the same way, in one job for all dimensions: a
 ``groupBy`` per dimension on the key as it is, with map-side partial counts,
 then one row per dimension with its exact row count, bytes and largest count
-of one key.
+of one key. A profile is kept for the version of the table it was taken from.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections import OrderedDict
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -81,18 +83,57 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return broadcast_small([df], max_rows)[0]
 
 
-def key_profile(tables: dict[str, tuple[DataFrame, str]]) -> dict[str, tuple[int, int, str | None, int]]:
+def key_profile(tables: dict[str, tuple[DataFrame, str]]) -> dict[str, tuple[int, int, str | None, int, int]]:
     """For each named ``(frame, key)``: (rows, largest count of one non-NULL
-    key, one such key as text, bytes), all computed in one job."""
+    key, one such key as text, bytes, a hash of the set of keys), all computed
+    in one job."""
     parts = []
     for name, (df, key) in tables.items():
         per_key = df.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("c"), F.sum(row_bytes(df)).alias("b"))
         many = F.when(F.col("k").isNotNull(), F.col("c"))
         parts.append(per_key.agg(F.lit(name).alias("dim"), F.sum("c").alias("rows"), F.max(many).alias("max_c"),
-                                 F.max(F.when(many > 1, F.col("k"))).cast("string").alias("key"), F.sum("b").alias("bytes")))
-    got = {r["dim"]: (int(r["rows"] or 0), int(r["max_c"] or 0), r["key"], int(r["bytes"] or 0))
+                                 F.max(F.when(many > 1, F.col("k"))).cast("string").alias("key"), F.sum("b").alias("bytes"),
+                                 F.bit_xor(F.xxhash64("k", F.lit(name))).alias("keys")))
+    got = {r["dim"]: (int(r["rows"] or 0), int(r["max_c"] or 0), r["key"], int(r["bytes"] or 0), int(r["keys"] or 0))
            for r in reduce(DataFrame.unionAll, parts).collect()}
-    return {name: got.get(name, (0, 0, None, 0)) for name in tables}
+    return {name: got.get(name, (0, 0, None, 0, 0)) for name in tables}
+
+
+def table_version(df: DataFrame) -> str | None:
+    """What a frame reads: its plan and the names, times and sizes of its
+    files; None for a frame that reads no file (nothing tells a change)."""
+    names = df.inputFiles()
+    if not names:
+        return None
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    seen = []
+    for folder in sorted({n.rsplit("/", 1)[0] for n in names}):
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        seen += [(s.getPath().toString(), s.getModificationTime(), s.getLen()) for s in path.getFileSystem(conf).listStatus(path)]
+    text = repr((spark.sparkContext.applicationId, df.semanticHash(), sorted(names), sorted(seen)))
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+# Profiles of the table versions seen, newest last.
+_PROFILES: OrderedDict[tuple, tuple] = OrderedDict()
+KEPT_PROFILES = 256
+
+
+def load_profile(tables: dict[str, tuple[DataFrame, str]]) -> dict[str, tuple]:
+    """:func:`key_profile`, once per table version: a table already profiled
+    is neither read nor shuffled again; a changed one is profiled anew."""
+    versions = {name: table_version(df) for name, (df, _) in tables.items()}
+    keys = {name: (versions[name], name, key) for name, (_, key) in tables.items()}
+    missing = {name: t for name, t in tables.items() if versions[name] is None or keys[name] not in _PROFILES}
+    new = key_profile(missing) if missing else {}
+    out = {name: new[name] if name in new else _PROFILES[keys[name]] for name in tables}
+    for name, profile in new.items():
+        if versions[name] is not None:
+            _PROFILES[keys[name]] = profile
+    while len(_PROFILES) > KEPT_PROFILES:
+        _PROFILES.popitem(last=False)
+    return out
 
 
 def small_sides(profile: dict[str, tuple], like: DataFrame) -> dict[str, bool]:
@@ -104,7 +145,7 @@ def small_sides(profile: dict[str, tuple], like: DataFrame) -> dict[str, bool]:
 def raise_on_duplicates(profile: dict[str, tuple], keys: dict[str, str]) -> None:
     """A duplicate key would fan out every matching fact row and inflate the
     mart totals, so it is refused before any join."""
-    for name, (_, max_c, key, _) in profile.items():
+    for name, (_, max_c, key, *_) in profile.items():
         if max_c > 1:
             raise DuplicateKeyError(f"{name}: key {keys[name]}={key} occurs {max_c} times")
 

@@ -11,24 +11,34 @@ Order of a run (each step a Spark job over DataFrames):
 4. read, conform and union them (S1, P1-P3, U1) and write this run's part of
    the fact, ``fact/run_id=../bad=../sales_month=..``: good and bad rows from
    one parse, in one write; note the run's months;
-5. recompute the marts for these months, and for those of runs that died
-   before closing, from the fact of the closed runs and this one, and replace
-   just those month partitions, emptied ones included (A1, A2, K2);
-6. write the raw marts, their snapshots and the CSV export (K1, K4, K5), and
-   the JDBC sink when configured (K3, marked as a snapshot when complete);
-7. close the run and its files (L2) only after every sink succeeded.
-
-The fact is laid out by run, not by file: folders grow with runs x months, a
-run replaces its own folder when it is repeated, the ledger says which runs
-count (those that closed their files) and a small table of run events which
-months each holds, so a refresh opens just those folders and the whole tree
-is never listed. A
-run that died leaves its files in state ``A``; the next run takes them again
-under its own id, refreshes the dead run's months too, and gives it up (X).
+5. enrich this run's rows (J1-J4) and write, once each, its part of the raw
+   marts (K1, K2) and its partial totals per key and month;
+6. merge the partial totals of the months that this run, or a run that died
+   before closing, has touched, and replace just those months of the marts,
+   emptied ones included (A1, A2, K2). The top seller of a month is decided
+   anew from the merged totals, so an earlier winner loses the incentive;
+7. write the snapshots (K4: a list of the raw marts' folders), the CSV export
+   (K5) and the JDBC sink when configured (K3, marked as a snapshot when
+   complete), the latter two from the marts just written;
+8. close the run and its files (L2) only after every sink succeeded.
+
+No refresh reads another run's rows: what runs have in common is summed from
+their totals. Totals belong to a version of the dimensions' keys; when the keys
+change, totals of the months that a refresh needs are made again from the fact.
+Raw marts hold a run's rows as enriched when the run was loaded.
+
+Everything by run is found through the run events (``runs``), never by listing.
+A run that died leaves its files in state ``A``; the next run takes them again
+under its own id, refreshes the dead run's months too, and gives it up (X). A
+run that is repeated under the same id (a replayed micro-batch) writes as a new
+try with folders of its own; an id that has closed files is never used again. One writer at a time works
+on a warehouse: runs of one driver wait for each other; across drivers the
+scheduler must see to it. ``upkeep`` keeps folders and events few.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
@@ -37,10 +47,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.errors import NoInputError, SinkError
+from tillroll.errors import NoInputError, RunClosedError, SinkError
 from tillroll.functions.columns import month_bucket
 from tillroll.operators import contract, enrich, ledger, marts
-from tillroll.schemas import RUN_EVENTS, SALE, SALE_COLUMNS, STATUS_INACTIVE
+from tillroll.operators.eventlog import CHECKPOINT_EVERY
+from tillroll.operators.sizing import load_profile, raise_on_duplicates, small_sides
+from tillroll.plans import runs
+from tillroll.schemas import (CUSTOMER_MONTHLY, CUSTOMER_TOTALS, SALE, SALE_COLUMNS, SALES_TEAM_MONTHLY,
+                              SELLER_TOTALS, SNAPSHOT)
 from tillroll.session import staged
 from tillroll.sinks import writers
 from tillroll.sources import files
@@ -56,6 +70,10 @@ class BatchConfig:
     jdbc: dict | None = None              # {"url", "properties", "customer_table", "sales_team_table"}
     snapshots: bool = True
     csv_export: bool = True
+    keep_snapshots: int = 30              # older manifests expire
+    max_folders: int = 16                 # of one month, by run; compacted above
+    compacted_bytes: int = 1 << 30        # a compacted folder's size, about
+    checkpoint_every: int = CHECKPOINT_EVERY  # appends to the ledger and to the run events
     # Test hook: called with a step name before that step runs.
     fail_at: Callable[[str], None] | None = field(default=None, repr=False)
 
@@ -94,65 +112,66 @@ def _step(cfg: BatchConfig, name: str) -> None:
         cfg.fail_at(name)
 
 
-def _run_months(spark: SparkSession, cfg: BatchConfig, this_run: str | None = None) -> tuple[dict, dict]:
-    """Months per run that counts (closed in the ledger, or ``this_run``),
-    and per run that died before closing and was not given up. One event per
-    run and month, and one id per closed run, are all that is read."""
-    closed = {r[0] for r in ledger.read(spark, cfg.path("ledger")).where(F.col("status") == STATUS_INACTIVE)
-              .select("run_id").distinct().collect()}
-    events = ledger.read_or_empty(spark, cfg.path("runs"), RUN_EVENTS).distinct().collect()
-    months: dict[str, list] = {}
-    for r in events:
-        months.setdefault(r["run_id"], []).extend([r["sales_month"]] if r["state"] == "W" else [])
-    gone = {r["run_id"] for r in events if r["state"] == "X"}
-    live = {run: own for run, own in months.items() if run in closed or run == this_run}
-    return live, {run: own for run, own in months.items() if run not in live and run not in gone}
+def month_folder(month: str | None, column: str = "sales_month") -> str:
+    return f"{column}={writers.NULL_PARTITION if month is None else month}"
 
 
-def _note_run(spark: SparkSession, cfg: BatchConfig, rows: list[tuple]) -> None:
-    if rows:
-        spark.createDataFrame(rows, RUN_EVENTS).coalesce(1).write.mode("append").parquet(cfg.path("runs"))
+def fact_folder(cfg: BatchConfig, run: str, month: str | None) -> str:
+    return f"{cfg.path('fact')}/run_id={run}/bad=0/{month_folder(month)}"
 
 
-def _month_folder(month: str | None) -> str:
-    return f"sales_month={writers.NULL_PARTITION if month is None else month}"
+def _fact_rows(spark: SparkSession, cfg: BatchConfig, folders: list[tuple[str, str | None]]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], FACT).drop("record", "parsed", "bad")
+    rows = spark.read.schema(FACT).option("basePath", cfg.path("fact")).parquet(*[fact_folder(cfg, r, m) for r, m in folders])
+    return rows.drop("record", "parsed", "bad")
 
 
 def read_fact(spark: SparkSession, cfg: BatchConfig, months: list | None = None, this_run: str | None = None) -> DataFrame:
     """The conformed sales of the runs that count, or of ``months`` only:
     just the folders that hold them are opened."""
-    live, _ = _run_months(spark, cfg, this_run)
-    folders = [f"{cfg.path('fact')}/run_id={run}/bad=0/{_month_folder(m)}" for run, own in live.items()
-               for m in own if months is None or m in months]
-    folders = writers.existing(spark, folders)  # a repeated run may hold fewer months than its first try
-    if not folders:
-        return spark.createDataFrame([], FACT).drop("record", "parsed", "bad")
-    rows = spark.read.schema(FACT).option("basePath", cfg.path("fact")).parquet(*folders)
-    return rows.drop("record", "parsed", "bad")
+    return _fact_rows(spark, cfg, [(r, m) for r, m in runs.load(spark, cfg).live(this_run) if months is None or m in months])
 
 
 def read_bad_rows(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
     """Rows of accepted files that did not parse: source_file, record, parsed."""
-    live, _ = _run_months(spark, cfg)
-    have = {f: v for f, v in writers.partition_folders(spark, cfg.path("fact"), 2)}
-    folders = [f for f, v in have.items() if v["bad"] == "1" and v["run_id"] in live]
+    book = runs.load(spark, cfg)
+    folders = [f"{cfg.path('fact')}/run_id={r}/bad=1" for r, s in sorted(book.of_run.items()) if runs.BAD_ROWS in s and r in book.closed]
     if not folders:
         return spark.createDataFrame([], T.StructType(BAD_FIELDS))
     return (spark.read.schema(FACT).option("basePath", cfg.path("fact")).parquet(*folders)
             .select("source_file", "record", "parsed"))
 
 
+# One writer at a time for a warehouse, within this driver.
+_WRITERS: dict[str, threading.Lock] = {}
+
+
+def writer_of(cfg: BatchConfig) -> threading.Lock:
+    return _WRITERS.setdefault(cfg.warehouse.rstrip("/"), threading.Lock())
+
+
 def process_manifest(spark: SparkSession, manifest: DataFrame, cfg: BatchConfig, run_id: str) -> dict:
-    """Steps 2-7 for the files of ``manifest`` (path, location, file_name, ...)."""
+    """Steps 2-8 for the files of ``manifest`` (path, location, file_name, ...)."""
+    with writer_of(cfg):
+        return _process(spark, manifest, cfg, run_id)
+
+
+def _process(spark: SparkSession, manifest: DataFrame, cfg: BatchConfig, run_id: str) -> dict:
     state = ledger.read(spark, cfg.path("ledger"))
     todo = ledger.pending(manifest, state)
     files.require_input(todo, "new or unfinished file")
+    book = runs.load(spark, cfg)
+    tries = book.tries(run_id)
+    if book.closed.intersection(tries):
+        raise RunClosedError(f"run {run_id} has closed its files; other files need a run id of their own")
+    quarantine_id, run_id = run_id, runs.next_try(run_id, tries)
 
     _step(cfg, "contract")
     verdicts = staged(contract.check_contract(todo), "verdicts")
     rejected = verdicts.where(~F.col("accepted"))
     if not rejected.isEmpty():
-        contract.quarantine(spark, verdicts, cfg.path("error"), run_id)
+        contract.quarantine(spark, verdicts, cfg.path("error"), quarantine_id)
         ledger.append(ledger.reject_files(rejected, run_id), cfg.path("ledger"))
     accepted = verdicts.where(F.col("accepted")).select("path", "file_name", "modificationTime", "length")
     if accepted.isEmpty():
@@ -168,38 +187,152 @@ def process_manifest(spark: SparkSession, manifest: DataFrame, cfg: BatchConfig,
     writers.write_partitioned(
         rows.select(*SALE_COLUMNS, "source_file", "record", "parsed", bad.cast("int").alias("bad"),
                     F.when(~bad, month_bucket("sales_date")).alias("sales_month")), part, FACT_PARTITIONS, dynamic=False)
-    written = [v["sales_month"] for _, v in writers.partition_folders(spark, part, 2) if v["bad"] == "0"]
-    _note_run(spark, cfg, [(run_id, m, "W") for m in written] or [(run_id, None, "E")])
+    found = writers.partition_folders(spark, part, 2)
+    written = [v["sales_month"] for _, v in found if v["bad"] == "0"]
+    runs.note(spark, cfg, book, [(run_id, m, runs.WRITTEN) for m in written] + ([] if written else [(run_id, None, runs.EMPTY)])
+              + [(run_id, None, runs.BAD_ROWS)] * any(v["bad"] == "1" for _, v in found))
 
     _step(cfg, "marts")
-    _, dead = _run_months(spark, cfg, run_id)
-    months = set(written).union(*dead.values()) if dead else set(written)
+    dims = dimension_keys(cfg)
+    counts = add_run(spark, cfg, run_id, written, book, dims)
+    dead = book.dead(run_id)
     # NULL (no sales date) is a month of its own and sorts first.
-    refresh_months(spark, cfg, sorted(months, key=lambda m: (m is not None, m or "")), run_id)
+    months = sorted(set(written).union(*dead.values()), key=lambda m: (m is not None, m or ""))
+    refresh_months(spark, cfg, months, run_id, book, dims)
 
     _step(cfg, "close")
     # The one write that makes the run count, and its files done.
     ledger.append(ledger.close_files(accepted, run_id), cfg.path("ledger"))
-    _note_run(spark, cfg, [(r, None, "X") for r in dead])
-    return {"run_id": run_id, "warehouse": cfg.warehouse}
+    _step(cfg, "closed")
+    book.closed.add(run_id)
+    noted = {r for r, s in book.of_run.items() if runs.CLOSED in s}
+    runs.note(spark, cfg, book, [(r, None, runs.CLOSED) for r in sorted(book.closed - noted)] + [(r, None, runs.GIVEN_UP) for r in dead])
+    ledger.log(cfg.path("ledger")).maintain(spark, cfg.checkpoint_every)
+    runs.log(cfg).maintain(spark, cfg.checkpoint_every)
+    return {"run_id": run_id, "warehouse": cfg.warehouse, "joins": counts}
+
+
+# --- What a run adds: raw marts and partial totals ---
+
+RAW_MARTS = {"customer_raw": ["sales_date_month"], "sales_team_raw": ["sales_month", "store_id"]}
+TOTALS = {"customer": (CUSTOMER_TOTALS, ["customer_id"], marts.customer_totals),
+          "seller": (SELLER_TOTALS, ["store_id", "sales_person_id"], marts.seller_totals)}
+
+
+def _dims(cfg: BatchConfig) -> dict[str, tuple[DataFrame, str]]:
+    return {"customer": (cfg.customer, "customer_id"), "store": (cfg.store, "id"), "sales_team": (cfg.sales_team, "id")}
+
+
+@dataclass(frozen=True)
+class DimensionKeys:
+    version: str             # of the sets of keys, on which totals depend
+    small: dict[str, bool]   # which dimensions may be broadcast
+
+
+def dimension_keys(cfg: BatchConfig) -> DimensionKeys:
+    """The dimensions as this run finds them; duplicate keys are refused."""
+    dims = _dims(cfg)
+    profile = load_profile(dims)
+    raise_on_duplicates(profile, {n: k for n, (_, k) in dims.items()})
+    name = "-".join(f"{p[0]:x}.{p[4] & (1 << 64) - 1:x}" for p in (profile[n] for n in dims))
+    return DimensionKeys(name, small_sides(profile, cfg.customer))
 
 
-def refresh_months(spark: SparkSession, cfg: BatchConfig, months: list, this_run: str | None = None) -> None:
-    """Recompute both marts for ``months`` from the fact and replace only
-    those month partitions; a month without rows any more is removed (R2)."""
+def raw_folder(cfg: BatchConfig, name: str, run: str, month: str | None) -> str:
+    return f"{cfg.path('marts')}/{name}/run_id={run}/{month_folder(month, RAW_MARTS[name][0])}"
+
+
+def totals_base(cfg: BatchConfig, name: str, keys: str) -> str:
+    return f"{cfg.path('totals')}/{name}/dims={keys}"
+
+
+def totals_folder(cfg: BatchConfig, name: str, keys: str, run: str, month: str | None) -> str:
+    return f"{totals_base(cfg, name, keys)}/run_id={run}/{month_folder(month)}"
+
+
+def raw_rows(enriched: DataFrame, name: str) -> DataFrame:
+    if name == "customer_raw":
+        return marts.customer_raw_mart(enriched).withColumn("sales_date_month", month_bucket("sales_date"))
+    return marts.sales_team_raw_mart(enriched)
+
+
+def _enriched(cfg: BatchConfig, sale: DataFrame, dims: DimensionKeys, counts: enrich.JoinCounts | None = None) -> DataFrame:
+    # Written once to the shared folder; concurrent sinks all read that.
+    return staged(enrich.enrich(sale, cfg.customer, cfg.store, cfg.sales_team, counts=counts, small=dims.small), "enriched")
+
+
+def add_run(spark: SparkSession, cfg: BatchConfig, run_id: str, months: list, book: runs.Book, dims: DimensionKeys) -> dict:
+    """The run's part of the raw marts and of the totals, each written once;
+    returns what the joins lost (``JoinCounts``)."""
+    if not months:
+        return enrich.JoinCounts().result(None)
+    keys = dims.version
+    counts = enrich.JoinCounts()
+    sale = _fact_rows(spark, cfg, [(run_id, m) for m in months]).select(*SALE_COLUMNS)
+    enriched = _enriched(cfg, sale, dims, counts)
+    sinks = {name: lambda name=name, cols=cols: writers.write_partitioned(
+        raw_rows(enriched, name), f"{cfg.path('marts')}/{name}/run_id={run_id}", cols, dynamic=False)
+        for name, cols in RAW_MARTS.items()}
+    for name, (_, _, total) in TOTALS.items():
+        sinks[f"{name}_totals"] = lambda name=name, total=total: writers.write_partitioned(
+            total(enriched), f"{totals_base(cfg, name, keys)}/run_id={run_id}", ["sales_month"], dynamic=False)
+    run_concurrently(sinks)
+    present = {v["sales_month"] for _, v in writers.partition_folders(spark, f"{totals_base(cfg, 'customer', keys)}/run_id={run_id}", 1)}
+    note_parts(spark, cfg, book, run_id, months, present, keys, raw=True)
+    return counts.result(enriched) or enrich.count_losses(sale, cfg.customer, cfg.store, cfg.sales_team)
+
+
+def note_parts(spark: SparkSession, cfg: BatchConfig, book: runs.Book, run_id: str, months: list, present: set, keys: str,
+               raw: bool) -> None:
+    """Note which months have totals (and raw rows): those with enriched sales."""
+    rows = [(run_id, m, runs.with_totals(keys) if m in present else runs.without_totals(keys)) for m in months]
+    runs.note(spark, cfg, book, rows + [(run_id, m, runs.RAW) for m in months if raw and m in present])
+
+
+# --- Refresh ---
+
+def complete_totals(spark: SparkSession, cfg: BatchConfig, wanted: list[tuple], book: runs.Book, dims: DimensionKeys) -> None:
+    """Totals for every (run, month) of ``wanted``; those made for other
+    versions of the dimensions' keys are made again from the fact."""
+    keys = dims.version
+    missing = [(r, m) for r, m in wanted
+               if not book.has(r, m, runs.with_totals(keys)) and not book.has(r, m, runs.without_totals(keys))]
+    for run in sorted({r for r, _ in missing}):
+        months = [m for r, m in missing if r == run]
+        sale = _fact_rows(spark, cfg, [(run, m) for m in months]).select(*SALE_COLUMNS)
+        enriched = _enriched(cfg, sale, dims)
+        run_concurrently({name: lambda name=name, total=total: writers.write_partitioned(
+            total(enriched), f"{totals_base(cfg, name, keys)}/run_id={run}", ["sales_month"])
+            for name, (_, _, total) in TOTALS.items()})
+        present = {r[0] for r in enriched.select(month_bucket("sales_date")).distinct().collect()}
+        note_parts(spark, cfg, book, run, months, present, keys, raw=False)
+
+
+def read_totals(spark: SparkSession, cfg: BatchConfig, name: str, keys: str, folders: list[tuple]) -> DataFrame:
+    """Merged totals of (run, month) folders, one row per key and month."""
+    schema, by, _ = TOTALS[name]
+    if not folders:
+        return spark.createDataFrame([], schema).drop("run_id")
+    partial = spark.read.schema(schema).option("basePath", totals_base(cfg, name, keys)).parquet(
+        *[totals_folder(cfg, name, keys, r, m) for r, m in folders])
+    return marts.merge_totals(partial, by)
+
+
+def refresh_months(spark: SparkSession, cfg: BatchConfig, months: list, this_run: str | None = None,
+                   book: runs.Book | None = None, dims: DimensionKeys | None = None) -> None:
+    """Both marts for ``months`` from the totals of the runs that count:
+    only those month partitions are replaced, one without rows any more is
+    removed (R2)."""
     if not months:
         return
-    fact = read_fact(spark, cfg, months, this_run)
-    # Written once to the shared folder; the concurrent sinks all read that.
-    enriched = staged(enrich.enrich(fact.select(*SALE_COLUMNS), cfg.customer, cfg.store, cfg.sales_team), "enriched")
-    c_raw = marts.customer_raw_mart(enriched).withColumn("sales_date_month", month_bucket("sales_date"))
-    s_raw = marts.sales_team_raw_mart(enriched)
-    c_mart = marts.customer_monthly(c_raw)
-    s_mart = marts.sales_team_monthly(s_raw)
-
-    # Every mart has rows for a month exactly if the enriched sales do (at most one row per month here).
-    present = {r[0] for r in enriched.select(month_bucket("sales_date")).distinct().collect()}
-    emptied = [m for m in months if m not in present]
+    book, dims = book or runs.load(spark, cfg), dims or dimension_keys(cfg)
+    keys, small = dims.version, dims.small
+    wanted = [(r, m) for r, m in book.live(this_run) if m in months]
+    complete_totals(spark, cfg, wanted, book, dims)
+    folders = [(r, m) for r, m in wanted if book.has(r, m, runs.with_totals(keys))]
+    c_mart = marts.customer_monthly_from_totals(read_totals(spark, cfg, "customer", keys, folders), cfg.customer, small["customer"])
+    s_mart = marts.sales_team_monthly_from_totals(read_totals(spark, cfg, "seller", keys, folders), cfg.sales_team, small["sales_team"])
+    emptied = [m for m in months if m not in {m for _, m in folders}]
 
     def replace(df: DataFrame, name: str, cols: list[str], write=writers.write_partitioned) -> None:
         # Emptied months first: a failure after this is repaired by the next run.
@@ -207,27 +340,55 @@ def refresh_months(spark: SparkSession, cfg: BatchConfig, months: list, this_run
             writers.drop_partitions(spark, cfg.path(name), cols[0], emptied)
         write(df, cfg.path(name), cols)
 
-    sinks = {
+    run_concurrently({
         "customer_monthly": lambda: replace(c_mart, "marts/customer_monthly", ["sales_date_month"]),
         "sales_team_monthly": lambda: replace(s_mart, "marts/sales_team_monthly", ["sales_month"]),
-        "customer_raw": lambda: replace(c_raw, "marts/customer_raw", ["sales_date_month"]),
-        "sales_team_raw": lambda: replace(s_raw, "marts/sales_team_raw", ["sales_month", "store_id"]),
-    }
+    })
+    sinks = {}
     if cfg.snapshots:
-        sinks["customer_snapshot"] = lambda: writers.write_month_snapshot(
-            c_raw, cfg.path("snapshots/customer_raw"), "sales_date_month", months)
-        sinks["sales_team_snapshot"] = lambda: writers.write_month_snapshot(
-            s_raw, cfg.path("snapshots/sales_team_raw"), "sales_month", months)
+        for raw in RAW_MARTS:
+            sinks[f"{raw}_snapshot"] = lambda raw=raw: write_snapshot(spark, cfg, raw, months, book, this_run)
     if cfg.csv_export:
-        sinks["csv_export"] = lambda: replace(s_mart, "exports/seller_incentives", ["sales_month", "store_id"],
-                                              writers.write_csv_export)
+        sinks["csv_export"] = lambda: replace(_mart_months(spark, cfg, "sales_team_monthly", months), "exports/seller_incentives",
+                                              ["sales_month", "store_id"], writers.write_csv_export)
     run_concurrently(sinks)
     if cfg.jdbc:
         # Appended under one snapshot id per refresh; read with read_jdbc_mart.
         sid = writers.new_snapshot_id()
-        for name, df in (("customer_monthly", c_mart), ("sales_team_monthly", s_mart)):
+        for name in ("customer_monthly", "sales_team_monthly"):
             table, month = _jdbc_table(cfg, name)
-            writers.write_jdbc_snapshot(df, cfg.jdbc["url"], table, cfg.jdbc.get("properties", {}), month, months, sid)
+            writers.write_jdbc_snapshot(_mart_months(spark, cfg, name, months), cfg.jdbc["url"], table,
+                                        cfg.jdbc.get("properties", {}), month, months, sid)
+
+
+def write_snapshot(spark: SparkSession, cfg: BatchConfig, name: str, months: list, book: runs.Book, this_run: str | None = None) -> int:
+    """K4: the raw mart as it now is, as a manifest of its folders: those of
+    the last manifest for months not in ``months``, the live ones for these."""
+    base = cfg.path(f"snapshots/{name}")
+    kept = [(r["sales_month"], r["run_id"]) for r in writers.read_manifest(spark, base, SNAPSHOT).collect() if r["sales_month"] not in months]
+    new = [(m, r) for r, m in book.live(this_run) if m in months and book.has(r, m, runs.RAW)]
+    return writers.write_manifest(spark, base, kept + new, SNAPSHOT, cfg.keep_snapshots)
+
+
+def read_raw_mart(spark: SparkSession, cfg: BatchConfig, name: str, snapshot_id: int | None = None) -> DataFrame:
+    """A raw mart (``customer_raw``, ``sales_team_raw``) of the runs that
+    count, or as a kept snapshot names it: just those folders are opened."""
+    if snapshot_id is None:
+        book = runs.load(spark, cfg)
+        have = [(r, m) for r, m in book.live() if book.has(r, m, runs.RAW)]
+    else:
+        manifest = writers.read_manifest(spark, cfg.path(f"snapshots/{name}"), SNAPSHOT, snapshot_id)
+        have = [(r["run_id"], r["sales_month"]) for r in manifest.collect()]
+    return raw_mart_rows(spark, cfg, name, have)
+
+
+def raw_mart_rows(spark: SparkSession, cfg: BatchConfig, name: str, folders: list[tuple]) -> DataFrame:
+    schema = raw_rows(spark.createDataFrame([], enrich.enriched_schema(cfg.customer, cfg.store, cfg.sales_team)), name).schema
+    schema = T.StructType(schema.fields + [T.StructField("run_id", T.StringType())])
+    if not folders:
+        return spark.createDataFrame([], schema).drop("run_id")
+    return (spark.read.schema(schema).option("basePath", f"{cfg.path('marts')}/{name}")
+            .parquet(*[raw_folder(cfg, name, r, m) for r, m in folders]).drop("run_id"))
 
 
 def run_batch(spark: SparkSession, cfg: BatchConfig, run_id: str | None = None) -> dict:
@@ -249,7 +410,16 @@ def read_jdbc_mart(spark: SparkSession, cfg: BatchConfig, name: str) -> DataFram
     return writers.read_jdbc_snapshot(spark, cfg.jdbc["url"], table, cfg.jdbc.get("properties", {}), month)
 
 
+MARTS = {"customer_monthly": (CUSTOMER_MONTHLY, "sales_date_month"), "sales_team_monthly": (SALES_TEAM_MONTHLY, "sales_month")}
+
+
 def read_mart(spark: SparkSession, cfg: BatchConfig, name: str) -> DataFrame:
-    from tillroll.schemas import CUSTOMER_MONTHLY, SALES_TEAM_MONTHLY
-    schema = {"customer_monthly": CUSTOMER_MONTHLY, "sales_team_monthly": SALES_TEAM_MONTHLY}[name]
+    schema, _ = MARTS[name]
     return spark.read.schema(schema).parquet(cfg.path(f"marts/{name}")).select(*schema.fieldNames())
+
+
+def _mart_months(spark: SparkSession, cfg: BatchConfig, name: str, months: list) -> DataFrame:
+    """The rows of ``months`` of a mart as written (partitions are pruned)."""
+    month = F.col(MARTS[name][1])
+    some = month.isin([m for m in months if m is not None])
+    return read_mart(spark, cfg, name).where((some | month.isNull()) if None in months else some)

@@ -70,7 +70,7 @@ def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     # What the error area holds: line ends of each copied file, less its header.
     names = v.where(~F.col("accepted")).select("path", drop_of().alias("drop_name"))
     header = (F.col("reason") != contract.REASON_NOT_CSV).cast("int")
-    return (contract.line_ends(spark, copies, f"{root}/error").join(names, "path")
+    return (contract.line_ends(copies).join(names, "path")
             .groupBy("drop_name", "reason").agg(F.sum(F.col("n_ends") - header).cast("bigint").alias("n_lines"))
             .where("n_lines > 0"))
 

@@ -119,10 +119,35 @@ STATUS_ACTIVE = "A"
 STATUS_INACTIVE = "I"
 STATUS_REJECTED = "R"
 
-# Runs of the batch job: the months a run wrote (W; E: none), and whether it
-# died and its months were refreshed by a later one (X).
+# Runs of the batch job, one event per row. States of a run: C closed its files,
+# X died and was given up, E wrote no sale, B holds rows that did not parse, Z its
+# folders are deleted. States of a run's month: W written, K written by compaction
+# (counts at once), D superseded by a compaction, V its folders are deleted.
 RUN_EVENTS = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("sales_month", T.StringType()),
     T.StructField("state", T.StringType()),
 ])
+
+# Partial totals of a run: per key and month the sum of the enriched sales
+# (NULL when no sale has an amount).
+CUSTOMER_TOTALS = T.StructType([
+    T.StructField("customer_id", T.LongType()),
+    T.StructField("total", T.DecimalType(28, 2)),
+    T.StructField("run_id", T.StringType()),
+    T.StructField("sales_month", T.StringType()),
+])
+
+SELLER_TOTALS = T.StructType([
+    T.StructField("store_id", T.LongType()),
+    T.StructField("sales_person_id", T.LongType()),
+    T.StructField("total", T.DecimalType(28, 2)),
+    T.StructField("run_id", T.StringType()),
+    T.StructField("sales_month", T.StringType()),
+])
+
+# A snapshot of a mart kept by run: which runs hold each month's rows.
+SNAPSHOT = T.StructType([
+    T.StructField("sales_month", T.StringType()),
+    T.StructField("run_id", T.StringType()),
+])

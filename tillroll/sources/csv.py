@@ -1,12 +1,15 @@
-"""CSV header probe (S2) and the typed, header-bound CSV scan.
+"""CSV header probe (S2) and the CSV scans.
 
 The probe reads headers through Spark's own text reader, so it sees what the
-scan sees: any file system, any file name, any header length. Every file is
-one partition, and a task stops after its file's first line, so the cost grows
-with the number of files, not their size. The scan then reads each group of
-files that share a header with a schema in that header's order and
-``enforceSchema=false``, so Spark checks every file's header against it; the
-columns are then bound by name.
+scan sees: any file system, any file name, any header length. Small files are
+packed, many to a task, and read whole by the JVM; a large file is a partition of
+its own, whose task stops after the first line. So the tasks grow with the bytes
+of small files, and no large file is read through.
+
+``scan_positions`` reads files with the same number of columns in one scan, as
+text values by position, which the files' layouts then name (``conform``).
+``scan_csv`` reads files that share one header with typed columns,
+``enforceSchema=false``, so Spark checks every file's header against it.
 
 A file has two spellings: ``path`` (``_metadata.file_path``) is its identity
 everywhere, ``location`` is the plain form that readers take.
@@ -28,6 +31,12 @@ from tillroll.session import scratch_dir
 
 CORRUPT_COLUMN = "_corrupt_record"
 ONE_FILE_PER_TASK = str(1 << 40)
+# Files up to this size are probed many to a task; each counts as PACKED_COST bytes more.
+SMALL_FILE = 4 << 20
+PACKED_COST = 256 << 10
+
+# Options of every parse of sales data.
+CSV_OPTIONS = {"mode": "PERMISSIVE", "dateFormat": "yyyy-MM-dd"}
 
 PROBED_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
@@ -48,42 +57,58 @@ def _parse_header(line: str) -> list[str]:
     return next(csv.reader(io.StringIO(line)), [])
 
 
-def _first_lines(batches):
+def _first_line(batches):
+    """The first line of a partition that is one file; the rest stays unread."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def _parse_headers(batches):
     import pyarrow as pa
 
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        line = (batch.column("value")[0].as_py() or "").removeprefix("\ufeff")
-        raw = _parse_header(line)
+        lines = [(line or "").removeprefix("\ufeff") for line in batch.column("line").to_pylist()]
+        raw = [_parse_header(line) for line in lines]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("path")[:1], pa.array([line], pa.string()), pa.array([raw], pa.list_(pa.string())),
-             pa.array([[c.strip() for c in raw]], pa.list_(pa.string()))],
+            [batch.column("path"), pa.array(lines, pa.string()), pa.array(raw, pa.list_(pa.string())),
+             pa.array([[c.strip() for c in r] for r in raw], pa.list_(pa.string()))],
             names=["path", "header_line", "raw_header", "header"])
-        return  # the rest of the file stays unread
 
 
 def probe_headers(csv_files: DataFrame) -> DataFrame:
     """(path, header_line, raw_header, header) for every file that has a line.
 
-    ``header`` has the names trimmed; ``raw_header`` keeps them as written,
-    for the scan. The locations are taken to the driver because Spark's file
-    readers take paths there, as their file index does.
+    ``header`` has the names trimmed; ``raw_header`` keeps them as written.
+    The locations are taken to the driver because Spark's file readers take
+    paths there, as their file index does.
     """
     spark = csv_files.sparkSession
-    locations = [literal_path(r["location"]) for r in csv_files.select("location").toLocalIterator()]
-    if not locations:
-        return spark.createDataFrame([], PROBED_SCHEMA)
+    small, large = [], []
+    for r in csv_files.select("location", "length").toLocalIterator():
+        (small if r["length"] <= SMALL_FILE else large).append(literal_path(r["location"]))
     _ship_by_value()
+    out = scratch_dir(spark, "headers")
+    for files, packed in ((small, True), (large, False)):
+        if files:
+            first_lines(spark, files, packed).mapInArrow(_parse_headers, PROBED_SCHEMA).write.mode("append").parquet(out)
+    return spark.read.schema(PROBED_SCHEMA).parquet(out) if small or large else spark.createDataFrame([], PROBED_SCHEMA)
+
+
+def first_lines(spark: SparkSession, locations: list[str], packed: bool) -> DataFrame:
+    """(path, line): the first line of each file."""
     # Settings of the probe's scan alone, in a session of its own.
     probe = spark.newSession()
+    if packed:
+        probe.conf.set("spark.sql.files.openCostInBytes", str(PACKED_COST))
+        text = probe.read.text(locations, wholetext=True)
+        return text.select(F.col("_metadata.file_path").alias("path"), F.regexp_extract("value", r"^([^\r\n]*)", 1).alias("line"))
     for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
         probe.conf.set(key, ONE_FILE_PER_TASK)
     probe.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    lines = probe.read.text(locations).select("value", F.col("_metadata.file_path").alias("path"))
-    out = scratch_dir(spark, "headers")
-    lines.mapInArrow(_first_lines, PROBED_SCHEMA).write.parquet(out)
-    return spark.read.schema(PROBED_SCHEMA).parquet(out)
+    lines = probe.read.text(locations).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
+    return lines.mapInArrow(_first_line, "path string, line string")
 
 
 def _ship_by_value() -> None:
@@ -115,8 +140,20 @@ def scan_csv(spark: SparkSession, locations: list[str], raw_header: list[str]) -
     """
     df = (spark.read.schema(read_schema(raw_header))
           .option("header", "true").option("enforceSchema", "false")
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-          .option("dateFormat", "yyyy-MM-dd")
+          .options(**CSV_OPTIONS).option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
           .csv([literal_path(p) for p in locations]))
     renamed = [F.col(f"`{raw}`").alias(raw.strip()) for raw in raw_header]
     return df.select(*renamed, F.col(CORRUPT_COLUMN), F.col("_metadata.file_path").alias("source_file"))
+
+
+def scan_positions(spark: SparkSession, locations: list[str], width: int) -> DataFrame:
+    """S1 by position: ``__values``, a row's ``width`` texts (NULL where
+    empty), ``__line``, its line if it has another number of values, and
+    ``source_file``. Header lines are left out, unchecked: the probe has read them."""
+    names = [f"_c{i}" for i in range(width)]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT_COLUMN]])
+    df = (spark.read.schema(schema).option("header", "true").options(**CSV_OPTIONS)
+          .option("columnNameOfCorruptRecord", CORRUPT_COLUMN).option("maxColumns", str(max(20480, width + 1)))
+          .csv([literal_path(p) for p in locations]))
+    return df.select(F.array(*names).alias("__values"), F.col(CORRUPT_COLUMN).alias("__line"),
+                     F.col("_metadata.file_path").alias("source_file"))

@@ -17,6 +17,8 @@ runs; the checkpoint and the ledger, not the archive, are the record).
 
 from __future__ import annotations
 
+from concurrent.futures import Future
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -46,19 +48,24 @@ def start_incremental(spark: SparkSession, cfg: BatchConfig, checkpoint: str,
                       processing_time: str | None = None,
                       max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
     """R1 + R2: start the stream; each micro-batch runs the batch steps on
-    its files. The run id is the micro-batch id, which Spark replays with
-    the same files after a failure, so a replayed batch overwrites its own part
-    of the fact."""
+    its files. The run id is made of the streaming query's id, which its
+    checkpoint keeps, and the micro-batch's number: Spark replays a failed batch
+    with the same files, and it supersedes its first try, while a
+    stream with a new checkpoint, or another stream into the same warehouse,
+    has run ids of its own. The files that it lists again are known to the
+    ledger."""
     roots = cfg.roots()
     if len(roots) != 1:
         raise ValueError("a file stream watches one landing root")
 
+    query_id: Future[str] = Future()
+
     def on_batch(batch_df: DataFrame, batch_id: int) -> None:
         manifest = with_manifest_columns(batch_df)
         if manifest.isEmpty():
             return
         try:
-            process_manifest(batch_df.sparkSession, manifest, cfg, run_id=f"stream-{batch_id}")
+            process_manifest(batch_df.sparkSession, manifest, cfg, run_id=f"stream-{query_id.result()}-{batch_id}")
         except NoInputError:
             # Only rejected or already-closed files in this batch: nothing to publish.
             return
@@ -69,7 +76,9 @@ def start_incremental(spark: SparkSession, cfg: BatchConfig, checkpoint: str,
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    query = writer.start()
+    query_id.set_result(query.id)
+    return query
 
 
 def run_available(spark: SparkSession, cfg: BatchConfig, checkpoint: str,
