@@ -65,8 +65,8 @@ def _occurrences(lead: int):
         per_lang = np.bincount(x["codes"][own], minlength=len(names))
         offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
         text = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
-        payload = pack(keys=steps(x["dict"]), counts=counts, hash=x["dict"], gram=x["ids"], piece=x["piece"].astype(np.int32), lead=x["lead"], code=where.astype(np.int32),
-                       size=np.diff(offsets).astype(np.int32), text=text,
+        payload = pack(hash=steps(x["dict"]), counts=counts, gram=x["ids"], piece=steps(x["piece"]).astype(np.int32),
+                       lead=x["lead"], code=where.astype(np.int32), size=np.diff(offsets).astype(np.int32), text=text,
                        langs=np.frombuffer(json.dumps([names[k] for k in used]).encode(), np.uint8))
         yield _rows(_BLOCK, block, [payload], nums=[[len(own), len(counts)]])
         some = np.flatnonzero(per_lang)
@@ -96,12 +96,21 @@ def _occurrences(lead: int):
     return run
 
 
-def _ask(parts: int):
+def _keys(x: dict, k: int) -> np.ndarray:
+    """Keys of the block's phrases of k words, from the words' hashes."""
+    if k == 1:
+        return x["hash"]
+    every = np.arange(len(x[f"head{k}"]))
+    return ngram_key([x["hash"][_part(x, k, every, i, 1)] for i in range(k)], k)
+
+
+def _ask(k: int, parts: int):
     def run(batches):
         for batch in batches:
             for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
                 x = unpack(payload.as_py())
-                yield blocks.requests(block, np.cumsum(x["keys"], dtype=np.uint64), x["counts"], parts)
+                x["hash"] = np.cumsum(x["hash"], dtype=np.uint64)
+                yield blocks.requests(block, _keys(x, k), x["counts"], parts)
     return run
 
 
@@ -121,19 +130,20 @@ def _level(k: int, last: int):
     def run(batches):
         for block, x, total, owner in each_block(batches):
             frequent = total > 0
+            x["hash"] = np.cumsum(x["hash"], dtype=np.uint64)
             if k > 1 and (owner & frequent).any():
                 yield _phrases(block, x, k, np.flatnonzero(owner & frequent), total)
             if k == last:
                 continue
             # Semi-join: only occurrences of frequent phrases stay.
-            at = x["at"] if k > 1 else np.arange(len(x["gram"]))
+            at = np.cumsum(x["at"], dtype=np.int64) if k > 1 else np.arange(len(x["gram"]))
             stay = frequent[x["gram"]]
             number = np.cumsum(frequent) - 1
             at, gram = at[stay], number[x["gram"][stay]]
             x[f"count{k}"] = total[frequent]
             if k == 1:
                 _keep_words(x, frequent)
-                piece = x.pop("piece")[stay]
+                piece = np.cumsum(x.pop("piece"), dtype=np.int64)[stay]
                 joined = (np.diff(at) == 1) & (np.diff(piece) == 0)
             else:
                 x[f"head{k}"], x[f"tail{k}"] = x[f"head{k}"][frequent], x[f"tail{k}"][frequent]
@@ -144,13 +154,12 @@ def _level(k: int, last: int):
             at = at[1:][joined]
             x[f"head{k + 1}"], x[f"tail{k + 1}"] = (pairs // max(n, 1)).astype(np.int32), (pairs % max(n, 1)).astype(np.int32)
             every = np.arange(len(pairs))
-            keys = ngram_key([x["hash"][_part(x, k + 1, every, i, 1)] for i in range(k + 1)], k + 1)
             counts = np.bincount(ids[at >= x["lead"][0]], minlength=len(pairs))
-            order = np.argsort(keys)
+            order = np.argsort(_keys(x, k + 1))
             place = np.empty(len(order), np.int32)
             place[order] = every
             x[f"head{k + 1}"], x[f"tail{k + 1}"] = x[f"head{k + 1}"][order], x[f"tail{k + 1}"][order]
-            x["keys"], x["counts"], x["at"], x["gram"] = steps(keys[order]), counts[order], at, place[ids]
+            x["hash"], x["counts"], x["at"], x["gram"] = steps(x["hash"]), counts[order], steps(at).astype(np.int32), place[ids]
             yield _rows(_BLOCK, block, [pack(**x)], nums=[[len(at), len(pairs)]])
     return run
 
@@ -190,7 +199,7 @@ def candidates(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         own = level.where(F.col("part") == _BLOCK)
         size = own.agg(F.count(F.lit(1)).alias("blocks"), F.sum(F.col("nums")[1]).alias("keys")).first()
         parts = blocks.ranges(size["keys"] or 0)
-        answers = blocks.totals(own.select("block", "payload").mapInArrow(_ask(parts), "part int, block long, payload binary"),
+        answers = blocks.totals(own.select("block", "payload").mapInArrow(_ask(k, parts), "part int, block long, payload binary"),
                                 parts, f"setm-counts-{k}", least)
         done = level
         level = stage(with_answers(own, answers, size["blocks"]).mapInArrow(_level(k, most_words), _TABLE), f"setm-{k + 1}")
