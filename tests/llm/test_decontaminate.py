@@ -38,11 +38,26 @@ def test_spans_are_cut(spark):
     assert got == {1: "Keep é this. ! And this", 2: None}
 
 
-def test_empty_tables_and_too_large_items(spark):
+def test_empty_tables(spark):
     docs, items = case()
     table = spark.createDataFrame(docs, "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     assert dc.contamination(table.limit(0), bench).count() == 0
     assert dc.contamination(table, bench.limit(0)).where(F.col("contaminated")).count() == 0
-    with pytest.raises(ValueError):
-        dc.find(table, bench, max_windows=3)
+
+
+@pytest.mark.parametrize("limit", [3, 11, 60, dc.MAX_WINDOWS])
+def test_repeated_ids_and_one_very_long_item_in_any_number_of_parts(spark, limit):
+    docs, _ = case()
+    r = random.Random(8)
+    long = " ".join(r.choice(["ab", "cd", "Ef", "é", "x1", "gh", "qq"]) for _ in range(150))
+    words = long.split()
+    items = [("q1", "zz yy"), ("q1", "q q q zz yy ab"), ("q1", "zz yy"), ("long", long), (None, "ab cd"), ("", "ab cd"), ("q2", None)]
+    docs = docs + [(200 + k, "v " + " ".join(words[a:a + size]) + " v") for k, (a, size) in
+                   enumerate([(0, 10), (5, 9), (2, 10), (9, 25), (140, 10), (0, 150), (58, 14)])]
+    bench = spark.createDataFrame(items, "item_id string, text string").repartition(2)
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    got = dc.find(table, bench, max_windows=limit).collect()
+    want = [(d, n, h, sorted(set(i))) for d, n, h, i in brute_windows(docs, [("" if i is None else i, t) for i, t in items])]
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in got), key=str) == sorted(want, key=str)
+    assert any(r["items"].count("q1") == 1 for r in got) and all(len(set(r["items"])) == len(r["items"]) for r in got)

@@ -8,10 +8,11 @@ with rolling word-n-gram hashes, and a hash hit counts only after the words
 themselves compare equal.
 
 Size of the broadcast: at most ``MAX_WINDOWS`` windows at a time, counted
-before they are fetched (items in id order, a part ends before the item that
-would pass the bound; one single item above it is an error). A benchmark of
-more parts is scanned part by part over a staged table, which adds each
-part's hits to those before it: same result, no larger broadcast.
+before they are fetched. An item of more windows is first cut, in its task, into
+pieces of at most so many, which keep its id and overlap by ``n`` - 1 words. A
+benchmark of more parts is scanned part by part over a staged table, which adds
+each part's hits to those before it: same result, no larger broadcast. Items
+that share an id are one item.
 
 Defined results: a null or empty text has no words, is not contaminated and
 is kept; a null item text gives no window and a null item id is named "";
@@ -116,7 +117,7 @@ def _judged(texts: pa.Array, windows: WindowSet) -> list[dict]:
                 "n_words": int(first[d + 1] - first[d]),
                 "words": [[int(a - first[d]), int(b - first[d])] for a, b in own],
                 "bytes": [[int(start[a] - offsets[d]), int(end[b - 1] - offsets[d])] for a, b in own],
-                "items": sorted(windows.item_ids[k] for k in items.get(d, ())),
+                "items": sorted({windows.item_ids[k] for k in items.get(d, ())}),
             })
     return out
 
@@ -149,24 +150,38 @@ def _filter(shared, text_at: int):
     return run
 
 
+def _pieces(n: int, limit: int):
+    """Item texts with their number of windows, cut at ``limit`` windows."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                raw = (text or "").encode()
+                start, end = ts.word_bounds(np.frombuffer(raw, np.uint8))
+                if len(start):
+                    count = max(1, len(start) - n + 1)
+                    for a in range(0, count, limit):
+                        b = min(a + limit, count)
+                        last = min(b + n - 1, len(start)) - 1
+                        out.append((item, raw[start[a]:end[last]].decode(), b - a))
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.string()),
+                                              pa.array([o[2] for o in out], pa.int64())], names=["item", "text", "windows"])
+    return run
+
+
 def window_parts(benchmark: DataFrame, item_col: str, text_col: str, n: int, limit: int):
     """Yield a WindowSet for each part of at most ``limit`` windows."""
-    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
-                             F.col(text_col).alias("text"))
-    count = F.regexp_count("text", F.lit("[0-9A-Za-z]+|[^\\x00-\\x7F]+"))  # never below the number of words
-    windows = F.coalesce(F.greatest(count - (n - 1), F.lit(1)), F.lit(0)).cast("long")
-    sizes = items.select(windows.alias("w")).agg(F.sum("w").alias("all"), F.max("w").alias("one")).first()
-    if (sizes["one"] or 0) > limit:
-        raise ValueError(f"one benchmark item has {sizes['one']} windows; the bound is {limit}")
+    items = stage(benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
+                                   F.col(text_col).cast("string").alias("text"))
+                  .mapInArrow(_pieces(n, limit), "item string, text string, windows long"), "benchmark-windows")
+    whole = (items.agg(F.sum("windows").alias("all")).first()["all"] or 0) <= limit
     part, held = [], 0
-    source = items.collect() if (sizes["all"] or 0) <= limit else items.orderBy("item").toLocalIterator()
-    for row in source:
-        size = max(1, len(item_words(row["text"])) - n + 1)
-        if part and held + size > limit:
+    for row in items.collect() if whole else items.orderBy("item").toLocalIterator():
+        if part and held + row["windows"] > limit:
             yield WindowSet(part, n)
             part, held = [], 0
         part.append((row["item"], row["text"]))
-        held += size
+        held += row["windows"]
     yield WindowSet(part, n)
 
 
