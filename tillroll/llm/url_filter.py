@@ -7,7 +7,7 @@ Three passes over the pages, each a map with small partial sums:
    ``LEXICON`` most frequent make the unigram model (that size is the model's,
    so what is broadcast is bounded whatever the corpus);
 2. hosts are split at dots and hyphens, and every run of letters is cut into
-   words by unigram Viterbi (an unknown word pays for each letter); host and
+   words by unigram Viterbi (an unknown word, of any length, pays for each letter); host and
    path words of the pages that a rule decides are counted per verdict in
    ``BUCKETS`` hashed counters;
 3. every URL gets its rule's verdict, or the more probable class of the
@@ -36,7 +36,6 @@ from tillroll.llm.staging import lowest, share, stage
 
 LEXICON = 50_000
 BUCKETS = 1 << 18
-LONGEST = 24
 # The rules of the registered query, longest match wins.
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
          ("block", "net/es/"), ("block", "net/fr/"))
@@ -76,15 +75,19 @@ class Segmenter:
         self.cost = {w: math.log(total / n) for w, n in counts.items()}
         self.unknown = math.log(total * 10)
         self.letter = math.log(26)
+        self.sizes = sorted({len(w) for w in counts})
 
     def words(self, run: str) -> list[str]:
         best, back = [0.0], [0]
+        cheapest, opener = math.inf, 0      # where an unknown word, of any length, starts best
         for end in range(1, len(run) + 1):
-            options = []
-            for begin in range(max(0, end - LONGEST), end):
-                known = self.cost.get(run[begin:end])
-                price = known if known is not None else self.unknown + self.letter * (end - begin)
-                options.append((best[begin] + price, begin))
+            if best[end - 1] - self.letter * (end - 1) < cheapest:
+                cheapest, opener = best[end - 1] - self.letter * (end - 1), end - 1
+            options = [(cheapest + self.unknown + self.letter * end, opener)]
+            for size in self.sizes:
+                known = self.cost.get(run[end - size:end]) if size <= end else None
+                if known is not None:
+                    options.append((best[end - size] + known, end - size))
             cost, begin = min(options)
             best.append(cost)
             back.append(begin)
@@ -119,7 +122,7 @@ def lexicon(pages: DataFrame, url_col: str, html_col: str, size: int) -> dict[st
     send those numbers and little more than the chosen words."""
     title = F.regexp_extract(html_col, r"(?is)<title[^>]*>(.*?)</title", 1)
     path = F.regexp_extract(url_col, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
-    found = F.regexp_extract_all(F.lower(F.concat_ws(" ", title, path)), F.lit(r"(\p{L}{2,24})"), 1)
+    found = F.regexp_extract_all(F.lower(F.concat_ws(" ", title, path)), F.lit(r"(\p{L}{2,})"), 1)
     counts = stage(pages.select(F.explode(found).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
                    .withColumn("class", F.floor(F.ln("n") * 100).cast("int")), "lexicon")
     edge, held = _crossing(counts, "class", size)
