@@ -100,3 +100,42 @@ def test_named_boxes_go_by_what_the_host_shows(spark):
              f"<section class='info-notice'>{LONG}</section></article>") for i in range(6)]
     got = {r.page_id: r.text for r in st.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[4] == f"T4\n\n4 {LONG.strip()}\n\n4 {LONG.strip()}"
+
+
+def test_a_teaser_beside_the_content_is_not_the_article(spark):
+    html = f"<body><div id=content><p>{LONG * 8}</p></div><article class=teaser>Read next</article></body>"
+    assert LONG.strip() in st.extract(html, "h", None)
+    rows = [(i, "http://h.com/x", html.replace("Own", f"Page {i} own")) for i in range(6)]
+    got = {r.page_id: r.text for r in st.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[2].startswith("Page 2 own words")
+
+
+def test_the_tree_finds_the_short_article_among_shared_text(spark):
+    """Without the style tree the long text that all pages show counts as content."""
+    shared = "".join(f"<div class=b{c}><p>{c} {LONG}</p></div>" for c in "abcd")
+    rows = [(i, "http://h.com/x", f"<body><div>{shared}</div><article><h1>T{i}</h1><p>short words {i}</p></article></body>") for i in range(8)]
+    got = {r.page_id: r.text for r in st.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[5] == "T5\n\nshort words 5"
+    assert st.extract(rows[5][2], "h.com", None) != got[5]
+
+
+def test_recall_on_planted_pages(spark):
+    """Words of the planted articles that come back, and words that should not:
+    pages of three layouts, two without any article element."""
+    rows, want = [], {}
+    for i in range(90):
+        body = [f"Word{i}x{k} says number {i * 7 + k} of {k * k + i} things." for k in range(3 + i % 9)]
+        paragraphs = "".join(f"<p>{b}</p>" for b in body)
+        menu = "<div class=m1>" + "".join(f"<a href=/{k}>Section {k}</a> " for k in range(8)) + "</div>"
+        legal = "<div class=z9><p>All rights reserved by the house, see the terms of use.</p></div>"
+        layout = (f"<body>{menu}<article><h1>Title {i}</h1>{paragraphs}</article>{legal}</body>",
+                  f"<body>{menu}<div class=content><h1>Title {i}</h1>{paragraphs}</div>{legal}</body>",
+                  f"<table><tr><td>{menu}</td><td><h1>Title {i}</h1>{paragraphs}</td></tr><tr><td>{legal}</td></tr></table>")[i % 3]
+        rows.append((i, f"http://host{i % 3}.com/{i}", layout))
+        want[i] = "\n\n".join([f"Title {i}", *body])
+    got = {r.page_id: r.text for r in st.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    kept = sum(len(set(want[i].split()) & set(got[i].split())) for i in want)
+    recall = kept / sum(len(set(w.split())) for w in want.values())
+    extra = sum("rights reserved" in t or "Section 3" in t for t in got.values())
+    assert recall == 1.0 and extra == 0
+    assert got == want

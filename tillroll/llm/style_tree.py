@@ -18,8 +18,11 @@ hardly varies and stays if it is long and varies. For words of reader comments
 the tree says nothing (they vary as the text does): those elements go. No word
 removes an element that holds an article or main element or an article's
 heading, nor one with ``MOST`` of the text (comments: of a page without
-article). An article (or else main) element, if the page has one, is the page's only
-important branch. Inside it the style tree removes boxes (div, section, ul,
+article). The article elements of a page (or else its main elements) are its only
+important branch if they hold ``BRANCH`` of the page's important text, its
+characters weighted by their importance on the host; so a teaser beside the
+content is not taken for it, and a short article is found among long texts that
+every page shows. Inside the branch the style tree removes boxes (div, section, ul,
 ol, table) that hardly vary over the host while other parts of it do; headings
 and paragraphs stay, so an article copied to many pages is whole.
 
@@ -29,9 +32,11 @@ is never removed, and if the other removals together come to ``MOST`` of it,
 or leave only headings and dates, nothing is removed.
 
 Only nodes seen on at least ``MIN_PAGES`` pages of a host and not fully
-varying are sent to the second map, ``PART`` of them at a time (hosts are
-dealt into as many parts as that takes, each a broadcast of its own); pages
-are never shuffled, so a hot host costs nothing extra.
+varying are sent to the second map, ``PART`` of them at a time: hosts are
+dealt into as many parts as that takes, each a broadcast of its own. Pages
+are never shuffled by host; if there are several parts, they are written once by
+part, so every page is read once more however many parts there are. One host's
+nodes are one broadcast.
 
 Defined results: null or empty html and pages without text give an empty
 text; a null URL is the host ""; repeated pages are extracted one by one;
@@ -50,13 +55,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tillroll.llm.staging import share, stage
+from tillroll.llm.staging import early_cleanup, share, stage
 from tillroll.llm.url_filter import split_url
+from tillroll.session import scratch_dir
 
 MIN_PAGES = 4
 LOWEST = 0.2
 DAMPING = 0.9
 MOST = 0.75
+BRANCH = 0.25
 PRIOR = 400
 PART = 500_000
 
@@ -396,13 +403,34 @@ def _removed(top: Node, nodes: list[Node], comp: dict[int, float], sizes: dict[i
     return drop if body and lost < MOST * total else set()
 
 
+def _branches(root: Node, nodes: list[Node], tree: StyleTree | None) -> list[Node]:
+    """The elements that hold the page's important text, or the root."""
+    found = {tag: {id(x) for x in nodes if x.tag == tag} for tag in ("article", "main")}
+    if not any(found.values()):
+        return [root]
+    held, total, inside = dict.fromkeys(found, 0.0), float(len(own_text(root))), {id(root): (frozenset(), False)}
+    for node in nodes:  # parents first
+        above, named = inside[id(node.parent)]
+        above |= {tag for tag in found if id(node) in found[tag]}
+        named = (named or bool(node.named)) and not above
+        inside[id(node)] = above, named
+        if not named:
+            weight = len(own_text(node)) * (tree.of(node.key) if tree is not None else 1.0)
+            total += weight
+            for tag in above:
+                held[tag] += weight
+    for tag, own in found.items():
+        if own and held[tag] >= BRANCH * total:
+            return [x for x in nodes if id(x) in own]
+    return [root]
+
+
 def extract(text: str, host: str, tree: StyleTree | None) -> str:
     """Main text of one page: blocks joined by empty lines."""
     root = parse(text)
     nodes = keyed(root, host)
-    tops = [k for tag in ("article", "main") for k in [[x for x in nodes if x.tag == tag]] if k]
-    tops = tops[0] if tops else [root]
     known = tree if tree is not None and len(tree.keys) else None
+    tops = _branches(root, nodes, known)
     comp, sizes, drop = _composite(nodes, known, tops)
     if known is not None:
         named = set(drop)
@@ -472,11 +500,18 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     read = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     host = F.translate(F.regexp_extract(F.coalesce("url", F.lit("")), r"(?s)^.*?://([^/?#]*)", 1),
                        "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    by_part = None
+    if parts > 1:
+        by_part = scratch_dir(spark, "pages-by-part")
+        with early_cleanup(spark):
+            (read.withColumn("part", F.crc32(host.cast("binary")) % parts).write.partitionBy("part")
+             .option("compression", "zstd").parquet(by_part))
     out = None
     for part in range(parts):
         own = noted.where(F.col("host") % parts == part).select("node", "importance").toArrow()
         tree = StyleTree(own.column(0).to_numpy(), own.column(1).to_numpy())
-        rows = read if parts == 1 else read.where(F.crc32(host.cast("binary")) % parts == part)
+        rows = read if by_part is None else spark.read.schema(read.schema.add("part", "long")).parquet(by_part).where(
+            F.col("part") == part).drop("part")
         done = rows.mapInArrow(_extractor(share(spark, tree)), schema)
         out = done if out is None else out.union(done)
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text",
