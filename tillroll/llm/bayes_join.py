@@ -103,8 +103,8 @@ def _sketcher(n: int):
                 continue
             h1, h2, size, hashes = (np.concatenate(c) for c in zip(*columns))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(h1), pa.array(h2), pa.array(size.astype(np.int64)),
-                 pa.array([h.tobytes() for h in hashes], pa.binary())], names=["id", "h1", "h2", "n", "hashes"])
+                [batch.column(0), batch.column(2), pa.array(h1), pa.array(h2), pa.array(size.astype(np.int64)),
+                 pa.array([h.tobytes() for h in hashes], pa.binary())], names=["id", "text_hash", "h1", "h2", "n", "hashes"])
     return run
 
 
@@ -271,13 +271,14 @@ def classes_and_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def _join(docs, id_col, text_col, words, threshold):
     id_type = docs.schema[id_col].dataType
-    read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
     sketches = stage(read.mapInArrow(_sketcher(words), T.StructType(
-        [T.StructField("id", id_type), *(T.StructField(c, T.LongType()) for c in ("h1", "h2", "n")),
+        [T.StructField("id", id_type), *(T.StructField(c, T.LongType()) for c in ("text_hash", "h1", "h2", "n")),
          T.StructField("hashes", T.BinaryType())])), "sketches")
     classes = stage(sketches.where("n > 0").groupBy("h1", "h2", "n")
-                    .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("members"),
-                         F.min("hashes").alias("hashes"))
+                    .agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "text_hash")).alias("first"),
+                         F.count(F.lit(1)).alias("members"), F.min("hashes").alias("hashes"))
+                    .select("h1", "h2", "n", F.col("first.id").alias("rep"), "first.text_hash", "members", "hashes")
                     .withColumn("cid", F.monotonically_increasing_id()), "classes")
     bands = classes.select("cid", "hashes").mapInArrow(_bands, "bucket long, cid long")
     full = (bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("in_bucket")).where("in_bucket > 1")
@@ -290,7 +291,7 @@ def _join(docs, id_col, text_col, words, threshold):
     clusters = stage(components(edges).withColumnRenamed("node", "cid").withColumnRenamed("component", "cluster"),
                      "clusters")
     # The texts of one document per class in a cluster, as whole shingle sets.
-    wanted = clusters.join(classes.select("cid", "rep", "h1", "h2"), "cid")
+    wanted = clusters.join(classes.select("cid", "rep", "text_hash", "h1", "h2"), "cid")
     sets = stage(_rep_sets(read, wanted, words), "sets")
     load = (sets.groupBy("cluster").agg(F.sum("size").alias("load"), F.count(F.lit(1)).alias("n"))
             .select("cluster", F.greatest(F.ceil(F.col("load") / CLUSTER_BLOCK),
@@ -309,9 +310,12 @@ def _join(docs, id_col, text_col, words, threshold):
 
 
 def _rep_sets(read: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(cid, cluster, shingles, size): the set of one document of each wanted class."""
-    keyed = wanted.select("cid", "cluster", "h1", "h2", F.col("rep"))
-    texts = read.join(keyed, F.col("id").eqNullSafe(F.col("rep"))).select("cid", "cluster", "h1", "h2", "text")
+    """(cid, cluster, shingles, size): the set of one document of each wanted
+    class. Found by id and text, so rows that share an id (or have none) meet
+    only their own class."""
+    keyed = wanted.select("cid", "cluster", "h1", "h2", "rep", F.col("text_hash").alias("rep_hash"))
+    texts = (read.join(keyed, (F.col("text_hash") == F.col("rep_hash")) & F.col("id").eqNullSafe(F.col("rep")))
+             .select("cid", "cluster", "h1", "h2", "text"))
     made = texts.mapInArrow(_shingler(words), "cid long, cluster long, shingles binary")
     return made.dropDuplicates(["cid"]).withColumn("size", (F.octet_length("shingles") / 8).cast("long"))
 
