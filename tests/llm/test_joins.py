@@ -164,3 +164,14 @@ def test_shingles_do_not_cross_texts():
     values, bounds = bj.shingles(data, offsets)
     assert np.diff(bounds).tolist() == [2, 0, 1, 1]
     assert values[3] in values[:2]
+
+
+def test_rows_without_an_id_meet_only_their_own_class(spark):
+    rows = []
+    for i in range(1500):
+        words = [f"w{i}x{k}" for k in range(80)]
+        rows += [(None, " ".join(words)), (None, " ".join(words[:-1] + ["other"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = bj.link(docs).collect()
+    assert len(got) == 3000 and {(r.doc_id, r.class_id, r.n_links) for r in got} == {(None, None, 1)}
+    assert bj.keep(docs).count() == 1500
