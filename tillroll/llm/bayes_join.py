@@ -48,6 +48,7 @@ TOLERANCE = 1e-6
 BUCKET_BLOCK = 512  # classes
 CLUSTER_BLOCK = 1 << 17  # shingles
 PAIR_ROWS = 1 << 18
+SLICE = 1 << 17  # shingles handled at once
 
 MULTIPLIERS = ts.mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
 
@@ -55,6 +56,9 @@ MULTIPLIERS = ts.mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0xA24
 def shingles(data: np.ndarray, offsets: np.ndarray, n: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-gram hashes of each text of a chunk, sorted within the text,
     and their bounds per text."""
+    if ts.is_long(offsets):
+        values = long_shingles(data, n)
+        return values, np.array([0, len(values)])
     _, _, hashes, first = ts.words(data, offsets)
     grams = ts.ngram_hash(hashes, n)
     doc = np.searchsorted(first, np.arange(len(grams)), "right") - 1
@@ -71,11 +75,35 @@ def shingles(data: np.ndarray, offsets: np.ndarray, n: int = WORDS) -> tuple[np.
     return value[new], np.searchsorted(doc[new], np.arange(len(offsets)))
 
 
+def long_shingles(data: np.ndarray, n: int = WORDS) -> np.ndarray:
+    """The same of one long text, segment by segment."""
+    parts, tail = [np.zeros(0, np.uint64)], np.zeros(0, np.uint64)
+    for _, _, hashes in ts.word_stream(data):
+        tail = np.concatenate([tail, hashes])
+        if len(tail) >= n:
+            parts.append(np.unique(ts.ngram_hash(tail, n)))
+            tail = tail[len(tail) - n + 1:]
+    if len(parts) == 1 and len(tail):
+        return ts.ngram_hash(tail, len(tail))
+    values = np.concatenate(parts)
+    del parts
+    values.sort()
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new]
+
+
 def minhashes(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """16-bit MinHash values (texts, HASHES); texts without shingles get 0."""
     out = np.zeros((len(bounds) - 1, HASHES), np.uint16)
     full = np.flatnonzero(np.diff(bounds))
-    if len(full):
+    if len(bounds) == 2 and len(values) > SLICE:
+        least = np.full(HASHES, np.iinfo(np.uint64).max)
+        for a in range(0, len(values), SLICE):
+            for k, factor in enumerate(MULTIPLIERS):
+                least[k] = min(least[k], (values[a:a + SLICE] * factor >> np.uint64(24)).min())
+        out[0] = ts.mix(least) & np.uint64(0xFFFF)
+    elif len(full):
         for k, factor in enumerate(MULTIPLIERS):
             least = np.minimum.reduceat(values * factor >> np.uint64(24), bounds[full])
             out[full, k] = ts.mix(least) & np.uint64(0xFFFF)
@@ -87,7 +115,9 @@ def set_hashes(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     sums = []
     for seed in (0x243F6A8885A308D3, 0x13198A2E03707344):
         total = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(ts.mix(values ^ np.uint64(seed)), out=total[1:])
+        for a in range(0, len(values), SLICE):
+            part = np.cumsum(ts.mix(values[a:a + SLICE] ^ np.uint64(seed)))
+            total[a + 1:a + 1 + len(part)] = part + total[a]
         sums.append((total[bounds[1:]] - total[bounds[:-1]]).view(np.int64))
     return sums[0], sums[1]
 
@@ -201,22 +231,26 @@ def _shingler(n: int):
 
 
 def shared_counts(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
-    """Sizes of all pairwise intersections, exactly: products of 0/1 matrices
-    over slices of the shingles."""
+    """Sizes of all pairwise intersections of sorted sets, exactly: products of
+    0/1 matrices over ranges of the shingles."""
     sizes = np.array([len(s) for s in sets])
-    _, column = np.unique(np.concatenate(sets), return_inverse=True)
-    row = np.repeat(np.arange(len(sets)), sizes)
-    common = np.bincount(column)[column] > 1  # a shingle of one set counts for no pair
-    kept, column = np.unique(column[common], return_inverse=True)
-    row = row[common]
     total = np.zeros((len(sets), len(sets)))
-    order = np.argsort(column, kind="stable")
-    column, row = column[order], row[order]
-    for begin in range(0, len(kept), width):
-        a, b = np.searchsorted(column, [begin, begin + width])
-        part = np.zeros((len(sets), min(width, len(kept) - begin)), np.float32)
-        part[row[a:b], column[a:b] - begin] = 1
-        total += part @ part.T
+    ranges = int(-(-sizes.sum() // (4 * SLICE)))
+    edges = [np.searchsorted(s, np.array([k * 2**64 // ranges for k in range(1, ranges)], np.uint64)) for s in sets]
+    for k in range(ranges):
+        part = [s[e[k - 1] if k else 0:e[k] if k < ranges - 1 else len(s)] for s, e in zip(sets, edges)]
+        _, column = np.unique(np.concatenate(part), return_inverse=True)
+        row = np.repeat(np.arange(len(sets)), [len(p) for p in part])
+        common = np.bincount(column)[column] > 1 if len(column) else np.zeros(0, bool)  # else it counts for no pair
+        kept, column = np.unique(column[common], return_inverse=True)
+        row = row[common]
+        order = np.argsort(column, kind="stable")
+        column, row = column[order], row[order]
+        for begin in range(0, len(kept), width):
+            a, b = np.searchsorted(column, [begin, begin + width])
+            held = np.zeros((len(sets), min(width, len(kept) - begin)), np.float32)
+            held[row[a:b], column[a:b] - begin] = 1
+            total += held @ held.T
     total[np.arange(len(sets)), np.arange(len(sets))] = sizes
     return total
 
@@ -294,7 +328,7 @@ def _join(docs, id_col, text_col, words, threshold):
     wanted = clusters.join(classes.select("cid", "rep", "text_hash", "h1", "h2"), "cid")
     sets = stage(_rep_sets(read, wanted, words), "sets")
     load = (sets.groupBy("cluster").agg(F.sum("size").alias("load"), F.count(F.lit(1)).alias("n"))
-            .select("cluster", F.greatest(F.ceil(F.col("load") / CLUSTER_BLOCK),
+            .select("cluster", F.greatest(F.least(F.ceil(F.col("load") / CLUSTER_BLOCK), F.col("n")),
                                           F.ceil(F.col("n") / BUCKET_BLOCK)).alias("blocks")))
     blocked = _in_blocks(sets.join(load, "cluster").join(classes.select("cid", "members"), "cid"), "cluster", "blocks")
     links = stage(_sorted_groups(blocked.select("cluster", "i", "j", "block", "cid", "members", "shingles"), "cluster")

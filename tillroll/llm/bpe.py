@@ -55,6 +55,8 @@ class Vocabulary:
             raise ValueError("the tokenizer file has other rules than those compiled here")
         vocab, suffix = model["vocab"], model["end_of_word_suffix"]
         self.size = max(vocab.values()) + 1
+        if any(CUT.search(t["content"]) for t in spec["added_tokens"]):
+            raise ValueError("a special token holds a place where texts are cut")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.size = max(self.size, *(i + 1 for i in self.special.values())) if self.special else self.size
         self.inner = np.array([vocab[c] for c in byte_symbols()], np.int32)
@@ -232,6 +234,26 @@ class Codes:
         return ts.range_hash(prefix, start, end)
 
 
+# A long text may be cut before a blank or line feed, and between a full-width
+# mark and a letter or number: no piece, no special token and no composition of
+# characters goes over such a place.
+CUT = re.compile(r"[ \n]|(?<=[\u3001\u3002\uff01\uff0c\uff1a\uff1b\uff1f])(?=[^\W_])")
+SEGMENT = 1 << 20  # characters
+
+
+def text_segments(text: str):
+    """Runs of a long text, each of about ``SEGMENT`` characters (more only where
+    there is no place to cut), whose tokens one after the other are the text's."""
+    lo = 0
+    while len(text) - lo > SEGMENT:
+        place = CUT.search(text, lo + SEGMENT)
+        hi = place.start() if place else len(text)
+        yield text[lo:hi]
+        lo = hi
+    if lo < len(text) or not lo:
+        yield text[lo:]
+
+
 def pieces(codes: Codes) -> tuple[np.ndarray, np.ndarray]:
     """Bounds of the pieces of all texts."""
     kind, c = codes.classes, codes.codes

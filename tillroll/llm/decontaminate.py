@@ -64,12 +64,10 @@ def window_hash(joined: bytes, size: int) -> np.uint64:
     return ts.ngram_hash(ts.range_hash(ts.prefix_hash(data), *ts.word_bounds(data)), size)[0]
 
 
-def scan_chunk(data: np.ndarray, offsets: np.ndarray, windows: WindowSet):
-    """``(start, end, first, spans, items)`` of a chunk: byte bounds of its
-    words, words before each text, hit windows as word ranges, and per text
-    the set of items that occur."""
-    start, end, hashes, first = ts.words(data, offsets)
-    lowered, spans, items = ts.LOWER[data], [], {}
+def occurrences(hashes: np.ndarray, windows: WindowSet, word, wanted):
+    """Yield ``(place, size, items)`` of the windows that occur among the words of
+    these hashes; ``word(p)`` gives a word's bytes, ``wanted(places, size)``
+    says which places count."""
     for size, (known, texts, owners) in windows.lengths.items():
         grams = ts.ngram_hash(hashes, size)
         if not len(grams):
@@ -77,26 +75,60 @@ def scan_chunk(data: np.ndarray, offsets: np.ndarray, windows: WindowSet):
         slot = np.searchsorted(known, grams)
         slot[slot == len(known)] = 0
         at = np.flatnonzero(known[slot] == grams)
-        doc = np.searchsorted(first, at, "right") - 1
-        keep = at + size <= first[doc + 1]
-        for p, d in zip(at[keep].tolist(), doc[keep].tolist()):
-            found = b" ".join(lowered[start[p + j]:end[p + j]].tobytes() for j in range(size))
+        for p in at[wanted(at, size)].tolist():
+            found = b" ".join(word(p + j) for j in range(size))
             i = int(slot[p])
             while i < len(known) and known[i] == grams[p]:
                 if texts[i] == found:
-                    spans.append((p, p + size))
-                    items.setdefault(d, set()).update(owners[i])
+                    yield p, size, owners[i]
                 i += 1
+
+
+def scan_chunk(data: np.ndarray, offsets: np.ndarray, windows: WindowSet):
+    """``(start, end, first, spans, items)`` of a chunk: byte bounds of its
+    words, words before each text, hit windows as word ranges, and per text
+    the set of items that occur."""
+    start, end, hashes, first = ts.words(data, offsets)
+    lowered, spans, items = ts.LOWER[data], [], {}
+    within = lambda at, size: at + size <= first[np.searchsorted(first, at, "right")]
+    for p, size, owners in occurrences(hashes, windows, lambda k: lowered[start[k]:end[k]].tobytes(), within):
+        spans.append((p, p + size))
+        items.setdefault(int(np.searchsorted(first, p, "right")) - 1, set()).update(owners)
     return start, end, first, spans, items
 
 
-def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
+def scan_long(data: np.ndarray, windows: WindowSet) -> dict:
+    """What is found in one long text, segment by segment: each is scanned with
+    the last words before it, so no window is missed at a border."""
+    lead = max(windows.lengths, default=1) - 1
+    start, end, hashes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    n_words, spans, items = 0, [], set()
+    for new in ts.word_stream(data):
+        held = min(lead, len(start))
+        start, end, hashes = (np.concatenate([old[len(old) - held:], n]) for old, n in zip((start, end, hashes), new))
+        base = n_words - held
+        n_words += len(new[0])
+        found = []
+        for p, size, owners in occurrences(hashes, windows, lambda k: ts.LOWER[data[start[k]:end[k]]].tobytes(),
+                                           lambda at, size: at + size > held):
+            found.append((base + p, base + p + size, int(start[p]), int(end[p + size - 1])))
+            items.update(owners)
+        while spans and spans[-1][1] >= base:
+            found.append(spans.pop())
+        spans += _merged(found)
+    return {"n_words": n_words, "words": [[a, b] for a, b, _, _ in spans], "bytes": [[c, d] for _, _, c, d in spans],
+            "items": sorted({windows.item_ids[k] for k in items})}
+
+
+def _merged(spans: list[tuple]) -> list[tuple]:
+    """Word ranges (first, end) that touch made one; with them their byte ranges."""
+    out: list[tuple] = []
+    for a, b, *at in sorted(spans):
         if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
+            old = out[-1]
+            out[-1] = (old[0], max(b, old[1]), *((old[2], max(at[1], old[3])) if at else ()))
         else:
-            out.append((a, b))
+            out.append((a, b, *at))
     return out
 
 
@@ -107,6 +139,9 @@ FOUND = pa.struct([("n_words", pa.int64()), ("words", pa.list_(pa.list_(pa.int64
 def _judged(texts: pa.Array, windows: WindowSet) -> list[dict]:
     out: list[dict] = []
     for begin, stop, data, offsets in ts.chunks(texts):
+        if ts.is_long(offsets):
+            out.append(scan_long(data, windows))
+            continue
         start, end, first, spans, items = scan_chunk(data, offsets, windows)
         by_doc: dict[int, list] = {}
         for a, b in spans:

@@ -8,7 +8,8 @@ weights tie neighbouring lines together. A document's score is the mean of its
 lines' forward-backward marginals for "good", weighted by line length.
 
 Forward and backward messages are products of 2 x 2 matrices, taken by
-doubling over all lines of a chunk at once. The matrix of a text's first line
+doubling over all lines of a chunk at once; a long text is scored in blocks of
+lines with both kinds of messages carried between them. The matrix of a text's first line
 has equal rows, so nothing is carried from one text into the next.
 
 The model is fitted on the driver from at most ``SAMPLE_DOCS`` labelled
@@ -50,6 +51,8 @@ def _kinds() -> np.ndarray:
 
 
 KIND = _kinds()
+SAME = 17  # place of "same as the line before" among the features
+LINES = 1 << 14  # lines of a long text whose messages are taken at once
 
 
 def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,19 +85,81 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     whole = ts.range_hash(prefix, start, end)
     same = np.zeros(n_lines)
     same[1:] = (whole[1:] == whole[:-1]) & (length[1:] > 0)
+    same[first[:-1]] = 0  # the line before is another text's
     last = np.where(length > 0, data[np.maximum(end - 1, 0)], 0)
+    features = _describe(length, counts, n_words, per(again), distinct, per(size), per(size <= 3), per(size >= 12),
+                         same, last)
+    return features, length + 1, first
+
 
+def _describe(length, counts, n_words, again, distinct, size, small, large, same, last) -> np.ndarray:
+    """Features of lines from their bytes by kind (``counts``), their words, repeated
+    neighbours and distinct ones, the sum of word sizes, short and long words,
+    whether the line before is the same, and the last byte."""
     letters, words, chars = counts[:, 1] + counts[:, 2], np.maximum(n_words, 1), np.maximum(length, 1)
-    features = np.stack([
+    return np.stack([
         np.log1p(length), np.log1p(n_words), length == 0, counts[:, 1] / np.maximum(letters, 1),
         counts[:, 3] / chars, np.sqrt(counts[:, 4] / words), np.sqrt(counts[:, 5] / words),
         np.sqrt(counts[:, 6] / words), counts[:, 7] / words, np.sqrt(counts[:, 8] / chars),
-        np.sqrt(counts[:, 9] / chars), letters / chars, np.sqrt(per(again) / words), distinct / words,
-        per(size) / words / 10, per(size <= 3) / words, per(size >= 12) / words, same,
+        np.sqrt(counts[:, 9] / chars), letters / chars, np.sqrt(again / words), distinct / words,
+        size / words / 10, small / words, large / words, same,
         np.isin(last, list(b".?!\"'")), counts[:, 0] / words,
         (distinct / words < 0.5) & (n_words >= 6), (counts[:, 1] > counts[:, 2]) & (letters >= 4),
     ], axis=1)
-    return features, length + 1, first
+
+
+def _long_line(data: np.ndarray, same: bool) -> np.ndarray:
+    """Features of one line above ``ts.SEGMENT`` bytes."""
+    counts, parts, before = np.zeros(10), [np.zeros(0, np.uint64)], np.zeros(0, np.uint64)
+    n_words = again = size = small = large = 0.0
+    for a in range(0, len(data), ts.SEGMENT):
+        counts += np.bincount(KIND[data[a:a + ts.SEGMENT]], minlength=10)
+    for start, end, hashes in ts.word_stream(data):
+        run = np.concatenate([before, hashes])
+        again += (run[1:] == run[:-1]).sum()
+        before = run[-1:]
+        n_words, size = n_words + len(hashes), size + (end - start).sum()
+        small, large = small + (end - start <= 3).sum(), large + (end - start >= 12).sum()
+        parts.append(np.unique(hashes))
+    distinct = float(len(np.unique(np.concatenate(parts))))
+    one = lambda x: np.array([x], float)
+    return _describe(one(len(data)), counts[None], one(n_words), one(again), one(distinct), one(size), one(small),
+                     one(large), one(same), one(data[-1]))
+
+
+def long_text_features(data: np.ndarray):
+    """Yield ``(features, weight)`` of the lines of one long text (which ends in a
+    zero byte), by segments cut between lines."""
+    lo, n, before = 0, len(data), (0, 0)
+    while lo < n:
+        hi = min(n, lo + ts.SEGMENT)
+        if hi < n:
+            cut = np.flatnonzero(data[lo:hi] == 10)
+            if len(cut):
+                hi = lo + int(cut[-1]) + 1
+            else:  # a long line: up to its end
+                while hi < n:
+                    cut = np.flatnonzero(data[hi:hi + ts.SEGMENT] == 10)
+                    hi = hi + int(cut[0]) + 1 if len(cut) else min(n, hi + ts.SEGMENT)
+                    if len(cut):
+                        break
+        part = data[lo:hi]
+        feeds = np.flatnonzero(part[:-1] == 10)
+        stop = int(feeds[0]) if len(feeds) else len(part) - 1
+        same = bool(stop > 0 and lo and before[1] - before[0] == stop and _equal(data, before[0], lo, stop))
+        if len(part) - 1 > ts.SEGMENT:  # the loop above ends at the first line feed
+            yield _long_line(part[:-1], same), np.array([len(part)], float)
+        else:
+            features, weight, _ = line_features(part, np.array([0, len(part)]))
+            features[0, SAME] = same
+            yield features, weight
+        before = (lo + (int(feeds[-1]) + 1 if len(feeds) else 0), hi - 1)
+        lo = hi
+
+
+def _equal(data: np.ndarray, a: int, b: int, size: int) -> bool:
+    return all(np.array_equal(data[a + k:a + min(k + ts.SEGMENT, size)], data[b + k:b + min(k + ts.SEGMENT, size)])
+               for k in range(0, size, ts.SEGMENT))
 
 
 def with_neighbours(features: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -122,13 +187,19 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out / np.maximum(out.max(axis=(0, 1)), 1e-300)
 
 
-def messages(matrices: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
-    """Forward and backward messages (state, line), up to scale."""
+def _products(matrices: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Products of the matrices up to each line and from each line on, up to scale."""
     ahead, back, reach, n = matrices, matrices, 1, matrices.shape[2]
     while reach <= longest and reach < n:
         ahead = np.concatenate([ahead[:, :, :reach], _product(ahead[:, :, :-reach], ahead[:, :, reach:])], axis=2)
         back = np.concatenate([_product(back[:, :, :-reach], back[:, :, reach:]), back[:, :, -reach:]], axis=2)
         reach *= 2
+    return ahead, back
+
+
+def messages(matrices: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Forward and backward messages (state, line), up to scale."""
+    (ahead, back), n = _products(matrices, longest), matrices.shape[2]
     alpha, beta = ahead[0], np.ones((2, n))
     beta[:, :-1] = back[:, :, 1:].sum(axis=1)
     return alpha / alpha.sum(0), beta / beta.sum(0)
@@ -141,6 +212,46 @@ def marginals(x: np.ndarray, first: np.ndarray, model: dict) -> np.ndarray:
     return both[1] / np.maximum(both.sum(0), 1e-300)
 
 
+def score_long(data: np.ndarray, model: dict) -> float:
+    """Score of one long text. Only the emissions of its lines are held; the
+    messages are taken ``LINES`` lines at a time, forward ones carried from one
+    block into the next, backward ones the other way."""
+    width = len(model["centre"])
+    w, before, after = model["w"][1:1 + width], model["w"][1 + width:1 + 2 * width], model["w"][1 + 2 * width:]
+    parts, weights = [], []
+    for features, weight in long_text_features(data):
+        features = (features - model["centre"]) / model["scale"]
+        parts.append(np.stack([features @ w, features @ before, features @ after]))
+        weights.append(weight)
+    parts, weights = np.concatenate(parts, axis=1), np.concatenate(weights)
+    emit, n = parts[0] + model["w"][0], parts.shape[1]
+    emit[1:] += parts[1, :-1]
+    emit[:-1] += parts[2, 1:]
+
+    def block(a):
+        scores = np.repeat(model["move"][:, :, None], len(emit[a:a + LINES]), axis=2)
+        scores[:, 1] += emit[a:a + LINES]
+        if a == 0:
+            scores[:, :, 0] = model["begin"][None, :] + np.array([0, emit[0]])
+        matrices = np.exp(scores - scores.max(axis=(0, 1)))
+        return matrices, *_products(matrices, len(matrices[0, 0]))
+
+    carried = [np.array([0.5, 0.5])]
+    for a in range(0, n, LINES):
+        last = carried[-1] @ block(a)[1][:, :, -1]
+        carried.append(last / last.sum())
+    beta_next, total = np.ones(2), 0.0
+    for k in range((n - 1) // LINES, -1, -1):
+        _, ahead, back = block(k * LINES)
+        alpha = np.einsum("i,ijt->jt", carried[k], ahead)
+        suffix = np.einsum("ijt,j->it", back, beta_next)
+        beta = np.concatenate([suffix[:, 1:], beta_next[:, None]], axis=1)
+        both = alpha / alpha.sum(0) * (beta / beta.sum(0))
+        total += float((both[1] / np.maximum(both.sum(0), 1e-300) * weights[k * LINES:(k + 1) * LINES]).sum())
+        beta_next = suffix[:, 0] / suffix[:, 0].sum()
+    return total / float(weights.sum())
+
+
 def fit(features: np.ndarray, first: np.ndarray, labels: np.ndarray, rounds: int = ROUNDS,
         ridge: float = 1e-3, rate: float = 0.08) -> dict:
     """Maximum likelihood by Adam; every document weighs 1, whatever its length."""
@@ -180,6 +291,9 @@ def score_texts(texts: pa.Array, model: dict | None) -> np.ndarray:
         return np.full(len(texts), 0.5)
     out = []
     for _, _, data, offsets in ts.chunks(texts):
+        if ts.is_long(offsets):
+            out.append(np.array([score_long(data, model)]))
+            continue
         features, weight, first = line_features(data, offsets)
         good = marginals(with_neighbours((features - model["centre"]) / model["scale"], first), first, model)
         out.append(np.add.reduceat(good * weight, first[:-1]) / np.add.reduceat(weight, first[:-1]))
@@ -198,6 +312,14 @@ def _featurizer(most: int):
             texts, labels = ts.text_array(batch.column(0)), batch.column(1)
             hashes, rows, sizes = batch.column(2), [], []
             for _, _, data, offsets in ts.chunks(texts):
+                if ts.is_long(offsets):
+                    held, n = [], 0
+                    for features, _ in long_text_features(data):
+                        n += len(features)
+                        held = [*held, features.astype(np.float32).tobytes()] if n <= most else []
+                    rows.append(b"".join(held) if n <= most else None)
+                    sizes.append(n)
+                    continue
                 features, _, first = line_features(data, offsets)
                 rows += [features[a:b].astype(np.float32).tobytes() if b - a <= most else None
                          for a, b in zip(first, first[1:])]

@@ -1,7 +1,9 @@
 """Numpy scans over Arrow text columns, used inside Spark's Python workers.
 
-A batch is cut into chunks of about ``CHUNK`` bytes (never inside a text), so
-the memory of a scan is a small multiple of that, or of the longest text.
+A batch is cut into chunks of about ``CHUNK`` bytes (never inside a text). A text
+above ``SEGMENT`` bytes comes alone (``is_long``); its scans go over it segment by
+segment (``word_stream``), with the same results, so the memory of a scan is a
+fixed amount beside the text itself and what is asked of it.
 All hashes are 64-bit polynomial sums modulo 2**64 over random byte values.
 """
 
@@ -12,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK = 1 << 19
+SEGMENT = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 5  # odd, 5 mod 8: powers repeat only after 2**62
 _MASK = (1 << 64) - 1
 _powers: list[np.ndarray] = []
@@ -99,6 +102,35 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start, end, hashes, np.searchsorted(start, offsets)
 
 
+def is_long(offsets: np.ndarray) -> bool:
+    """Whether a chunk is one text to be scanned segment by segment."""
+    return len(offsets) == 2 and offsets[1] - offsets[0] > SEGMENT
+
+
+def word_stream(data: np.ndarray):
+    """Yield ``(start, end, hash)`` as ``words`` gives them for one long text, for
+    the words that end in each segment. A word that goes on into the next
+    segment, however long, is carried as its start and its hash sum."""
+    opened, held = None, np.uint64(0)
+    for lo in range(0, len(data), SEGMENT):
+        part = LOWER[data[lo:lo + SEGMENT]]
+        start, end = word_bounds(part)
+        prefix = prefix_hash(part)
+        sums = (prefix[end] - prefix[start]) * powers(len(prefix))[1][start]
+        start, end = start + lo, end + lo
+        if opened is not None:
+            if len(start) and start[0] == lo:
+                sums[:1] = sums[:1] * np.uint64(pow(_BASE & _MASK, int(lo - opened), 1 << 64)) + held
+                start[0] = opened
+            else:
+                start, end, sums = np.r_[opened, start], np.r_[lo, end], np.r_[held, sums]
+            opened = None
+        if len(end) and end[-1] == lo + len(part) < len(data):
+            opened, held = start[-1], sums[-1]
+            start, end, sums = start[:-1], end[:-1], sums[:-1]
+        yield start, end, mix(sums + (end - start).astype(np.uint64))
+
+
 def ngram_hash(hashes: np.ndarray, n: int) -> np.ndarray:
     """Order-dependent hash of every run of ``n`` word hashes (length - n + 1)."""
     m = len(hashes) - n + 1

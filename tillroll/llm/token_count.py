@@ -12,7 +12,8 @@ pieces of a block of text, compiled from the vocabulary's merges (bpe.py), and
 looked up by a 64-bit path hash. A text's count is the sum of what its
 transitions emit, special tokens emit one.
 
-Texts are handled in blocks of about ``BLOCK`` bytes, whole texts only.
+Texts are handled in blocks of about ``BLOCK`` bytes. A longer text is counted
+segment by segment (``bpe.text_segments``), between which no token can lie.
 Defined results: null and empty texts have 0 tokens; repeated rows are
 counted one by one; only the id and result columns are returned.
 """
@@ -129,6 +130,13 @@ def count_texts(texts: list[str], vocabulary: bpe.Vocabulary, table: np.ndarray)
     return np.bincount(codes.doc, weights=per_segment, minlength=len(texts)).astype(np.int64)
 
 
+def count_block(texts: list[str], vocabulary: bpe.Vocabulary, table: np.ndarray) -> np.ndarray:
+    """The same for a block of texts or for one long text."""
+    if len(texts) == 1 and len(texts[0]) > bpe.SEGMENT:
+        return sum(count_texts([t], vocabulary, table) for t in bpe.text_segments(texts[0]))
+    return count_texts(texts, vocabulary, table)
+
+
 def blocks(sizes: np.ndarray, limit: int = BLOCK):
     """Row ranges of at most ``limit`` bytes, or one longer text."""
     ends, first = np.cumsum(sizes), 0
@@ -149,7 +157,7 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "")
             sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
-            counts = [count_texts(texts[a:b].to_pylist(), vocabulary, table) for a, b in blocks(sizes)]
+            counts = [count_block(texts[a:b].to_pylist(), vocabulary, table) for a, b in blocks(sizes)]
             tokens = np.concatenate(counts) if counts else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(tokens)],
                                              names=["id", "n_bytes", "n_tokens"])

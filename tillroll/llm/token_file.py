@@ -16,7 +16,8 @@ The file format is a Parquet folder ``blocks`` with one row per block (part,
 block, document ids, tokens per document, control, data) and a folder
 ``ranks`` with (rank, token id). ``decode`` reads blocks back with table
 lookups: a control byte gives four lengths at once, their running sum the
-places of all ids in ``data``.
+places of all ids in ``data``. A text above ``bpe.SEGMENT`` characters is encoded
+segment by segment, and ids are coded ``RUN`` at a time.
 
 Order: ascending id, null first; rows with one id by the hash of their text,
 so a hot id is spread over partitions; rows alike in both are alike.
@@ -40,6 +41,7 @@ from tillroll.llm.token_count import blocks
 from tillroll.session import scratch_dir
 
 END_ID = 1
+RUN = 1 << 18  # ids coded at once, a multiple of four
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1  # of the four ids of a control byte
 
 
@@ -70,8 +72,24 @@ def encode_texts(texts: list[str], vocabulary: bpe.Vocabulary, end_id: int = END
     return out, np.diff(np.concatenate([[0], ends]))
 
 
+def encode_block(texts: list[str], vocabulary: bpe.Vocabulary, end_id: int, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The same as numbers of type ``kind``, for a block of texts or for one long
+    text, which is encoded segment by segment."""
+    if len(texts) != 1 or len(texts[0]) <= bpe.SEGMENT:
+        tokens, counts = encode_texts(texts, vocabulary, end_id)
+        return tokens.astype(kind), counts
+    runs = [encode_texts([t], vocabulary, end_id)[0][:-1].astype(kind) for t in bpe.text_segments(texts[0])]
+    tokens = np.concatenate([*runs, np.array([end_id], kind)])
+    return tokens, np.array([len(tokens)])
+
+
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of numbers below 2**32."""
+    runs = [_pack_run(values[a:a + RUN].astype(np.int64)) for a in range(0, len(values), RUN)]
+    return b"".join(c for c, _ in runs), b"".join(d for _, d in runs)
+
+
+def _pack_run(values: np.ndarray) -> tuple[bytes, bytes]:
     size = 1 + (values > 0xFF).astype(np.int64) + (values > 0xFFFF) + (values > 0xFFFFFF)
     codes = np.zeros(-(-len(values) // 4) * 4, np.uint8)
     codes[:len(values)] = size - 1
@@ -87,16 +105,18 @@ def pack(values: np.ndarray) -> tuple[bytes, bytes]:
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
-    size = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    ends = np.cumsum(size)
-    raw = np.frombuffer(data, np.uint8)
-    begin = ends - size
-    out = raw[begin].astype(np.int64) if n else np.zeros(0, np.int64)
-    for byte in range(1, 4):
-        has = np.flatnonzero(size > byte)
-        if not len(has):
-            break
-        out[has] |= raw[begin[has] + byte].astype(np.int64) << 8 * byte
+    codes, raw = np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8)
+    out, at = np.zeros(n, np.uint32), 0
+    for a in range(0, n, RUN):
+        size = LENGTHS[codes[a // 4:(a + RUN) // 4]].reshape(-1)[:n - a]
+        ends = at + np.cumsum(size)
+        begin, run, at = ends - size, out[a:a + RUN], int(ends[-1])
+        run[:] = raw[begin]
+        for byte in range(1, 4):
+            has = np.flatnonzero(size > byte)
+            if not len(has):
+                break
+            run[has] |= raw[begin[has] + byte].astype(np.uint32) << np.uint32(8 * byte)
     return out
 
 
@@ -114,13 +134,13 @@ def _encoder(shared, end_id: int):
             texts = pc.fill_null(batch.column(1), "")
             sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
             for a, b in blocks(sizes):
-                tokens, counts = encode_texts(texts[a:b].to_pylist(), vocabulary, end_id)
+                tokens, counts = encode_block(texts[a:b].to_pylist(), vocabulary, end_id, kind)
                 ids = batch.column(0)[a:b]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([block], pa.int32()),
                      pa.array([len(tokens)], pa.int64()), pa.ListArray.from_arrays([0, len(ids)], ids),
                      pa.ListArray.from_arrays([0, len(counts)], pa.array(counts, pa.int64())),
-                     pa.array([tokens.astype(kind).tobytes()], pa.binary())],
+                     pa.array([tokens.tobytes()], pa.binary())],
                     names=["part", "block", "n_ids", "ids", "counts", "raw"])
                 block += 1
     return run
@@ -134,9 +154,10 @@ def _counter(batches):
     total = np.zeros(0, np.int64)
     for batch in batches:
         for n, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            counts = np.bincount(_raw(raw, n), minlength=len(total))
-            counts[:len(total)] += total
-            total = counts
+            for a in range(0, n, RUN):
+                counts = np.bincount(_raw(raw, n)[a:a + RUN], minlength=len(total))
+                counts[:len(total)] += total
+                total = counts
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
 
@@ -171,7 +192,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
     counts = (raw.select("n_ids", "raw").mapInArrow(_counter, "id long, n long")
               .groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").select("id").collect())
     ids = np.array([r["id"] for r in counts], np.int64)  # at most the vocabulary's size
-    rank = np.zeros(size, np.int64)
+    rank = np.zeros(size, np.uint32)
     rank[ids] = np.arange(len(ids))
     packed = raw.mapInArrow(_packer(share(spark, rank)), _block_type(id_type, ["control", "data"]))
     with early_cleanup(spark):
@@ -189,8 +210,7 @@ def _decoder(shared, digest: bool):
                 n, counts = batch.column("n_ids")[row].as_py(), batch.column("counts")[row].values.to_numpy()
                 ids = token_of[unpack(batch.column("control")[row].as_py(), batch.column("data")[row].as_py(), n)]
                 ends = np.cumsum(counts)
-                plain = ids.astype("<u4")
-                cut = [plain[a:b] for a, b in zip(ends - counts, ends)]
+                cut = [ids[a:b] for a, b in zip(ends - counts, ends)]
                 payload = (pa.array([zlib.crc32(x) for x in cut], pa.int64()) if digest
                            else pa.array([x.astype(np.int64) for x in cut], pa.list_(pa.int64())))
                 doc = batch.column("ids")[row].values
@@ -206,7 +226,7 @@ def read(spark: SparkSession, path: str, id_col: str = "doc_id", digest: bool =
     """Documents of token files: id, start, n_tokens and token_ids, or with
     ``digest`` the ids' unsigned crc32 as ids_crc32."""
     files = spark.read.parquet(f"{path}/blocks")
-    token_of = np.array([r["token_id"] for r in spark.read.parquet(f"{path}/ranks").orderBy("rank").collect()], np.int64)
+    token_of = np.array([r["token_id"] for r in spark.read.parquet(f"{path}/ranks").orderBy("rank").collect()], "<u4")
     id_type = files.schema["ids"].dataType.elementType
     payload = T.LongType() if digest else T.ArrayType(T.LongType())
     schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("block", T.IntegerType()),
