@@ -193,6 +193,35 @@ def test_small_files_are_probed_many_to_a_task(spark, workdir, monkeypatch):
     assert {v[0] for v in small.values()} == {f"a{k},b" for k in range(300)}
 
 
+def test_lines_of_data_do_not_reach_python_in_the_probe(spark, workdir):
+    from tillroll.sources import csv as csv_source
+
+    land = os.path.join(workdir, "landing")
+    for k in range(3):
+        write_file(land, f"f{k}.csv", f"a{k},b\n" + "1,2\n" * 200_000)
+    locations = [r.location for r in files.discover(spark, land).collect()]
+    for packed in (True, False):
+        lines = csv_source.first_lines(spark, locations, packed)
+        assert sorted(r.line for r in lines.collect()) == ["a0,b", "a1,b", "a2,b"]
+        assert "MapInArrow" not in lines._jdf.queryExecution().toString()
+
+
+def test_header_of_a_file_in_many_splits(spark, workdir, monkeypatch):
+    from tillroll.sources import csv as csv_source
+
+    land = os.path.join(workdir, "landing")
+    for k in range(3):
+        write_file(land, f"f{k}.csv", f"a{k},b" + ("\n", "\r\n", "\r")[k] + "1,2\n" * 5000)
+    locations = [r.location for r in files.discover(spark, land).collect()]
+    split = "spark.sql.files.maxPartitionBytes"
+    probe = spark.newSession()
+    probe.conf.set(split, "1024")
+    monkeypatch.setattr(spark, "newSession", lambda: probe)
+    lines = csv_source.first_lines(spark, locations, packed=False)
+    assert lines.rdd.getNumPartitions() > 30
+    assert sorted(r.line for r in lines.collect()) == ["a0,b", "a1,b", "a2,b"]
+
+
 ODD_NAMES = ["day 1.csv", "a#b.csv", "a%20b.csv", "verkäufe.csv", "x[1]{2}.csv", "what?*.csv", "sub dir/ü ü.CSV", "plus+&=.csv"]
 
 

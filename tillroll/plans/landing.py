@@ -25,11 +25,13 @@ months.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.schemas import MANDATORY_COLUMNS
-from tillroll.session import staged
+from tillroll.session import scratch_dir
 
 # Desk -> (folder, layout columns, file format).
 LAYOUTS: dict[str, tuple[str, list[str], str]] = {
@@ -57,17 +59,21 @@ def write_drop(df: DataFrame, folder: str, columns: list[str], fmt: str) -> None
         out.select(F.to_csv(F.struct(*columns)).alias("value")).write.mode("overwrite").text(folder)
 
 
+def by_desk(source: DataFrame) -> DataFrame:
+    """``source`` written once to the shared folder, a folder per desk, so
+    that each drop reads only its desk's rows."""
+    path = scratch_dir(source.sparkSession, "drops")
+    source.write.partitionBy("desk").parquet(path)
+    return source.sparkSession.read.schema(source.schema).parquet(path)
+
+
 def stage_landing(source: DataFrame, root: str, desks: list[str] | None = None) -> dict[str, str]:
-    """Write one drop per desk under ``root``; returns desk -> folder.
-
-    ``source`` is :func:`tillroll.plans.driver.sale_with_extras`, written once
-    to the shared folder so that each drop reads only its desk's rows.
-    """
-    source = staged(source, "drops")
-    folders = {}
-    for desk in desks or list(LAYOUTS):
-        name, cols, fmt = LAYOUTS[desk]
-        folder = f"{root.rstrip('/')}/{name}"
-        write_drop(source.where(F.col("desk") == desk), folder, cols, fmt)
-        folders[desk] = folder
+    """Write one drop per desk under ``root``, as concurrent jobs; returns
+    desk -> folder. ``source`` is :func:`by_desk`'s."""
+    folders = {desk: f"{root.rstrip('/')}/{drop_name(desk)}" for desk in desks or list(LAYOUTS)}
+    with ThreadPoolExecutor(max_workers=len(folders), thread_name_prefix="drop") as pool:
+        jobs = [pool.submit(write_drop, source.where(F.col("desk") == desk), folder, *LAYOUTS[desk][1:])
+                for desk, folder in folders.items()]
+    for job in jobs:
+        job.result()
     return folders

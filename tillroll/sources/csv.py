@@ -2,9 +2,9 @@
 
 The probe reads headers through Spark's own text reader, so it sees what the
 scan sees: any file system, any file name, any header length. Small files are
-packed, many to a task, and read whole by the JVM; a large file is a partition of
-its own, whose task stops after the first line. So the tasks grow with the bytes
-of small files, and no large file is read through.
+packed, many to a task; large ones are cut into splits, one to a task, of which
+only a file's first line is kept. The JVM does both, so only headers, never the
+lines of data, go on to Python.
 
 ``scan_positions`` reads files with the same number of columns in one scan, as
 text values by position, which the files' layouts then name (``conform``).
@@ -30,7 +30,7 @@ from tillroll.schemas import MANDATORY_TYPES
 from tillroll.session import scratch_dir
 
 CORRUPT_COLUMN = "_corrupt_record"
-ONE_FILE_PER_TASK = str(1 << 40)
+ONE_SPLIT_PER_TASK = str(1 << 40)
 # Files up to this size are probed many to a task; each counts as PACKED_COST bytes more.
 SMALL_FILE = 4 << 20
 PACKED_COST = 256 << 10
@@ -57,14 +57,6 @@ def _parse_header(line: str) -> list[str]:
     return next(csv.reader(io.StringIO(line)), [])
 
 
-def _first_line(batches):
-    """The first line of a partition that is one file; the rest stays unread."""
-    for batch in batches:
-        if batch.num_rows:
-            yield batch.slice(0, 1)
-            return
-
-
 def _parse_headers(batches):
     import pyarrow as pa
 
@@ -104,11 +96,13 @@ def first_lines(spark: SparkSession, locations: list[str], packed: bool) -> Data
         probe.conf.set("spark.sql.files.openCostInBytes", str(PACKED_COST))
         text = probe.read.text(locations, wholetext=True)
         return text.select(F.col("_metadata.file_path").alias("path"), F.regexp_extract("value", r"^([^\r\n]*)", 1).alias("line"))
-    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
-        probe.conf.set(key, ONE_FILE_PER_TASK)
-    probe.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    lines = probe.read.text(locations).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
-    return lines.mapInArrow(_first_line, "path string, line string")
+    probe.conf.set("spark.sql.files.openCostInBytes", ONE_SPLIT_PER_TASK)
+    # Rows are numbered within their partition, which is one split; the line of
+    # number 0 in a file's first split is the file's first.
+    lines = probe.read.text(locations).select(
+        F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"),
+        F.col("_metadata.file_block_start").alias("start"), (F.monotonically_increasing_id() % (1 << 33)).alias("n"))
+    return lines.where("start = 0 AND n = 0").select("path", "line")
 
 
 def _ship_by_value() -> None:
