@@ -288,3 +288,18 @@ def test_a_cluster_needs_a_shared_folder(monkeypatch):
 
     with pytest.raises(ConfigError):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_two_arrivals_derive_their_sales_once(spark, monkeypatch):
+    from tillroll.plans import job_queries, landing
+
+    staged, write = [], landing.scratch_dir
+    monkeypatch.setattr(landing, "scratch_dir", lambda s, name: staged.append(name) or write(s, name))
+    arrived = []
+    monkeypatch.setattr(incremental, "run_available", lambda s, cfg, checkpoint: arrived.append(
+        {r.location.rsplit("/", 2)[1] for r in s.read.format("binaryFile").option("recursiveFileLookup", "true").load(cfg.roots())
+         .selectExpr("path AS location").collect()}))
+    job_queries._two_arrivals(spark, "/root/testdata/sf0.001", "once")
+    assert staged == ["drops"]
+    assert arrived[0] == {landing.drop_name(d) for d in ("1-URGENT", "2-HIGH")}
+    assert arrived[1] == {landing.drop_name(d) for d in landing.LAYOUTS}

@@ -60,11 +60,11 @@ def _two_arrivals(spark: SparkSession, sf_dir: str, name: str) -> batch.BatchCon
     1 and 2, the second only the files that arrived after it."""
     root = scratch_dir(spark, name)
     cfg = job_config(spark, sf_dir, root)
-    source = driver.sale_with_extras(spark, sf_dir)
+    source = landing.by_desk(driver.sale_with_extras(spark, sf_dir))
     checkpoint = f"{root}/checkpoint"
-    landing.stage_landing(landing.by_desk(source), f"{root}/landing", desks=["1-URGENT", "2-HIGH"])
+    landing.stage_landing(source, f"{root}/landing", desks=["1-URGENT", "2-HIGH"])
     incremental.run_available(spark, cfg, checkpoint)
-    landing.stage_landing(landing.by_desk(source), f"{root}/landing", desks=["3-MEDIUM", "4-NOT SPECIFIED", "4-RETURNED", "5-LOW"])
+    landing.stage_landing(source, f"{root}/landing", desks=["3-MEDIUM", "4-NOT SPECIFIED", "4-RETURNED", "5-LOW"])
     incremental.run_available(spark, cfg, checkpoint)
     return cfg
 
