@@ -83,10 +83,20 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return broadcast_small([df], max_rows)[0]
 
 
-def key_profile(tables: dict[str, tuple[DataFrame, str]]) -> dict[str, tuple[int, int, str | None, int, int]]:
-    """For each named ``(frame, key)``: (rows, largest count of one non-NULL
-    key, one such key as text, bytes, a hash of the set of keys), all computed
-    in one job."""
+class Profile(tuple):
+    """(rows, largest count of one non-NULL key, one such key as text, bytes)
+    of a table, and in ``keys`` a hash of the set of its keys."""
+
+    keys: int
+
+    def __new__(cls, values: tuple, keys: int) -> Profile:
+        self = super().__new__(cls, values)
+        self.keys = keys
+        return self
+
+
+def key_profile(tables: dict[str, tuple[DataFrame, str]]) -> dict[str, Profile]:
+    """A :class:`Profile` of each named ``(frame, key)``, all in one job."""
     parts = []
     for name, (df, key) in tables.items():
         per_key = df.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("c"), F.sum(row_bytes(df)).alias("b"))
@@ -94,9 +104,9 @@ def key_profile(tables: dict[str, tuple[DataFrame, str]]) -> dict[str, tuple[int
         parts.append(per_key.agg(F.lit(name).alias("dim"), F.sum("c").alias("rows"), F.max(many).alias("max_c"),
                                  F.max(F.when(many > 1, F.col("k"))).cast("string").alias("key"), F.sum("b").alias("bytes"),
                                  F.bit_xor(F.xxhash64("k", F.lit(name))).alias("keys")))
-    got = {r["dim"]: (int(r["rows"] or 0), int(r["max_c"] or 0), r["key"], int(r["bytes"] or 0), int(r["keys"] or 0))
+    got = {r["dim"]: Profile((int(r["rows"] or 0), int(r["max_c"] or 0), r["key"], int(r["bytes"] or 0)), int(r["keys"] or 0))
            for r in reduce(DataFrame.unionAll, parts).collect()}
-    return {name: got.get(name, (0, 0, None, 0, 0)) for name in tables}
+    return {name: got.get(name, Profile((0, 0, None, 0), 0)) for name in tables}
 
 
 def table_version(df: DataFrame) -> str | None:

@@ -234,7 +234,7 @@ def dimension_keys(cfg: BatchConfig) -> DimensionKeys:
     dims = _dims(cfg)
     profile = load_profile(dims)
     raise_on_duplicates(profile, {n: k for n, (_, k) in dims.items()})
-    name = "-".join(f"{p[0]:x}.{p[4] & (1 << 64) - 1:x}" for p in (profile[n] for n in dims))
+    name = "-".join(f"{p[0]:x}.{p.keys & (1 << 64) - 1:x}" for p in (profile[n] for n in dims))
     return DimensionKeys(name, small_sides(profile, cfg.customer))
 
 
