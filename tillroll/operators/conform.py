@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.functions.columns import EXTRA_SEPARATOR, fold_extras
 from tillroll.schemas import ADDITIONAL_COLUMN, MANDATORY_COLUMNS, SALE, SALE_COLUMNS
@@ -44,6 +45,19 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 _TYPED = [f for f in SALE.fields if f.name in MANDATORY_COLUMNS and f.dataType.simpleString() != "string"]
 
 
+def _plain(value: Column, kind: T.DataType) -> Column:
+    """Whether a text is NULL or written so plainly that a cast and the CSV
+    reader agree on it: digits within the type's range, or an ISO date."""
+    if isinstance(kind, T.DateType):
+        iso = value.rlike(r"^(1[6-9]|[2-9][0-9])[0-9]{2}-[0-9]{2}-[0-9]{2}\z")
+        return value.isNull() | (iso & value.try_cast(kind).isNotNull())
+    if isinstance(kind, T.DecimalType):
+        digits = rf"[0-9]{{1,{kind.precision - kind.scale}}}([.][0-9]{{1,{kind.scale}}})?"
+    else:
+        digits = {"int": "[0-9]{1,9}", "bigint": "[0-9]{1,18}"}[kind.simpleString()]
+    return value.isNull() | value.rlike(rf"^-?{digits}\z")
+
+
 def layouts(accepted: DataFrame) -> DataFrame:
     """One row per accepted file: its path, the place of each mandatory
     column (``__places``) and the places of the surplus columns in header
@@ -57,8 +71,9 @@ def layouts(accepted: DataFrame) -> DataFrame:
 
 def bind_positions(rows: DataFrame, layout: DataFrame) -> DataFrame:
     """P1-P3 on rows read by position: each file's layout names the values.
-    Typed values are parsed as the CSV reader parses them; a row that has the
-    wrong number of values or one that does not parse gets a ``record``."""
+    Typed values are parsed as the CSV reader parses them: a row of plain
+    values by casts, any other by that reader; a row that has the wrong number
+    of values or one that does not parse gets a ``record``."""
     joined = rows.join(layout, F.col("source_file") == F.col("__path"))
 
     def value(name: str):
@@ -66,8 +81,11 @@ def bind_positions(rows: DataFrame, layout: DataFrame) -> DataFrame:
 
     plain = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in _TYPED) + f", {CORRUPT_COLUMN} string"
-    typed = F.from_csv(F.to_csv(F.struct(*[value(f.name).alias(f.name) for f in _TYPED]), plain), schema,
-                       {**CSV_OPTIONS, "columnNameOfCorruptRecord": CORRUPT_COLUMN})
+    parsed = F.from_csv(F.to_csv(F.struct(*[value(f.name).alias(f.name) for f in _TYPED]), plain), schema,
+                        {**CSV_OPTIONS, "columnNameOfCorruptRecord": CORRUPT_COLUMN})
+    casts = F.struct(*[value(f.name).try_cast(f.dataType).alias(f.name) for f in _TYPED],
+                     F.lit(None).cast("string").alias(CORRUPT_COLUMN))
+    typed = F.when(reduce(lambda a, b: a & b, [_plain(value(f.name), f.dataType) for f in _TYPED]), casts).otherwise(parsed)
     # The values as CSV: quoted where they hold a separator, a quote or a line end.
     quoted = F.transform("__values", lambda v: F.when(v.rlike('[",\r\n]'), F.concat(
         F.lit('"'), F.replace(v, F.lit('"'), F.lit('\\"')), F.lit('"'))).otherwise(F.coalesce(v, F.lit(""))))

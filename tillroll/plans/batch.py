@@ -257,8 +257,11 @@ def raw_rows(enriched: DataFrame, name: str) -> DataFrame:
 
 
 def _enriched(cfg: BatchConfig, sale: DataFrame, dims: DimensionKeys, counts: enrich.JoinCounts | None = None) -> DataFrame:
-    # Written once to the shared folder; concurrent sinks all read that.
-    return staged(enrich.enrich(sale, cfg.customer, cfg.store, cfg.sales_team, counts=counts, small=dims.small), "enriched")
+    # Written once to the shared folder; concurrent sinks all read that. It lies
+    # clustered by the raw marts' partitions, so the wide rows are shuffled once.
+    rows = enrich.enrich(sale, cfg.customer, cfg.store, cfg.sales_team, counts=counts, small=dims.small)
+    rows = rows.withColumn("sales_month", month_bucket("sales_date")).hint("rebalance", "sales_month", "store_id")
+    return staged(rows, "enriched").drop("sales_month")
 
 
 def add_run(spark: SparkSession, cfg: BatchConfig, run_id: str, months: list, book: runs.Book, dims: DimensionKeys) -> dict:
@@ -271,7 +274,7 @@ def add_run(spark: SparkSession, cfg: BatchConfig, run_id: str, months: list, bo
     sale = _fact_rows(spark, cfg, [(run_id, m) for m in months]).select(*SALE_COLUMNS)
     enriched = _enriched(cfg, sale, dims, counts)
     sinks = {name: lambda name=name, cols=cols: writers.write_partitioned(
-        raw_rows(enriched, name), f"{cfg.path('marts')}/{name}/run_id={run_id}", cols, dynamic=False)
+        raw_rows(enriched, name), f"{cfg.path('marts')}/{name}/run_id={run_id}", cols, dynamic=False, clustered=True)
         for name, cols in RAW_MARTS.items()}
     for name, (_, _, total) in TOTALS.items():
         sinks[f"{name}_totals"] = lambda name=name, total=total: writers.write_partitioned(
