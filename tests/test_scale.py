@@ -69,3 +69,24 @@ def test_odd_values_are_what_the_csv_reader_makes_of_them(spark, workdir, column
     got = contract.read_accepted(spark, v)
     assert as_set(got.sale, names) == good
     assert got.bad_rows.count() == typed.cache().where("_corrupt_record IS NOT NULL").count()
+
+
+@pytest.mark.parametrize("size", [1, 5, 6, 7, 1000])
+def test_lines_are_packed_as_they_lie(size):
+    data = [("p", 0, [b"ab\n", b"\n", b"cdef\n"]), ("p", 0, [b"g\n"]), ("p", 9, [b"hi\n", b"j\n"]), ("q", 9, [b"\n"])]
+    batches = [pa.RecordBatch.from_arrays([pa.array([p] * len(x)), pa.array([s] * len(x), pa.int64()), pa.array(x, pa.binary())],
+                                          names=["path", "start", "line"]) for p, s, x in data]
+    whole = pa.Table.from_batches(batches).combine_chunks().to_batches()
+    sliced = [b.slice(i, 2) for b in whole for i in range(0, b.num_rows, 2)]
+    outs = [[r for b in copies._pack_lines(size)(iter(x)) for r in b.to_pylist()] for x in (batches, whole, sliced)]
+    assert outs[0] == outs[1] == outs[2]
+    joined = {}
+    for r in outs[0]:
+        key = (r["path"], r["start"])
+        assert r["seq"] == len(joined.setdefault(key, []))
+        joined[key].append(r)
+    assert {k: b"".join(r["content"] for r in v) for k, v in joined.items()} == {
+        ("p", 0): b"ab\n\ncdef\ng\n", ("p", 9): b"hi\nj\n", ("q", 9): b"\n"}
+    assert all([r["ends_split"] for r in v] == [False] * (len(v) - 1) + [True] for v in joined.values())
+    if size == 1:
+        assert len(outs[0]) == 7

@@ -31,27 +31,56 @@ CHUNK_BYTES = 1 << 20
 _CHUNK = "path string, start long, seq long, ends_split boolean, content binary"
 
 
+def _runs(batch):
+    """(path, start, first row, row after) of a batch's runs of rows of one split."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ends = {batch.num_rows}
+    for name in ("path", "start"):
+        ends.update(np.asarray(pc.run_end_encode(batch.column(name)).run_ends).tolist())
+    first = 0
+    for end in sorted(ends - {0}):
+        yield batch.column("path")[first].as_py(), batch.column("start")[first].as_py(), first, end
+        first = end
+
+
 def _pack_lines(size: int):
-    def rows(key, seq, last, lines):
+    def rows(key, seq, last, held):
         import pyarrow as pa
 
         return pa.RecordBatch.from_arrays(
             [pa.array([key[0]]), pa.array([key[1]], pa.int64()), pa.array([seq], pa.int64()), pa.array([last]),
-             pa.array([b"".join(line + b"\n" for line in lines)], pa.binary())],
+             pa.array([b"".join(held)], pa.binary())],
             names=["path", "start", "seq", "ends_split", "content"])
 
     def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
         key, seq, held, n = None, 0, [], 0
         for batch in batches:
-            paths, starts = batch.column("path").to_pylist(), batch.column("start").to_pylist()
-            for path, start, line in zip(paths, starts, batch.column("line").to_pylist()):
-                if (path, start) != key or n >= size:
+            if not batch.num_rows:
+                continue
+            # The lines, with their ends, lie one after the other in the column's buffer.
+            lines = batch.column("line")
+            width = np.int64 if pa.types.is_large_binary(lines.type) else np.int32
+            at = np.frombuffer(lines.buffers()[1], width)[lines.offset:lines.offset + len(lines) + 1]
+            data = memoryview(lines.buffers()[2])
+            for path, start, i, end in _runs(batch):
+                if (path, start) != key:
                     if held:
-                        yield rows(key, seq, (path, start) != key, held)
-                    seq, held, n = (seq + 1 if (path, start) == key else 0), [], 0
-                    key = (path, start)
-                held.append(line)
-                n += len(line) + 1
+                        yield rows(key, seq, True, held)
+                    key, seq, held, n = (path, start), 0, [], 0
+                while i < end:
+                    if n >= size:
+                        yield rows(key, seq, False, held)
+                        seq, held, n = seq + 1, [], 0
+                    # Up to the line with which the chunk reaches its size.
+                    to = min(i + int(np.searchsorted(at[i:end + 1], int(at[i]) + size - n)), end)
+                    held.append(bytes(data[at[i]:at[to]]))
+                    n += int(at[to]) - int(at[i])
+                    i = to
         if held:
             yield rows(key, seq, True, held)
     return run
@@ -70,7 +99,8 @@ def _by_lines(spark: SparkSession, locations: list[str]) -> DataFrame:
     odd = info.where(~F.col("lack").isin(0, -1, len(MARK), len(MARK) - 1)).first()
     if odd:
         raise SinkError(f"{odd['of']} was changed while it was read")
-    chunks = lines.select("path", "start", "line").mapInArrow(_pack_lines(CHUNK_BYTES), _CHUNK)
+    ended = lines.select("path", "start", F.concat("line", F.lit(b"\n")).alias("line"))
+    chunks = ended.mapInArrow(_pack_lines(CHUNK_BYTES), _CHUNK)
     first = (F.col("start") == 0) & (F.col("seq") == 0) & (F.col("lack") >= len(MARK) - 1)
     open_end = F.col("ends_split") & (F.col("start") == F.col("last_start")) & F.col("lack").isin(-1, len(MARK) - 1)
     content = F.when(open_end, F.expr("substring(content, 1, octet_length(content) - 1)")).otherwise(F.col("content"))
