@@ -71,6 +71,33 @@ def test_odd_values_are_what_the_csv_reader_makes_of_them(spark, workdir, column
     assert got.bad_rows.count() == typed.cache().where("_corrupt_record IS NOT NULL").count()
 
 
+def test_drops_are_read_once_and_not_shuffled(spark, workdir, monkeypatch):
+    rows = [(i, 1, "p", None, 1, None, 1, None, "UPI", None, desk) for i, desk in enumerate([*landing.LAYOUTS] * 20)]
+    source = spark.createDataFrame(rows, "customer_id long, store_id long, product_name string, sales_date date, sales_person_id long, price "
+                                   "decimal(10,2), quantity int, total_cost decimal(10,2), payment_mode string, coupon string, desk string")
+    monkeypatch.setattr(type(source), "repartitionByRange", None)
+    folders = landing.stage_landing(landing.by_desk(source), os.path.join(workdir, "landing"))
+    assert [f.rsplit("/", 1)[1] for f in folders.values()] == [landing.drop_name(d) for d in landing.LAYOUTS]
+    for k, (desk, folder) in enumerate(folders.items()):
+        lines = [r.value for r in spark.read.text(csv_source.literal_path(folder)).collect()]
+        ids = {f"{i}" for i, r in enumerate(rows) if r[-1] == desk}
+        place = landing.LAYOUTS[desk][1].index("customer_id")
+        assert {x.split(",")[place] for x in lines if not x.startswith(("customer_id", "total_cost"))} == ids
+
+
+def test_splits_without_a_first_line_start_no_python(spark, workdir, monkeypatch):
+    for k in range(3):
+        write_file(workdir, f"f{k}.csv", f"a{k},b\n" + "1,2\n" * 5000)
+    manifest = files.discover(spark, workdir)
+    probe, seen, real = spark.newSession(), [], type(manifest).mapInArrow
+    probe.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    monkeypatch.setattr(spark, "newSession", lambda: probe)
+    monkeypatch.setattr(csv_source, "SMALL_FILE", 8)
+    monkeypatch.setattr(type(manifest), "mapInArrow", lambda df, f, schema: seen.append(df.rdd.getNumPartitions()) or real(df, f, schema))
+    assert {r.header_line for r in csv_source.probe_headers(manifest).collect()} == {"a0,b", "a1,b", "a2,b"}
+    assert len(seen) == 1 and seen[0] <= 8
+
+
 @pytest.mark.parametrize("size", [1, 5, 6, 7, 1000])
 def test_lines_are_packed_as_they_lie(size):
     data = [("p", 0, [b"ab\n", b"\n", b"cdef\n"]), ("p", 0, [b"g\n"]), ("p", 9, [b"hi\n", b"j\n"]), ("q", 9, [b"\n"])]

@@ -38,6 +38,7 @@ PACKED_COST = 256 << 10
 # Options of every parse of sales data.
 CSV_OPTIONS = {"mode": "PERMISSIVE", "dateFormat": "yyyy-MM-dd"}
 
+FIRST_LINES = "path string, line string"
 PROBED_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("header_line", T.StringType()),
@@ -80,12 +81,17 @@ def probe_headers(csv_files: DataFrame) -> DataFrame:
     small, large = [], []
     for r in csv_files.select("location", "length").toLocalIterator():
         (small if r["length"] <= SMALL_FILE else large).append(literal_path(r["location"]))
+    if not small and not large:
+        return spark.createDataFrame([], PROBED_SCHEMA)
     _ship_by_value()
-    out = scratch_dir(spark, "headers")
+    # The lines are written before they are parsed: a split without a first
+    # line, as most of a large file's are, starts no Python worker.
+    lines, out = scratch_dir(spark, "first-lines"), scratch_dir(spark, "headers")
     for files, packed in ((small, True), (large, False)):
         if files:
-            first_lines(spark, files, packed).mapInArrow(_parse_headers, PROBED_SCHEMA).write.mode("append").parquet(out)
-    return spark.read.schema(PROBED_SCHEMA).parquet(out) if small or large else spark.createDataFrame([], PROBED_SCHEMA)
+            first_lines(spark, files, packed).write.mode("append").parquet(lines)
+    spark.read.schema(FIRST_LINES).parquet(lines).mapInArrow(_parse_headers, PROBED_SCHEMA).write.parquet(out)
+    return spark.read.schema(PROBED_SCHEMA).parquet(out)
 
 
 def first_lines(spark: SparkSession, locations: list[str], packed: bool) -> DataFrame:
