@@ -9,6 +9,7 @@ error area.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from tillroll.errors import NoInputError
 from tillroll.operators.conform import bind_positions, layouts, union_all
 from tillroll.operators.sizing import broadcast_if_small
 from tillroll.schemas import MANDATORY_COLUMNS
+from tillroll.sinks.writers import ZSTD
 from tillroll.sources.copies import chunks_of
 from tillroll.sources.csv import probe_headers, scan_positions
 from tillroll.sources.files import split_by_format
@@ -100,6 +102,29 @@ def read_accepted(spark: SparkSession, verdicts: DataFrame) -> Batch:
     return Batch(bind_positions(raw, broadcast_if_small(layouts(accepted))), verdicts)
 
 
+def slices(sizes: Iterable[tuple], target: int) -> Iterator[list]:
+    """Items of ``sizes`` (item, bytes), in their order, in runs of at most
+    ``target`` bytes; a larger item is a run of its own."""
+    held, n = [], 0
+    for item, size in sizes:
+        if held and n + size > target:
+            yield held
+            held, n = [], 0
+        held.append(item)
+        n += size
+    if held:
+        yield held
+
+
+def by_bytes(verdicts: DataFrame, target: int) -> list[DataFrame]:
+    """The accepted files of ``verdicts`` in groups of about ``target``
+    bytes, by ranges of their paths (a file is never split)."""
+    accepted = verdicts.where(F.col("accepted"))
+    # Spark orders strings by their bytes, as Python does by code points.
+    sizes = sorted((r["path"], r["length"]) for r in accepted.select("path", "length").toLocalIterator())
+    return [accepted.where(F.col("path").between(run[0], run[-1])) for run in slices(sizes, target)]
+
+
 def quarantine(spark: SparkSession, verdicts: DataFrame, error_dir: str, run_id: str = "0") -> DataFrame:
     """V3: every rejected file as it is, and its verdict, under the run.
 
@@ -118,7 +143,7 @@ def quarantine(spark: SparkSession, verdicts: DataFrame, error_dir: str, run_id:
     about = broadcast_if_small(rejected.select(F.col("path").alias("__path"), "file_name", "file_id", "reason"))
     (chunks_of(spark, rejected).join(about, F.col("path") == F.col("__path"))
      .select("path", "file_name", "file_id", "reason", "start", "seq", "content")
-     .write.mode("overwrite").parquet(target))
+     .write.mode("overwrite").options(**ZSTD).parquet(target))
     return spark.read.parquet(target)
 
 

@@ -10,9 +10,10 @@ Order of a run (each step a Spark job over DataFrames):
 3. open the accepted files in the ledger (L1);
 4. read, conform and union them (S1, P1-P3, U1) and write this run's part of
    the fact, ``fact/run_id=../bad=../sales_month=..``: good and bad rows from
-   one parse, in one write; note the run's months;
+   one parse; note the run's months;
 5. enrich this run's rows (J1-J4) and write, once each, its part of the raw
-   marts (K1, K2) and its partial totals per key and month;
+   marts (K1, K2) and its partial totals per key and month (4 and 5 in slices
+   of bounded bytes, so that shuffle files and staged rows do not grow with the run);
 6. merge the partial totals of the months that this run, or a run that died
    before closing, has touched, and replace just those months of the marts,
    emptied ones included (A1, A2, K2). The top seller of a month is decided
@@ -41,6 +42,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor, wait
+from contextlib import AbstractContextManager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,7 +57,7 @@ from tillroll.operators.sizing import load_profile, raise_on_duplicates, small_s
 from tillroll.plans import runs
 from tillroll.schemas import (CUSTOMER_MONTHLY, CUSTOMER_TOTALS, SALE, SALE_COLUMNS, SALES_TEAM_MONTHLY,
                               SELLER_TOTALS, SNAPSHOT)
-from tillroll.session import staged
+from tillroll.session import free_shuffles, staged, staged_meanwhile
 from tillroll.sinks import writers
 from tillroll.sources import files
 
@@ -73,6 +75,8 @@ class BatchConfig:
     keep_snapshots: int = 30              # older manifests expire
     max_folders: int = 16                 # of one month, by run; compacted above
     compacted_bytes: int = 1 << 30        # a compacted folder's size, about
+    read_bytes: int = 2 << 30             # of accepted files shuffled at a time
+    enriched_bytes: int = 256 << 20       # of a run's fact enriched at a time
     checkpoint_every: int = CHECKPOINT_EVERY  # appends to the ledger and to the run events
     # Test hook: called with a step name before that step runs.
     fail_at: Callable[[str], None] | None = field(default=None, repr=False)
@@ -181,12 +185,7 @@ def _process(spark: SparkSession, manifest: DataFrame, cfg: BatchConfig, run_id:
     ledger.append(ledger.open_files(accepted, run_id), cfg.path("ledger"))
 
     _step(cfg, "fact")
-    rows = contract.read_accepted(spark, verdicts).rows
-    bad = F.col("record").isNotNull()
-    part = f"{cfg.path('fact')}/run_id={run_id}"
-    writers.write_partitioned(
-        rows.select(*SALE_COLUMNS, "source_file", "record", "parsed", bad.cast("int").alias("bad"),
-                    F.when(~bad, month_bucket("sales_date")).alias("sales_month")), part, FACT_PARTITIONS, dynamic=False)
+    part = write_fact(spark, verdicts, cfg, run_id)
     found = writers.partition_folders(spark, part, 2)
     written = [v["sales_month"] for _, v in found if v["bad"] == "0"]
     runs.note(spark, cfg, book, [(run_id, m, runs.WRITTEN) for m in written] + ([] if written else [(run_id, None, runs.EMPTY)])
@@ -212,6 +211,22 @@ def _process(spark: SparkSession, manifest: DataFrame, cfg: BatchConfig, run_id:
     return {"run_id": run_id, "warehouse": cfg.warehouse, "joins": counts}
 
 
+def write_fact(spark: SparkSession, verdicts: DataFrame, cfg: BatchConfig, run_id: str) -> str:
+    """The run's part of the fact: its folder, made anew. Files are read in
+    groups, so that no more than one group's rows lie in shuffle files."""
+    part = f"{cfg.path('fact')}/run_id={run_id}"
+    writers.delete_folder(spark, part)
+    bad = F.col("record").isNotNull()
+    for group in contract.by_bytes(verdicts, cfg.read_bytes):
+        rows = contract.read_accepted(spark, group).rows
+        writers.write_partitioned(
+            rows.select(*SALE_COLUMNS, "source_file", "record", "parsed", bad.cast("int").alias("bad"),
+                        F.when(~bad, month_bucket("sales_date")).alias("sales_month")),
+            part, FACT_PARTITIONS, options=writers.ZSTD, mode="append")
+        free_shuffles(spark)
+    return part
+
+
 # --- What a run adds: raw marts and partial totals ---
 
 RAW_MARTS = {"customer_raw": ["sales_date_month"], "sales_team_raw": ["sales_month", "store_id"]}
@@ -256,12 +271,44 @@ def raw_rows(enriched: DataFrame, name: str) -> DataFrame:
     return marts.sales_team_raw_mart(enriched)
 
 
-def _enriched(cfg: BatchConfig, sale: DataFrame, dims: DimensionKeys, counts: enrich.JoinCounts | None = None) -> DataFrame:
+def _enriched(cfg: BatchConfig, sale: DataFrame, dims: DimensionKeys, counts: enrich.JoinCounts) -> AbstractContextManager[DataFrame]:
     # Written once to the shared folder; concurrent sinks all read that. It lies
     # clustered by month, so the raw marts take no shuffle of their wide rows.
     rows = enrich.enrich(sale, cfg.customer, cfg.store, cfg.sales_team, counts=counts, small=dims.small)
-    rows = rows.withColumn("sales_month", month_bucket("sales_date")).hint("rebalance", "sales_month")
-    return staged(rows, "enriched").drop("sales_month")
+    return staged_meanwhile(rows.withColumn("sales_month", month_bucket("sales_date")).hint("rebalance", "sales_month"), "enriched")
+
+
+def fact_slices(spark: SparkSession, cfg: BatchConfig, run_id: str, months: list) -> list[list[str]]:
+    """The fact's files of a run's months, month by month, in groups of about
+    ``enriched_bytes``: a month may be cut between two files."""
+    sizes = [(f"{folder}/{name}", size) for folder in (fact_folder(cfg, run_id, m) for m in months)
+             for name, size in writers.files_in(spark, folder)]
+    return list(contract.slices(sizes, cfg.enriched_bytes))
+
+
+def add_parts(spark: SparkSession, cfg: BatchConfig, run_id: str, months: list, dims: DimensionKeys, raw: bool) -> dict:
+    """Append totals (and raw rows) of a run's months, slice by slice, so that
+    no more than one slice's wide rows are staged and lie in shuffle files;
+    totals of a month that was cut add up. Returns what the joins lost."""
+    lost = []
+    for part in fact_slices(spark, cfg, run_id, months):
+        counts = enrich.JoinCounts()
+        sale = spark.read.schema(FACT).option("basePath", cfg.path("fact")).parquet(*part).select(*SALE_COLUMNS)
+        with _enriched(cfg, sale, dims, counts) as rows:
+            enriched = rows.drop("sales_month")
+            sinks = {name: lambda name=name, cols=cols: writers.write_partitioned(
+                raw_rows(enriched, name), f"{cfg.path('marts')}/{name}/run_id={run_id}", cols, options=writers.ZSTD,
+                clustered=True, mode="append") for name, cols in RAW_MARTS.items() if raw}
+            for name, (_, _, total) in TOTALS.items():
+                sinks[f"{name}_totals"] = lambda name=name, total=total: writers.write_partitioned(
+                    total(enriched), f"{totals_base(cfg, name, dims.version)}/run_id={run_id}", ["sales_month"], mode="append")
+            run_concurrently(sinks)
+            lost.append(counts.result(enriched) or enrich.count_losses(sale, cfg.customer, cfg.store, cfg.sales_team))
+    return {k: sum(n[k] for n in lost) for k in lost[0]} if lost else enrich.JoinCounts().result(None)
+
+
+def months_with_totals(spark: SparkSession, cfg: BatchConfig, run_id: str, keys: str) -> set:
+    return {v["sales_month"] for _, v in writers.partition_folders(spark, f"{totals_base(cfg, 'customer', keys)}/run_id={run_id}", 1)}
 
 
 def add_run(spark: SparkSession, cfg: BatchConfig, run_id: str, months: list, book: runs.Book, dims: DimensionKeys) -> dict:
@@ -269,20 +316,11 @@ def add_run(spark: SparkSession, cfg: BatchConfig, run_id: str, months: list, bo
     returns what the joins lost (``JoinCounts``)."""
     if not months:
         return enrich.JoinCounts().result(None)
-    keys = dims.version
-    counts = enrich.JoinCounts()
-    sale = _fact_rows(spark, cfg, [(run_id, m) for m in months]).select(*SALE_COLUMNS)
-    enriched = _enriched(cfg, sale, dims, counts)
-    sinks = {name: lambda name=name, cols=cols: writers.write_partitioned(
-        raw_rows(enriched, name), f"{cfg.path('marts')}/{name}/run_id={run_id}", cols, dynamic=False, clustered=True)
-        for name, cols in RAW_MARTS.items()}
-    for name, (_, _, total) in TOTALS.items():
-        sinks[f"{name}_totals"] = lambda name=name, total=total: writers.write_partitioned(
-            total(enriched), f"{totals_base(cfg, name, keys)}/run_id={run_id}", ["sales_month"], dynamic=False)
-    run_concurrently(sinks)
-    present = {v["sales_month"] for _, v in writers.partition_folders(spark, f"{totals_base(cfg, 'customer', keys)}/run_id={run_id}", 1)}
-    note_parts(spark, cfg, book, run_id, months, present, keys, raw=True)
-    return counts.result(enriched) or enrich.count_losses(sale, cfg.customer, cfg.store, cfg.sales_team)
+    for base in [f"{cfg.path('marts')}/{name}" for name in RAW_MARTS] + [totals_base(cfg, name, dims.version) for name in TOTALS]:
+        writers.delete_folder(spark, f"{base}/run_id={run_id}")
+    lost = add_parts(spark, cfg, run_id, months, dims, raw=True)
+    note_parts(spark, cfg, book, run_id, months, months_with_totals(spark, cfg, run_id, dims.version), dims.version, raw=True)
+    return lost
 
 
 def note_parts(spark: SparkSession, cfg: BatchConfig, book: runs.Book, run_id: str, months: list, present: set, keys: str,
@@ -302,13 +340,10 @@ def complete_totals(spark: SparkSession, cfg: BatchConfig, wanted: list[tuple],
                if not book.has(r, m, runs.with_totals(keys)) and not book.has(r, m, runs.without_totals(keys))]
     for run in sorted({r for r, _ in missing}):
         months = [m for r, m in missing if r == run]
-        sale = _fact_rows(spark, cfg, [(run, m) for m in months]).select(*SALE_COLUMNS)
-        enriched = _enriched(cfg, sale, dims)
-        run_concurrently({name: lambda name=name, total=total: writers.write_partitioned(
-            total(enriched), f"{totals_base(cfg, name, keys)}/run_id={run}", ["sales_month"])
-            for name, (_, _, total) in TOTALS.items()})
-        present = {r[0] for r in enriched.select(month_bucket("sales_date")).distinct().collect()}
-        note_parts(spark, cfg, book, run, months, present, keys, raw=False)
+        for name in TOTALS:
+            writers.drop_partitions(spark, f"{totals_base(cfg, name, keys)}/run_id={run}", "sales_month", months)
+        add_parts(spark, cfg, run, months, dims, raw=False)
+        note_parts(spark, cfg, book, run, months, months_with_totals(spark, cfg, run, keys), keys, raw=False)
 
 
 def read_totals(spark: SparkSession, cfg: BatchConfig, name: str, keys: str, folders: list[tuple]) -> DataFrame:
@@ -347,6 +382,7 @@ def refresh_months(spark: SparkSession, cfg: BatchConfig, months: list, this_run
         "customer_monthly": lambda: replace(c_mart, "marts/customer_monthly", ["sales_date_month"]),
         "sales_team_monthly": lambda: replace(s_mart, "marts/sales_team_monthly", ["sales_month"]),
     })
+    free_shuffles(spark)
     sinks = {}
     if cfg.snapshots:
         for raw in RAW_MARTS:
@@ -355,6 +391,7 @@ def refresh_months(spark: SparkSession, cfg: BatchConfig, months: list, this_run
         sinks["csv_export"] = lambda: replace(_mart_months(spark, cfg, "sales_team_monthly", months), "exports/seller_incentives",
                                               ["sales_month", "store_id"], writers.write_csv_export)
     run_concurrently(sinks)
+    free_shuffles(spark)
     if cfg.jdbc:
         # Appended under one snapshot id per refresh; read with read_jdbc_mart.
         sid = writers.new_snapshot_id()

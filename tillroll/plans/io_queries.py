@@ -28,7 +28,7 @@ _ACCEPTED_SQL = "('1-URGENT', '2-HIGH', '3-MEDIUM')"
 
 def staged_landing(spark: SparkSession, sf_dir: str, name: str) -> str:
     root = scratch_dir(spark, name)
-    landing.stage_landing(landing.by_desk(driver.sale_with_extras(spark, sf_dir)), f"{root}/landing")
+    landing.stage_sales(driver.sale_with_extras(spark, sf_dir), f"{root}/landing")
     return root
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.plans import batch, driver, landing
+from tillroll.plans import batch, driver, landing, upkeep
 from tillroll.plans.oracle import ACCEPTED_SALE, sql
 from tillroll.plans.registry import register
 from tillroll.schemas import SALE_COLUMNS, SOURCE_REGISTRY
@@ -31,7 +31,7 @@ def job_config(spark: SparkSession, sf_dir: str, root: str, **kw) -> batch.Batch
 @register("batch_marts", "run_batch: S4..L2 end to end, seller mart read back", _SELLER_SQL)
 def q_batch_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "batch")
-    landing.stage_landing(landing.by_desk(driver.sale_with_extras(spark, sf_dir)), f"{root}/landing")
+    landing.stage_sales(driver.sale_with_extras(spark, sf_dir), f"{root}/landing")
     cfg = job_config(spark, sf_dir, root)
     batch.run_batch(spark, cfg)
     return batch.read_mart(spark, cfg, "sales_team_monthly")
@@ -40,7 +40,7 @@ def q_batch_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("batch_recovery", "L3: a run dies before closing; the next run redoes its files", _CUSTOMER_SQL)
 def q_batch_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "recovery")
-    landing.stage_landing(landing.by_desk(driver.sale_with_extras(spark, sf_dir)), f"{root}/landing")
+    landing.stage_sales(driver.sale_with_extras(spark, sf_dir), f"{root}/landing")
 
     def die_before_close(step: str) -> None:
         if step == "close":
@@ -51,6 +51,7 @@ def q_batch_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     except InjectedFailure:
         pass
     cfg = job_config(spark, sf_dir, root)
+    upkeep.vacuum(spark, cfg)            # what the dead run left and nothing names
     batch.run_batch(spark, cfg)          # files still in state A: taken again
     return batch.read_mart(spark, cfg, "customer_monthly")
 
@@ -60,11 +61,11 @@ def _two_arrivals(spark: SparkSession, sf_dir: str, name: str) -> batch.BatchCon
     1 and 2, the second only the files that arrived after it."""
     root = scratch_dir(spark, name)
     cfg = job_config(spark, sf_dir, root)
-    source = landing.by_desk(driver.sale_with_extras(spark, sf_dir))
     checkpoint = f"{root}/checkpoint"
-    landing.stage_landing(source, f"{root}/landing", desks=["1-URGENT", "2-HIGH"])
-    incremental.run_available(spark, cfg, checkpoint)
-    landing.stage_landing(source, f"{root}/landing", desks=["3-MEDIUM", "4-NOT SPECIFIED", "4-RETURNED", "5-LOW"])
+    with landing.desks_of(driver.sale_with_extras(spark, sf_dir)) as source:
+        landing.stage_landing(source, f"{root}/landing", desks=["1-URGENT", "2-HIGH"])
+        incremental.run_available(spark, cfg, checkpoint)
+        landing.stage_landing(source, f"{root}/landing", desks=["3-MEDIUM", "4-NOT SPECIFIED", "4-RETURNED", "5-LOW"])
     incremental.run_available(spark, cfg, checkpoint)
     return cfg
 
@@ -87,7 +88,7 @@ def q_month_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM sale_extras WHERE desk IN ('1-URGENT', '2-HIGH')""", "sale_extras"))
 def q_registry_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "registry")
-    folders = landing.stage_landing(landing.by_desk(driver.sale_with_extras(spark, sf_dir)), f"{root}/landing")
+    folders = landing.stage_sales(driver.sale_with_extras(spark, sf_dir), f"{root}/landing")
     state = {"1-URGENT": "Active", "2-HIGH": " ACTIVE ", "3-MEDIUM": "inactive"}
     registry = spark.createDataFrame([(desk, folder, None, None, state.get(desk, "inactive"))
                                       for desk, folder in folders.items()], SOURCE_REGISTRY)

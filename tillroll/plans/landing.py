@@ -23,13 +23,15 @@ may hold sales of any dates; the job itself sorts them into months.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.schemas import MANDATORY_COLUMNS
-from tillroll.session import scratch_dir
+from tillroll.session import delete_folder, free_shuffles, scratch_dir
 
 # Desk -> (folder, layout columns, file format).
 LAYOUTS: dict[str, tuple[str, list[str], str]] = {
@@ -61,7 +63,28 @@ def by_desk(source: DataFrame) -> DataFrame:
     """``source`` written once to the shared folder, a folder per desk, so
     that each drop reads only its desk's rows. The folders go by the desk's
     number, by which Spark's writer sorts faster than by its name."""
+    return _by_desk(source, scratch_dir(source.sparkSession, "drops"))
+
+
+@contextmanager
+def desks_of(source: DataFrame) -> Iterator[DataFrame]:
+    """:func:`by_desk` for the length of a block, after which the folder goes."""
     path = scratch_dir(source.sparkSession, "drops")
+    try:
+        rows = _by_desk(source, path)
+        free_shuffles(source.sparkSession)
+        yield rows
+    finally:
+        delete_folder(source.sparkSession, path)
+
+
+def stage_sales(source: DataFrame, root: str) -> dict[str, str]:
+    """All of ``source`` as drops under ``root``; returns desk -> folder."""
+    with desks_of(source) as rows:
+        return stage_landing(rows, root)
+
+
+def _by_desk(source: DataFrame, path: str) -> DataFrame:
     number = F.array_position(F.array(*[F.lit(desk) for desk in LAYOUTS]), F.col("desk")).cast("int")
     numbered = source.withColumn("desk_no", number)
     numbered.write.partitionBy("desk_no").parquet(path)

@@ -6,7 +6,8 @@ the partial totals of the packed runs are written under a run id of their own.
 One append to the run events then makes the new folders count and the old ones
 not; before it nothing has changed, after it the old folders are only garbage.
 ``vacuum`` deletes what a compaction has replaced and what dead runs have left,
-except raw-mart folders that a kept snapshot still names, and notes it.
+except raw-mart folders that a kept snapshot still names, and notes it. Of a run
+whose months the next run has yet to correct, it keeps the run events.
 Both are safe to repeat after a crash at any step.
 """
 
@@ -125,15 +126,15 @@ def vacuum(spark: SparkSession, cfg: BatchConfig) -> int:
                 writers.delete_folder(spark, batch.raw_folder(cfg, name, run, month))
             writers.delete_folder(spark, batch.fact_folder(cfg, run, month))
             done.append((run, month, runs.DELETED))
-        held = {r for r, _ in named}
-        for run in book.given_up():
-            if run in held:
-                continue
+        held, given_up = {r for r, _ in named}, book.given_up()
+        for run in given_up + sorted(book.dead()):
             keys = {s[2:] for states in book.of_month.get(run, {}).values() for s in states if s.startswith("T:")}
-            for folder in ([f"{cfg.path('fact')}/run_id={run}"] + [f"{cfg.path('marts')}/{n}/run_id={run}" for n in RAW_MARTS]
+            # No snapshot names its fact and totals, and nothing reads them.
+            for folder in ([f"{cfg.path('fact')}/run_id={run}"] + [f"{cfg.path('marts')}/{n}/run_id={run}" for n in RAW_MARTS if run not in held]
                            + [f"{batch.totals_base(cfg, n, k)}/run_id={run}" for n in TOTALS for k in keys]):
                 writers.delete_folder(spark, folder)
-            done.append((run, None, runs.CLEARED))
+            if run in given_up and run not in held:
+                done.append((run, None, runs.CLEARED))
         batch._step(cfg, "deleted")
         runs.note(spark, cfg, book, done)
         return len(done)
